@@ -53,12 +53,17 @@ RuleSource = DataFrame | tuple | list
 
 
 def rules_frame(spark: SparkSession, rules: RuleSource = ORIGIN_RULES_17) -> DataFrame:
+    """Rule table as a DataFrame; Python pairs become a literal array expanded
+    with ``inline`` on the JVM side (no Python worker needed to scan it)."""
     if isinstance(rules, DataFrame):
         return rules.select(F.col("host").cast("string"), F.col("origin").cast("string"))
     keys = [h for h, _ in rules]
     if len(keys) != len(set(keys)):
         raise ValueError("origin rules must have unique hosts")
-    return spark.createDataFrame(list(rules), ORIGIN_RULES)
+    if not rules:
+        return spark.createDataFrame([], ORIGIN_RULES)
+    pairs = F.array(*[F.struct(F.lit(h).alias("host"), F.lit(o).alias("origin")) for h, o in rules])
+    return spark.range(1).select(F.inline(pairs))
 
 
 def _checked_broadcast(rules_df: DataFrame, in_memory_rows: int | None) -> DataFrame:

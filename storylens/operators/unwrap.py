@@ -38,8 +38,13 @@ def unwrap(raw: DataFrame, doc_col: str = "doc", path: str = REELS_PATH) -> Data
     return out.drop("__reels_json")
 
 
+def reels_col(doc: Column, path: str = REELS_PATH) -> Column:
+    """P5 as one expression: the parsed reels list, NULL when the document fails."""
+    return F.from_json(unwrap_reels_json(doc, path), REELS)
+
+
 def reels_rows(unwrapped: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """K6 content: one row per reel (``user``, ``items``) from the documents that unwrapped."""
+    """K6 content: one row per reel (``user``, ``items``) of an ``unwrap`` result."""
     ok = unwrapped.filter(F.col("unwrap_status") == UNWRAP_OK)
     return ok.select(*keep, F.explode("reels").alias("reel")).select(*keep, "reel.user", "reel.items")
 
@@ -50,5 +55,14 @@ def quarantine(unwrapped: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         .select(*keep, F.col("unwrap_status").alias("reason"))
 
 
-def reels_from_raw(raw: DataFrame, doc_col: str = "doc", keep: tuple[str, ...] = ()) -> DataFrame:
-    return reels_rows(unwrap(raw, doc_col), keep)
+def reels_from_raw(raw: DataFrame, doc_col: str = "doc", keep: tuple[str, ...] = (),
+                   path: str = REELS_PATH) -> DataFrame:
+    """Reels rows straight from raw documents, parsing each document once.
+
+    ``explode_outer`` + a NULL filter instead of ``explode``: a failed document
+    (NULL list) and a NULL reel both yield nothing either way, but the outer
+    form keeps the optimizer from inferring a ``size(from_json(...)) > 0``
+    filter that would parse every document a second time.
+    """
+    reel = raw.select(*keep, F.explode_outer(reels_col(F.col(doc_col), path)).alias("reel"))
+    return reel.filter(F.col("reel").isNotNull()).select(*keep, "reel.user", "reel.items")

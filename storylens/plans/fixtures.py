@@ -225,18 +225,30 @@ def export_items(events: DataFrame) -> DataFrame:
     One item per (user, id block); users with id % 9 = 4 hold the no-story
     sentence; users with id % 40 = 3 have no ``requested``.
     """
-    flat = events.select(
-        "user_id", F.expr(f"event_id div {BLOCK}").alias("block"), "event_id",
-        F.lit("").alias("username"),
-        (F.col("event_id") % STORIES).alias("story"),
-        display_url(F.col("event_id")).alias("display_url"))
+    return _export_items(events.select(
+        "user_id", F.expr(f"event_id div {BLOCK}").alias("block"),
+        (F.col("event_id") % STORIES).alias("story"), F.col("event_id").alias("o"),
+        display_url(F.col("event_id")).alias("display_url")), "u")
+
+
+def lineitem_export_items(lineitem: DataFrame, block: int = 65536) -> DataFrame:
+    """Bench export items: user = supplier, story = order, one sticker per line."""
+    return _export_items(lineitem.select(
+        F.col("l_suppkey").alias("user_id"), F.expr(f"l_orderkey div {block}").alias("block"),
+        F.col("l_orderkey").alias("story"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("o"),
+        display_url(F.col("l_partkey")).alias("display_url")), "s")
+
+
+def _export_items(flat: DataFrame, prefix: str) -> DataFrame:
     link = F.when(F.col("display_url").isNotNull(),
                   F.struct(F.col("display_url").alias("display_url")))
-    reels = nest_reels(flat, ["user_id", "block"], "story", "event_id", link)
+    reels = nest_reels(flat.withColumn("username", F.lit("")), ["user_id", "block"], "story", "o", link)
     stories = F.when(F.col("user_id") % 9 == 4, F.lit(NO_STORY_SENTENCE)) \
         .otherwise(F.to_json(F.col("reel.items")))
-    requested = F.when(F.col("user_id") % 40 != 3, F.concat(F.lit("u"), F.col("user_id").cast("string")))
-    return reels.select(F.col("seq").alias("item_id"), requested.alias("requested"), stories.alias("stories"))
+    requested = F.when(F.col("user_id") % 40 != 3,
+                       F.concat(F.lit(prefix), F.col("user_id").cast("string")))
+    return reels.select(F.col("seq").alias("item_id"), requested.alias("requested"),
+                        stories.alias("stories"))
 
 
 def capture_log_from_events(events: DataFrame) -> DataFrame:

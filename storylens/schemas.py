@@ -8,19 +8,21 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# A link sticker inside a story. Captured documents carry ``url``, provider
-# exports carry ``display_url``; both are declared so one schema reads either.
-STORY_LINK = T.StructType([
-    T.StructField("url", T.StringType()),
-    T.StructField("display_url", T.StringType()),
-])
-STICKER = T.StructType([T.StructField("story_link", STORY_LINK)])
-ITEM = T.StructType([T.StructField("story_link_stickers", T.ArrayType(STICKER))])
+# A link sticker inside a story. Captured documents carry ``story_link.url``,
+# provider exports ``story_link.display_url``; each parse schema names only
+# the field it reads, so the JSON parser skips everything else.
+def _reel_items(link_field: str) -> T.ArrayType:
+    link = T.StructType([T.StructField(link_field, T.StringType())])
+    sticker = T.StructType([T.StructField("story_link", link)])
+    return T.ArrayType(T.StructType([T.StructField("story_link_stickers", T.ArrayType(sticker))]))
+
+
+ITEMS = _reel_items("url")
 
 # One element of the reels list.
 REEL = T.StructType([
     T.StructField("user", T.StructType([T.StructField("username", T.StringType())])),
-    T.StructField("items", T.ArrayType(ITEM)),
+    T.StructField("items", ITEMS),
 ])
 REELS = T.ArrayType(REEL)
 
@@ -30,7 +32,7 @@ EXPORT_ITEM = T.StructType([
     T.StructField("requested", T.StringType()),
     T.StructField("stories", T.StringType()),
 ])
-EXPORT_STORIES = T.ArrayType(ITEM)
+EXPORT_STORIES = _reel_items("display_url")
 
 # Raw captured documents (K3 output, input of the unwrap step).
 RAW_DOCUMENTS = T.StructType([
