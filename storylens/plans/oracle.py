@@ -154,6 +154,7 @@ SELECT (SELECT count(DISTINCT username) FROM ({DAILY})) AS distinct_users,
        (SELECT count(DISTINCT username) FROM ({ROWS})) AS users_with_sticker,
        (SELECT count(*) FROM ({ROSTER})) AS n_profiles""",
     "snapshot_roundtrip": DAILY,
+    "stream_attribution": DAILY,
     "permissive_json": f"""
 WITH d AS (SELECT user_id, event_id // {fx.BLOCK} AS block, count(DISTINCT event_id % {fx.STORIES}) AS n
            FROM events GROUP BY user_id, event_id // {fx.BLOCK})

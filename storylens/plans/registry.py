@@ -222,6 +222,17 @@ def permissive_json(spark, sf_dir):
         F.count(F.lit(1)).cast("bigint").alias("n_rows"), F.sum("n").cast("bigint").alias("n_items"))
 
 
+def stream_attribution(spark, sf_dir):
+    """Q1 through the streaming job: raw documents land as files, one
+    available-now run processes them, the sink is read back."""
+    from storylens.streaming.incremental import start_attribution_stream
+    base = scratch_path(spark, "stream")
+    fx.raw_documents(_t(spark, sf_dir, "events")).write.mode("overwrite").parquet(f"{base}/raw")
+    q = start_attribution_stream(spark, f"{base}/raw", f"{base}/out", f"{base}/_checkpoint")
+    q.awaitTermination()
+    return spark.read.schema("username string, origin string, date date").parquet(f"{base}/out")
+
+
 QUERIES: dict[str, Query] = {
     "daily_attribution": daily_attribution,
     "attribution_rows": attribution_rows,
@@ -248,4 +259,5 @@ QUERIES: dict[str, Query] = {
     "user_counts": user_counts,
     "snapshot_roundtrip": snapshot_roundtrip,
     "permissive_json": permissive_json,
+    "stream_attribution": stream_attribution,
 }
