@@ -38,11 +38,14 @@ def main() -> None:
     # ---- inputs, built once and stored as Parquet (not timed) ----
     fx.lineitem_raw_documents(t("lineitem")).write.mode("overwrite").parquet(f"{base}/raw")
     fx.lineitem_export_items(t("lineitem")).write.mode("overwrite").parquet(f"{base}/export")
-    fx.story_pages(t("pages")).write.mode("overwrite").parquet(f"{base}/pages")
-    fx.capture_log_from_events(t("events")).write.mode("overwrite").parquet(f"{base}/log")
+    # tables built without a shuffle are stored with one file per core, like any
+    # multi-file table (the driver's tables are single small files)
+    fx.story_pages(t("pages")).repartition(cpus).write.mode("overwrite").parquet(f"{base}/pages")
+    fx.capture_log_from_events(t("events")).repartition(cpus) \
+        .write.mode("overwrite").parquet(f"{base}/log")
     profiles, log, bodies, errors = fx.capture_inputs(t("customer"), t("orders"))
     for name, df in (("profiles", profiles), ("clog", log), ("bodies", bodies), ("errors", errors)):
-        df.write.mode("overwrite").parquet(f"{base}/{name}")
+        df.repartition(cpus).write.mode("overwrite").parquet(f"{base}/{name}")
     raw = spark.read.parquet(f"{base}/raw")
     write_reels_table(raw, f"{base}/reels")  # K6, also timed below
     p = lambda name: spark.read.parquet(f"{base}/{name}")

@@ -33,13 +33,14 @@ def embedded_require_document(html: ColumnOrName, marker: str = STORY_MARKER,
     """
     h = _col(html)
     marked = F.filter(script_blocks(h, pattern), lambda b: b.contains(marker))
-    decisive = F.filter(
-        marked,
-        lambda b: F.try_parse_json(b).isNull() | F.get_json_object(b, "$.require").isNotNull())
-    first = F.get(decisive, F.lit(0))
-    require = F.get_json_object(first, "$.require")
-    doc = F.when(F.try_parse_json(first).isNotNull(),
-                 F.concat(F.lit('{"require":'), require, F.lit("}")))
+    # each marked block is parsed once: does it parse, and its ``require``
+    checked = F.transform(marked, lambda b: F.struct(
+        F.try_parse_json(b).isNotNull().alias("ok"),
+        F.get_json_object(b, "$.require").alias("req")))
+    first = F.get(F.filter(checked, lambda x: ~x.getField("ok") | x.getField("req").isNotNull()),
+                  F.lit(0))
+    doc = F.when(first.getField("ok"),
+                 F.concat(F.lit('{"require":'), first.getField("req"), F.lit("}")))
     return F.when(h.contains(marker), doc)
 
 

@@ -18,6 +18,7 @@ from storylens.plans.attribution import NO_STORY_SENTENCE
 RUN_DATE = "2026-12-01"
 BLOCK = 1024          # source rows per document at most
 STORIES = 11          # stories per document (item key = id % STORIES)
+CHUNK = 64            # lines of one order per story item at most
 
 _REDIRECT_HEAD = "https://l.example/?u=https%3A%2F%2F"
 
@@ -177,11 +178,13 @@ def lineitem_raw_documents(lineitem: DataFrame, block: int = 65536) -> DataFrame
     flat = lineitem.select(
         F.col("l_suppkey").alias("user_id"),
         F.expr(f"l_orderkey div {block}").alias("block"),
+        F.expr(f"l_linenumber div {CHUNK * CHUNK}").alias("chb"),
         F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("username"),
-        F.col("l_orderkey").alias("story"),
+        F.struct("l_orderkey", F.expr(f"l_linenumber div {CHUNK}")).alias("story"),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("o"),
         link_url(F.col("l_orderkey"), F.col("l_partkey")).alias("url"))
-    reels = nest_reels(flat, ["user_id", "block"], "story", "o", F.struct(F.col("url").alias("url")))
+    reels = nest_reels(flat, ["user_id", "block", "chb"], "story", "o",
+                       F.struct(F.col("url").alias("url")))
     return reels.select(F.lit(RUN_DATE).cast("date").alias("run_date"),
                         F.concat(F.lit("s"), F.col("user_id").cast("string")).alias("username"),
                         F.col("seq").cast("bigint").alias("seq"),
@@ -192,27 +195,35 @@ def order_reels(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Reels from orders/lineitem: user = customer, story = order, sticker = line.
 
     Orders with key % 13 = 0 have a NULL sticker list, % 17 = 0 an empty one;
-    line 2 of orders with key % 5 = 0 has a NULL story_link.
+    line 2 of orders with key % 5 = 0 has a NULL story_link. An order's lines
+    are cut into items of at most ``CHUNK`` lines, and a document holds at
+    most ``BLOCK`` orders and ``CHUNK`` chunks of each, so no group is unbounded.
     """
     lines = lineitem.select(
-        "l_orderkey",
+        "l_orderkey", F.expr(f"l_linenumber div {CHUNK}").alias("ch"),
         F.struct(F.col("l_linenumber").alias("o"),
                  F.when((F.col("l_linenumber") == 2) & (F.col("l_orderkey") % 5 == 0), F.lit(None))
                   .otherwise(F.struct(link_url(F.col("l_orderkey"), F.col("l_partkey")).alias("url")))
                   .alias("story_link")).alias("st"))
-    per_order = lines.groupBy("l_orderkey").agg(F.sort_array(F.collect_list("st")).alias("__s"))
-    o = orders.select("o_orderkey", "o_custkey").join(
-        per_order, orders["o_orderkey"] == per_order["l_orderkey"], "left")
+    per_chunk = lines.groupBy("l_orderkey", "ch").agg(F.sort_array(F.collect_list("st")).alias("__s"))
+    special = (F.col("o_orderkey") % 13 == 0) | (F.col("o_orderkey") % 17 == 0)
+    o = orders.select("o_orderkey", "o_custkey")
+    normal = o.filter(~special).join(per_chunk, o["o_orderkey"] == per_chunk["l_orderkey"], "left") \
+        .select("o_orderkey", "o_custkey", F.coalesce("ch", F.lit(0)).alias("ch"), "__s")
     sticker_type = "array<struct<story_link:struct<url:string>>>"
     empty = F.array().cast(sticker_type)
+    flagged = o.filter(special).select("o_orderkey", "o_custkey", F.lit(0).cast("int").alias("ch"),
+                                       F.lit(None).cast(per_chunk.schema["__s"].dataType).alias("__s"))
     stickers = F.coalesce(F.transform(
         "__s", lambda s: F.struct(s.getField("story_link").alias("story_link"))), empty)
     stickers = (F.when(F.col("o_orderkey") % 13 == 0, F.lit(None).cast(sticker_type))
                 .when(F.col("o_orderkey") % 17 == 0, empty).otherwise(stickers))
-    items = o.select("o_custkey", F.expr(f"o_orderkey div {BLOCK}").alias("block"),
-                     F.struct(F.col("o_orderkey").alias("k"),
-                              stickers.alias("story_link_stickers")).alias("it"))
-    docs = items.groupBy("o_custkey", "block").agg(F.sort_array(F.collect_list("it")).alias("__i"))
+    items = normal.unionByName(flagged).select(
+        "o_custkey", F.expr(f"o_orderkey div {BLOCK}").alias("block"),
+        F.expr(f"ch div {CHUNK}").alias("chb"),
+        F.struct(F.col("o_orderkey").alias("k"), F.col("ch").alias("c"),
+                 stickers.alias("story_link_stickers")).alias("it"))
+    docs = items.groupBy("o_custkey", "block", "chb").agg(F.sort_array(F.collect_list("it")).alias("__i"))
     return docs.select(
         F.struct(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("username")).alias("user"),
         F.transform("__i", lambda i: F.struct(
@@ -234,8 +245,9 @@ def export_items(events: DataFrame) -> DataFrame:
 def lineitem_export_items(lineitem: DataFrame, block: int = 65536) -> DataFrame:
     """Bench export items: user = supplier, story = order, one sticker per line."""
     return _export_items(lineitem.select(
-        F.col("l_suppkey").alias("user_id"), F.expr(f"l_orderkey div {block}").alias("block"),
-        F.col("l_orderkey").alias("story"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("o"),
+        F.col("l_suppkey").alias("user_id"),
+        (F.expr(f"l_orderkey div {block}") * 1024 + F.expr(f"l_linenumber div {CHUNK * CHUNK}")).alias("block"),
+        F.struct("l_orderkey", F.expr(f"l_linenumber div {CHUNK}")).alias("story"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("o"),
         display_url(F.col("l_partkey")).alias("display_url")), "s")
 
 

@@ -111,12 +111,15 @@ SELECT event_id, host, {case_sql('host', ORIGIN_RULES_17)} AS origin FROM e""",
     "origin_lookup_12": f"""
 WITH e AS (SELECT event_id, split({display_sql('event_id')}, '/')[1] AS host FROM events)
 SELECT event_id, host, {case_sql('host', ORIGIN_RULES_12)} AS origin FROM e""",
-    "unnest_stories": """
-WITH c AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey)
+    "unnest_stories": f"""
+WITH c AS (SELECT l_orderkey, l_linenumber // {fx.CHUNK} AS ch, count(*) AS n FROM lineitem GROUP BY 1, 2)
 SELECT 'c' || CAST(o_custkey AS VARCHAR) AS username,
-  CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 17 = 0 THEN 0
-       ELSE coalesce(c.n, 0) END AS n_stickers
-FROM orders LEFT JOIN c ON c.l_orderkey = o_orderkey""",
+       CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE 0 END AS n_stickers
+FROM orders WHERE o_orderkey % 13 = 0 OR o_orderkey % 17 = 0
+UNION ALL
+SELECT 'c' || CAST(o_custkey AS VARCHAR), coalesce(c.n, 0)
+FROM orders LEFT JOIN c ON c.l_orderkey = o_orderkey
+WHERE o_orderkey % 13 <> 0 AND o_orderkey % 17 <> 0""",
     "unnest_stickers": f"""
 SELECT 'c' || CAST(o_custkey AS VARCHAR) AS username,
   CASE WHEN l_linenumber = 2 AND l_orderkey % 5 = 0 THEN NULL
