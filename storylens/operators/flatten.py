@@ -31,3 +31,19 @@ def story_links(reels: DataFrame, link_field: str = "url", out_col: str = "story
                 keep: tuple[str, ...] = ()) -> DataFrame:
     """G1 then G2: ``username`` and the raw sticker link."""
     return explode_stickers(explode_items(reels, keep), link_field, out_col, keep)
+
+
+def sticker_values(reels: DataFrame, fn, out_col: str, link_field: str = "url",
+                   keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per sticker whose ``fn(story_link.<link_field>)`` is not NULL.
+
+    ``fn`` is applied to the item's sticker list before the explode, so the
+    value is computed once per sticker: a filter on it can no longer be pushed
+    below the generator (where Catalyst would inline and recompute it).
+    Stickers whose value is NULL give no row; use ``story_links`` to keep them.
+    """
+    items = explode_items(reels, keep)
+    values = F.transform("item.story_link_stickers",
+                         lambda s: fn(s.getField("story_link").getField(link_field)))
+    out = items.select(*keep, "username", F.explode_outer(values).alias(out_col))
+    return out.filter(F.col(out_col).isNotNull())

@@ -271,11 +271,11 @@ def capture_log_from_events(events: DataFrame) -> DataFrame:
     """
     user = F.concat(F.lit("u"), F.col("user_id").cast("string"))
     k = F.col("event_id") % 5
-    url = (F.when(k == 0, F.concat(F.lit("https://www.instagram.com/stories/"), user, F.lit("/?r="),
+    url = (F.when(k == 0, F.concat(F.lit("https://social.example/stories/"), user, F.lit("/?r="),
                                    F.col("event_id").cast("string")))
            .when(k == 1, F.concat(F.lit("https://cdn.example/jo"), user, F.lit("/?r=1")))
-           .when(k == 2, F.concat(F.lit("https://www.instagram.com/"), user, F.lit("/")))
-           .when(k == 4, F.lit("https://www.instagram.com/stories/other/?r=1")))
+           .when(k == 2, F.concat(F.lit("https://social.example/"), user, F.lit("/")))
+           .when(k == 4, F.lit("https://social.example/stories/other/?r=1")))
     return _log_entries(events.select(
         user.alias("username"), F.col("event_id").alias("seq"),
         F.when(F.col("event_type") == "signup", F.lit("Network.requestWillBeSent"))
@@ -318,9 +318,9 @@ def capture_inputs(customer: DataFrame, orders: DataFrame) -> tuple[DataFrame, D
     page_errors = customer.filter(F.col("c_custkey") % 97 == 0).select(user.alias("username"))
     ouser = F.concat(F.lit("c"), F.col("o_custkey").cast("string"))
     key = F.col("o_orderkey")
-    url = F.when(key % 3 != 0, F.concat(F.lit("https://www.instagram.com/stories/"), ouser,
+    url = F.when(key % 3 != 0, F.concat(F.lit("https://social.example/stories/"), ouser,
                                         F.lit("/?r="), key.cast("string"))) \
-        .otherwise(F.lit("https://www.instagram.com/explore/"))
+        .otherwise(F.lit("https://social.example/explore/"))
     log = _log_entries(orders.select(
         ouser.alias("username"), key.alias("seq"), F.lit("Network.responseReceived").alias("method"),
         F.concat(F.lit("q"), key.cast("string")).alias("request_id"), url.alias("url"),
@@ -383,7 +383,7 @@ def story_pages(pages: DataFrame) -> DataFrame:
 
 def roster_a(customer: DataFrame) -> DataFrame:
     return customer.select(
-        F.concat(F.lit("https://www.instagram.com/"), F.col("c_name"), F.lit("/")).alias("LINK"),
+        F.concat(F.lit("https://social.example/"), F.col("c_name"), F.lit("/")).alias("LINK"),
         "c_custkey", "c_mktsegment")
 
 
@@ -392,7 +392,7 @@ def roster_b(supplier: DataFrame) -> DataFrame:
     rede = (F.when(k == 0, F.lit("Instagram")).when(k == 1, F.lit("instagram"))
             .when(k == 3, F.lit("TikTok")))
     return supplier.select(
-        F.concat(F.lit("https://www.instagram.com/"), F.col("s_name"), F.lit("/")).alias("LINK"),
+        F.concat(F.lit("https://social.example/"), F.col("s_name"), F.lit("/")).alias("LINK"),
         rede.alias("Rede"), F.col("s_nationkey").alias("note_b"))
 
 
