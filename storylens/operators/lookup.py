@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from itertools import chain
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storylens.schemas import ORIGIN_RULES
@@ -49,9 +51,26 @@ ORIGIN_RULES_12 = (
 # left to AQE, which still broadcasts it if its runtime size is small.
 MAX_BROADCAST_RULES = 100_000
 
+# In-code rule sets up to this size are looked up in a literal map inside the
+# scan stage (no join, no broadcast job); larger ones are joined.
+MAX_MAP_RULES = 64
+
 RuleSource = DataFrame | tuple | list
 
 
+def origin_of(host: Column, rules: tuple | list = ORIGIN_RULES_17) -> Column:
+    """F5 as an expression: label of ``host`` from in-code rules (NULL if none)."""
+    keys = [h for h, _ in rules]
+    if len(keys) != len(set(keys)):
+        raise ValueError("origin rules must have unique hosts")
+    m = F.create_map(*chain.from_iterable((F.lit(h), F.lit(o)) for h, o in rules))
+    return F.element_at(m, host)
+
+
+def is_small_rule_set(rules: RuleSource) -> bool:
+    return not isinstance(rules, DataFrame) and len(rules) <= MAX_MAP_RULES
+
+
 def rules_frame(spark: SparkSession, rules: RuleSource = ORIGIN_RULES_17) -> DataFrame:
     """Rule table as a DataFrame; Python pairs become a literal array expanded
     with ``inline`` on the JVM side (no Python worker needed to scan it)."""
@@ -79,10 +98,14 @@ def label_hosts(df: DataFrame, host_col: str = "host", rules: RuleSource = ORIGI
                 origin_col: str = "origin", keep_unmatched: bool = True) -> DataFrame:
     """Add ``origin`` = label of ``host_col`` (NULL if no rule matches or host is NULL).
 
-    Rules given as Python pairs are bounded by construction and broadcast; a
+    A small in-code rule set is a literal-map lookup in the same stage. Other
+    rules are joined: Python pairs are bounded by construction and broadcast; a
     rule DataFrame is broadcast only after a bounded count shows it is small.
-    ``keep_unmatched=False`` makes it an inner join (rows without a label go).
+    ``keep_unmatched=False`` drops rows without a label.
     """
+    if is_small_rule_set(rules):
+        out = df.withColumn(origin_col, origin_of(F.col(host_col), rules))
+        return out if keep_unmatched else out.filter(F.col(origin_col).isNotNull())
     spark = df.sparkSession
     in_memory = None if isinstance(rules, DataFrame) else len(rules)
     r = rules_frame(spark, rules).withColumnRenamed("host", "__rule_host") \

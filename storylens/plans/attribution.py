@@ -1,11 +1,12 @@
 """Q1 / Q2 / Q3: story-link attribution.
 
 Physical shape of Q1 (see ``.explain()``): scan -> explode reels -> explode
-items -> explode of the per-sticker host array -> broadcast hash join with the
-rule table -> partial distinct, all in one stage; one exchange on
-(username, origin, date); final distinct. The host is computed once per
-sticker inside the generator input, so the join's inferred not-null filter
-cannot be pushed below it and recompute it. The partial distinct collapses a
+items -> explode of the per-sticker label array (host expression + literal
+map lookup of the 17 rules) -> partial distinct, all in one stage; one
+exchange on (username, origin, date); final distinct. The label is computed
+once per sticker inside the generator input, so the not-null filter cannot
+be pushed below it and recompute it. A rule table given as a DataFrame is
+joined instead (checked broadcast). The partial distinct collapses a
 heavy profile's repeated (origin, date) pairs before anything is shuffled.
 """
 
@@ -18,7 +19,9 @@ from pyspark.sql import functions as F
 
 from storylens.functions.strings import display_host, redirect_host
 from storylens.operators.flatten import sticker_values, story_links
-from storylens.operators.lookup import ORIGIN_RULES_12, ORIGIN_RULES_17, RuleSource, label_hosts
+from storylens.operators.lookup import (
+    ORIGIN_RULES_12, ORIGIN_RULES_17, RuleSource, is_small_rule_set, label_hosts, origin_of,
+)
 from storylens.operators.unwrap import reels_from_raw
 from storylens.schemas import EXPORT_STORIES
 
@@ -41,12 +44,16 @@ def attribution(reels: DataFrame, run_date: str | _dt.date | None = None,
     ``reels`` has ``user struct<username>`` and ``items`` (E8). Output is
     ``username, origin, date``.
     """
-    if drop_unlabelled:
-        # rows without a host cannot get a label: compute the host once per sticker
+    if drop_unlabelled and is_small_rule_set(rules):
+        # label computed once per sticker inside the generator input; rows
+        # without a label never leave the explode
+        labelled = sticker_values(reels, lambda u: origin_of(redirect_host(u), rules), "origin")
+    elif drop_unlabelled:
         links = sticker_values(reels, redirect_host, "host")
+        labelled = label_hosts(links, "host", rules, keep_unmatched=False)
     else:
         links = story_links(reels).select("username", redirect_host("story_link_url").alias("host"))
-    labelled = label_hosts(links, "host", rules, keep_unmatched=not drop_unlabelled)
+        labelled = label_hosts(links, "host", rules, keep_unmatched=True)
     out = labelled.select("username", "origin", run_date_col(run_date).alias("date"))
     if drop_unlabelled:
         out = out.filter(F.col("origin").isNotNull())

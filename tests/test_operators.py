@@ -63,6 +63,11 @@ def test_lookup_filter_dedup(spark):
     assert d.distinct().exceptAll(d).count() == 0
     q2f = attribution_rows(reels, "2026-12-01").filter("origin is not null").distinct()
     assert q2f.exceptAll(d).count() == 0 and d.exceptAll(q2f).count() == 0
+    # the same rules as a DataFrame go through the join path: same rows
+    dj = daily_attribution(reels, "2026-12-01", rules_frame(spark))
+    assert dj.exceptAll(d).count() == 0 and d.exceptAll(dj).count() == 0
+    q2j = attribution_rows(reels, "2026-12-01", rules_frame(spark))
+    assert q2j.exceptAll(attribution_rows(reels, "2026-12-01")).count() == 0
 
 
 def test_rules_are_disjoint_and_broadcast(spark):
@@ -73,10 +78,16 @@ def test_rules_are_disjoint_and_broadcast(spark):
     out = label_hosts(df, "host")
     assert sorted((r.host or "", r.origin or "") for r in out.collect()) == [
         ("", ""), ("amzlink.to", "Amazon"), ("nope", "")]
-    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
-    # a rule table given as a DataFrame works too
-    rdf = rules_frame(spark, ORIGIN_RULES_12)
-    assert label_hosts(df, "host", rdf).filter("origin = 'Amazon'").count() == 1
+    # a rule table given as a DataFrame is a checked broadcast join, same answer
+    rdf = rules_frame(spark, ORIGIN_RULES_17)
+    joined = label_hosts(df, "host", rdf)
+    assert sorted((r.host or "", r.origin or "") for r in joined.collect()) == [
+        ("", ""), ("amzlink.to", "Amazon"), ("nope", "")]
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    assert label_hosts(df, "host", rdf, keep_unmatched=False).count() == 1
+    # a large in-code rule set is joined too
+    many = list(ORIGIN_RULES_17) + [(f"h{i}.example", "X") for i in range(100)]
+    assert label_hosts(df, "host", many).filter("origin = 'Amazon'").count() == 1
 
 
 def _env(reels_json, feed=STORY_MARKER):
