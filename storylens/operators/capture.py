@@ -63,7 +63,10 @@ def capture_outcomes(profiles: DataFrame, log: DataFrame, bodies: DataFrame,
     ``page_errors`` (optional) lists usernames whose page visit itself failed.
     ``doc`` is the ``{"require": …}`` document for captured profiles.
     """
-    matches = first_matches(log, exact)
+    # One row per matched profile is the build side; bodies (page payloads)
+    # are only ever streamed through a shuffle, never broadcast, whatever the
+    # file-size estimate says.
+    matches = first_matches(log, exact).hint("shuffle_hash")
     b = bodies.select("username", "request_id", "body", "base64_encoded",
                       F.lit(True).alias("__has_body"))
     fetched = matches.join(b, ["username", "request_id"], "left") \
