@@ -35,9 +35,17 @@ def test_every_query_has_an_oracle():
     assert set(E.queries()) == set(E.oracle_sql())
 
 
+SQL_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "date": "DATE",
+             "boolean": "BOOLEAN", "double": "DOUBLE"}
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, sf_dir, con, name):
     df = E.queries()[name](spark, sf_dir)
+    spark_types = {f.name: SQL_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    oracle_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    assert spark_types == oracle_types
     cols = sorted(df.columns)
     got = sorted((tuple(_norm(r[c]) for c in cols) for r in df.collect()), key=_key)
     rel = con.execute(E.oracle_sql()[name])
