@@ -206,3 +206,28 @@ def test_roster_preparation(spark):
     assert "note_b" not in profiles.columns
     assert [r.LINK for r in bad.collect()] == ["https://s.example"]
     assert profile_count(profiles).first()[0] == 3
+
+
+def test_first_match_decides_even_if_its_body_fails(spark):
+    ok_page = _page(_sjs(_env(json.dumps([_reel("x", _item("u"))]))))
+    profiles = spark.createDataFrame([("a",)], "username string")
+    log = spark.createDataFrame([_log("a", 1, "https://i/a/?r=1"), _log("a", 2, "https://i/a/?r=2")],
+                                "username string, seq long, message string")
+    bodies = spark.createDataFrame([("a", "r2", ok_page, False)],
+                                   "username string, request_id string, body string, base64_encoded boolean")
+    assert [r.status for r in cap.capture_outcomes(profiles, log, bodies).collect()] == ["body_error"]
+
+
+def test_latest_documents_last_write_wins(spark):
+    from storylens.session import scratch_path
+    from storylens.sinks.writers import write_latest_documents
+    caps = spark.createDataFrame([
+        ("a", "captured", 1, "d1"), ("a", "captured", 5, "d5"), ("a", "body_error", 9, None),
+        ("b", "payload_not_found", 2, None), ("c", "captured", 3, "d3"),
+    ], "username string, status string, seq long, doc string")
+    p = scratch_path(spark, "k3")
+    write_latest_documents(caps, p, "2026-12-01")
+    write_latest_documents(caps.filter("username = 'c'"), p, "2026-12-02")
+    t = spark.read.parquet(p)
+    got = sorted((str(r.run_date), r.username, r.seq, r.doc) for r in t.collect())
+    assert got == [("2026-12-01", "a", 5, "d5"), ("2026-12-01", "c", 3, "d3"), ("2026-12-02", "c", 3, "d3")]
