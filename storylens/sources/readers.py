@@ -33,7 +33,7 @@ def read_reels_files(spark: SparkSession, path: str, multi_line: bool = False,
     files go to the quarantine with their text and source file.
     """
     df = _json_reader(spark, REEL, multi_line, glob).json(path) \
-        .withColumn("source_file", F.input_file_name())
+        .withColumn("source_file", F.col("_metadata.file_path"))
     bad = F.col(CORRUPT).isNotNull()
     reels = df.filter(~bad).select("user", "items", "source_file")
     # whatever parsed rides along (Spark must parse a data column to detect corruption)
