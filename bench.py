@@ -81,7 +81,11 @@ def main() -> None:
             samples.append(time.perf_counter() - t0)
         times[name] = round(statistics.median(samples), 3)
     total = round(sum(times.values()), 3)
-    sf = os.path.basename(sf_dir).replace("sf", "")
+    sf_name = os.path.basename(sf_dir).replace("sf", "")
+    try:
+        sf = float(sf_name)
+    except ValueError:
+        sf = sf_name
     print(json.dumps({"metric": "sum_of_median_query_sec", "value": total, "unit": "sec",
                       "queries": times, "sf": sf, "cpus": cpus, "runs": runs}))
     spark.stop()

@@ -158,6 +158,18 @@ SELECT (SELECT count(DISTINCT username) FROM ({DAILY})) AS distinct_users,
        (SELECT count(*) FROM ({ROSTER})) AS n_profiles""",
     "snapshot_roundtrip": DAILY,
     "stream_attribution": DAILY,
+    "reels_table_roundtrip": DAILY,
+    "route_roundtrip": f"""
+SELECT item_id, requested, CASE WHEN has_stories THEN 'stories' ELSE 'no_stories' END AS route
+FROM ({EXPORT_ITEMS})""",
+    "per_key_append": f"""
+SELECT coalesce(requested, 'no_user') AS key, 2 * count(*) AS n_items FROM ({EXPORT_ITEMS}) GROUP BY 1""",
+    "latest_documents": f"""
+SELECT DATE '{fx.RUN_DATE}' AS run_date, 'c' || CAST(c_custkey AS VARCHAR) AS username, m.k AS seq,
+       'ScheduledServerJS' AS first_module
+FROM customer JOIN (SELECT o_custkey, min(o_orderkey) AS k FROM orders
+                    WHERE o_orderkey % 3 <> 0 GROUP BY o_custkey) m ON m.o_custkey = c_custkey
+WHERE c_custkey % 97 <> 0 AND m.k % 7 NOT IN (0, 1, 2)""",
     "permissive_json": f"""
 WITH d AS (SELECT user_id, event_id // {fx.BLOCK} AS block, count(DISTINCT event_id % {fx.STORIES}) AS n
            FROM events GROUP BY user_id, event_id // {fx.BLOCK})

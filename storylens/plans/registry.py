@@ -26,7 +26,10 @@ from storylens.plans.attribution import (
     attribution_rows as q2, daily_attribution as q1, has_stories, link_attribution as q3,
 )
 from storylens.session import scratch_path
-from storylens.sinks.writers import snapshot_path, write_snapshot
+from storylens.sinks.writers import (
+    append_per_key, route_by_story, snapshot_path, write_latest_documents, write_reels_table,
+    write_snapshot,
+)
 from storylens.sources.readers import read_reels_files, read_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -233,6 +236,42 @@ def stream_attribution(spark, sf_dir):
     return spark.read.schema("username string, origin string, date date").parquet(f"{base}/out")
 
 
+def reels_table_roundtrip(spark, sf_dir):
+    """K6 then Q1: unwrap once into a Parquet table, read the ok partition back."""
+    path = scratch_path(spark, "reels-table")
+    write_reels_table(fx.raw_documents(_t(spark, sf_dir, "events")), path)
+    curated = spark.read.parquet(path).filter(F.col("unwrap_status") == "ok") \
+        .select(F.explode("reels").alias("r")).select("r.user", "r.items")
+    return q1(curated, fx.RUN_DATE)
+
+
+def route_roundtrip(spark, sf_dir):
+    """K5: one routed write, read back with its route folder."""
+    path = scratch_path(spark, "routed")
+    route_by_story(fx.export_items(_t(spark, sf_dir, "events")), path)
+    back = spark.read.schema("item_id bigint, requested string, stories string, route string").json(path)
+    return back.select("item_id", "requested", "route")
+
+
+def per_key_append(spark, sf_dir):
+    """K4: two appends of the same items under per-key folders, counted back."""
+    path = scratch_path(spark, "per-key")
+    items = fx.export_items(_t(spark, sf_dir, "events"))
+    append_per_key(items, path)
+    append_per_key(items, path)
+    back = spark.read.schema("item_id bigint, requested string, stories string, key string").json(path)
+    return back.groupBy("key").agg(F.count(F.lit(1)).cast("bigint").alias("n_items"))
+
+
+def latest_documents(spark, sf_dir):
+    """K3: last successful capture per profile written by run date, read back."""
+    path = scratch_path(spark, "latest-docs")
+    write_latest_documents(_capture(spark, sf_dir), path, fx.RUN_DATE)
+    back = spark.read.schema("username string, seq bigint, doc string, run_date date").parquet(path)
+    return back.select("run_date", "username", "seq",
+                       F.get_json_object("doc", "$.require[0][0]").alias("first_module"))
+
+
 QUERIES: dict[str, Query] = {
     "daily_attribution": daily_attribution,
     "attribution_rows": attribution_rows,
@@ -260,4 +299,8 @@ QUERIES: dict[str, Query] = {
     "snapshot_roundtrip": snapshot_roundtrip,
     "permissive_json": permissive_json,
     "stream_attribution": stream_attribution,
+    "reels_table_roundtrip": reels_table_roundtrip,
+    "route_roundtrip": route_roundtrip,
+    "per_key_append": per_key_append,
+    "latest_documents": latest_documents,
 }
