@@ -1,0 +1,69 @@
+"""Plan-shape guards for the scale properties (see README "Designed for scale")."""
+
+from storylens.operators import capture as cap
+from storylens.operators.lookup import rules_frame
+from storylens.operators.pages import page_reels
+from storylens.operators.unwrap import reels_from_raw
+from storylens.plans import fixtures as fx
+from storylens.plans.attribution import daily_attribution
+from storylens.session import scratch_path
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _stored(spark, df, name):
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_q1_is_one_stage_plus_one_exchange(spark, sf_dir):
+    raw = _stored(spark, fx.raw_documents(fx.load(spark, sf_dir, "events")), "plan-raw")
+    plan = _plan(daily_attribution(reels_from_raw(raw), fx.RUN_DATE))
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "Join" not in plan and "BroadcastExchange" not in plan
+    # partial distinct before the exchange, final after it
+    assert plan.count("HashAggregate") == 2
+    # the document is parsed by a single from_json, inside the first generator
+    assert plan.count("from_json") == 1
+    # the label is computed once, inside the generator input (no filter recomputing it)
+    assert "Filter isnotnull(element_at" not in plan and "Filter isnotnull(replace" not in plan
+
+
+def test_q1_with_rule_table_uses_checked_broadcast(spark, sf_dir):
+    raw = _stored(spark, fx.raw_documents(fx.load(spark, sf_dir, "events")), "plan-raw2")
+    plan = _plan(daily_attribution(reels_from_raw(raw), fx.RUN_DATE, rules_frame(spark)))
+    assert "BroadcastHashJoin" in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_first_match_aggregates_before_shuffle(spark, sf_dir):
+    log = _stored(spark, fx.capture_log_from_events(fx.load(spark, sf_dir, "events")), "plan-log")
+    plan = _plan(cap.first_matches(log))
+    assert "partial_min_by" in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_bodies_are_never_broadcast(spark, sf_dir):
+    profiles, log, bodies, errors = fx.capture_inputs(fx.load(spark, sf_dir, "customer"),
+                                                      fx.load(spark, sf_dir, "orders"))
+    bodies = _stored(spark, bodies, "plan-bodies")
+    df = cap.capture_outcomes(profiles, log, bodies, errors)
+    df.write.format("noop").mode("overwrite").save()  # final AQE plan
+    lines = _plan(df).splitlines()
+
+    def indent(line):
+        return len(line) - len(line.lstrip(" :+-"))
+
+    # the nearest exchange above the bodies scan is a shuffle, not a broadcast
+    scan = next(i for i, x in enumerate(lines) if "FileScan" in x and "base64_encoded" in x)
+    above = [x for x in lines[:scan] if "Exchange" in x and indent(x) < indent(lines[scan])]
+    assert above[-1].lstrip(" :+-").startswith("Exchange hashpartitioning")
+    assert any("ShuffledHashJoin" in x for x in lines)
+
+
+def test_scans_prune_columns(spark, sf_dir):
+    raw = _stored(spark, fx.raw_documents(fx.load(spark, sf_dir, "events")), "plan-raw3")
+    assert "ReadSchema: struct<doc:string>" in _plan(daily_attribution(reels_from_raw(raw), fx.RUN_DATE))
+    pages = _stored(spark, fx.story_pages(fx.load(spark, sf_dir, "pages")), "plan-pages")
+    assert "ReadSchema: struct<page_id:bigint,html:string>" in _plan(page_reels(pages))
