@@ -26,7 +26,8 @@ from storylens.sources.readers import read_raw_documents, read_roster, read_snap
 
 def run_daily(spark: SparkSession, raw_path: str, out_base: str, run_date: str,
               curated_path: str | None = None, roster_a: str | None = None,
-              roster_b: str | None = None, network: str = "Instagram") -> dict:
+              roster_b: str | None = None, network: str = "Instagram",
+              single_file: bool = False) -> dict:
     """Run one day; returns the published path and the reported counts.
 
     With ``curated_path`` the day's documents are unwrapped once into a
@@ -51,7 +52,7 @@ def run_daily(spark: SparkSession, raw_path: str, out_base: str, run_date: str,
     else:
         reels = reels_from_raw(raw)
     snapshot = daily_attribution(reels, run_date)
-    report["published"] = publish_snapshot(snapshot, out_base, run_date, single_file=True)
+    report["published"] = publish_snapshot(snapshot, out_base, run_date, single_file=single_file)
     if report["published"]:
         path = snapshot_path(out_base, run_date)
         report["path"] = path
@@ -69,10 +70,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--roster-a")
     ap.add_argument("--roster-b")
     ap.add_argument("--network", default="Instagram")
+    ap.add_argument("--single-file", action="store_true", help="write the snapshot as one CSV file")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("storylens-daily").getOrCreate()
     print(json.dumps(run_daily(spark, a.raw, a.out, a.run_date, a.curated, a.roster_a, a.roster_b,
-                               a.network)))
+                               a.network, a.single_file)))
 
 
 if __name__ == "__main__":

@@ -38,11 +38,13 @@ def write_snapshot(df: DataFrame, base: str, run_date: str | _dt.date,
                    single_file: bool = False) -> str:
     """K1: one directory per run date, replaced on rerun (also by an empty result).
 
-    ``single_file`` coalesces to one CSV part; the snapshot is a small distinct
-    result, but leave it off when it is not.
+    ``single_file`` writes one CSV part through ``repartition(1)``: the
+    distinct aggregation before it keeps all its tasks (``coalesce(1)`` would
+    pull it into a single task), only the final write is one task. Leave it
+    off when the snapshot is large.
     """
     path = snapshot_path(base, run_date)
-    out = df.coalesce(1) if single_file else df
+    out = df.repartition(1) if single_file else df
     out.write.mode("overwrite").options(**SNAPSHOT_CSV).csv(path)
     return path
 

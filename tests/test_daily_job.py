@@ -16,7 +16,7 @@ def test_run_daily(spark, sf_dir):
     fx.roster_a(fx.load(spark, sf_dir, "customer")).write.option("header", True).csv(a)
     fx.roster_b(fx.load(spark, sf_dir, "supplier")).write.option("header", True).csv(b)
     rep = run_daily(spark, f"{base}/raw", f"{base}/out", fx.RUN_DATE, curated_path=f"{base}/reels",
-                    roster_a=a, roster_b=b)
+                    roster_a=a, roster_b=b, single_file=True)
     expected = daily_attribution(reels_from_raw(raw), fx.RUN_DATE)
     got = read_snapshot(spark, rep["path"])
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
