@@ -2,7 +2,8 @@
 
 Inputs are derived from the driver's tables and stored as Parquet first
 (the build is not timed); each query is forced with a ``noop`` write and
-timed as the median of ``$BENCH_RUNS`` warm runs. Prints one JSON line.
+timed as the median of ``$BENCH_RUNS`` (default 5) runs after one warm-up
+pass over all queries. Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from storylens.sinks.writers import write_reels_table  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = build_session(f"local[{cpus}]", cpus, "storylens-bench",
                           {"spark.driver.memory": "16g"})
     base = scratch_path(spark, "bench")
@@ -71,9 +72,10 @@ def main() -> None:
         "capture_outcomes": lambda: noop(cap.capture_outcomes(p("profiles"), p("clog"), p("bodies"),
                                                               p("errors"))),
     }
+    for fn in queries.values():  # warm-up pass over every query before any timing
+        fn()
     times = {}
     for name, fn in queries.items():
-        fn()  # warm-up
         samples = []
         for _ in range(runs):
             t0 = time.perf_counter()
