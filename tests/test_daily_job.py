@@ -26,3 +26,26 @@ def test_run_daily(spark, sf_dir):
     # a day without documents publishes a header-only snapshot
     rep2 = run_daily(spark, f"{base}/raw", f"{base}/out", "2026-12-02")
     assert rep2["published"] and rep2["distinct_users"] == 0
+
+
+def test_capture_to_attribution_chain(spark, sf_dir):
+    """Q5 -> K3 -> unwrap -> Q1: captured documents feed the attribution unchanged."""
+    from pyspark.sql import functions as F
+
+    from storylens.operators import capture as cap
+    from storylens.sinks.writers import write_latest_documents
+    from storylens.sources.readers import read_raw_documents
+
+    profiles, log, bodies, errors = fx.capture_inputs(fx.load(spark, sf_dir, "customer"),
+                                                      fx.load(spark, sf_dir, "orders"))
+    outcomes = cap.capture_outcomes(profiles, log, bodies, errors)
+    path = scratch_path(spark, "chain")
+    write_latest_documents(outcomes, path, fx.RUN_DATE)
+    raw = read_raw_documents(spark, path, fx.RUN_DATE)
+    reels = reels_from_raw(raw, keep=("username",)).withColumnRenamed("username", "profile")
+    # every captured profile's document holds one reel of that same profile
+    same = reels.select(F.col("profile"), F.col("user.username").alias("u"))
+    assert same.filter("profile != u").count() == 0
+    assert same.count() == outcomes.filter("status = 'captured'").count()
+    q1 = daily_attribution(reels.select("user", "items"), fx.RUN_DATE)
+    assert q1.count() > 0 and q1.filter("origin is null").count() == 0
