@@ -27,66 +27,76 @@ NOT_AVAILABLE = "not_available"
 PAGE_ERROR = "page_error"
 
 
-def parse_log(log: DataFrame) -> DataFrame:
+VISIT = ("username",)
+
+
+def parse_log(log: DataFrame, keys: tuple[str, ...] = VISIT) -> DataFrame:
     """S6 + F10: ``message`` JSON text parsed; malformed entries give NULL fields."""
     m = F.from_json("message", LOG_MESSAGE).getField("message")
     return log.select(
-        "username", "seq",
+        *keys, "seq",
         F.coalesce(m.getField("method"), F.lit("")).alias("method"),
         m.getField("params").getField("requestId").alias("request_id"),
         m.getField("params").getField("response").getField("url").alias("url"))
 
 
-def matching_responses(log: DataFrame, exact: bool = False) -> DataFrame:
+def matching_responses(log: DataFrame, exact: bool = False,
+                       keys: tuple[str, ...] = VISIT) -> DataFrame:
     """P8 + P9: response events whose url contains ``<username>/?r=``.
 
     The match is a literal substring, so ``ana`` also matches ``…/joana/?r=``;
     ``exact=True`` requires a ``/`` before the username.
     """
-    p = parse_log(log)
+    p = parse_log(log, keys)
     key = F.concat(F.lit("/") if exact else F.lit(""), F.col("username"), F.lit(ENDPOINT_SUFFIX))
     return p.filter((F.col("method") == RESPONSE_RECEIVED)
                     & F.col("url").contains(key)
                     & F.col("request_id").isNotNull())
 
 
-def first_matches(log: DataFrame, exact: bool = False) -> DataFrame:
-    """The first matching response per username by ``seq``."""
-    return first_per_key(matching_responses(log, exact), ["username"], "seq", ["seq", "request_id"])
+def first_matches(log: DataFrame, exact: bool = False, keys: tuple[str, ...] = VISIT) -> DataFrame:
+    """The first matching response per visit by ``seq``.
+
+    A visit is one profile page load; ``keys`` names it (``username`` when the
+    log holds one run, e.g. ``("run_date", "username")`` when it holds many).
+    """
+    return first_per_key(matching_responses(log, exact, keys), list(keys), "seq", ["seq", "request_id"])
 
 
 def capture_outcomes(profiles: DataFrame, log: DataFrame, bodies: DataFrame,
                      page_errors: DataFrame | None = None, exact: bool = False,
-                     marker: str = STORY_MARKER) -> DataFrame:
-    """``username, status, seq, doc`` per profile row (duplicates kept).
+                     marker: str = STORY_MARKER, keys: tuple[str, ...] = VISIT) -> DataFrame:
+    """``keys…, status, seq, doc`` per profile row (duplicates kept).
 
-    ``page_errors`` (optional) lists usernames whose page visit itself failed.
-    ``doc`` is the ``{"require": …}`` document for captured profiles.
+    ``profiles``, ``bodies`` and ``page_errors`` carry the visit ``keys``
+    (``username`` by default). ``page_errors`` (optional) lists visits whose
+    page load itself failed. ``doc`` is the ``{"require": …}`` document of
+    captured visits.
     """
-    # One row per matched profile is the build side; bodies (page payloads)
+    k = list(keys)
+    # One row per matched visit is the build side; bodies (page payloads)
     # are only ever streamed through a shuffle, never broadcast, whatever the
     # file-size estimate says.
-    matches = first_matches(log, exact).hint("shuffle_hash")
-    b = bodies.select("username", "request_id", "body", "base64_encoded",
-                      F.lit(True).alias("__has_body"))
-    fetched = matches.join(b, ["username", "request_id"], "left") \
+    matches = first_matches(log, exact, keys).hint("shuffle_hash")
+    b = bodies.select(*k, "request_id", "body", "base64_encoded", F.lit(True).alias("__has_body"))
+    fetched = matches.join(b, [*k, "request_id"], "left") \
         .withColumn("__text", body_text(F.col("body"), F.col("base64_encoded")))
     fetched = fetched.withColumn(
         "__doc", F.when(F.col("__has_body") & F.col("__text").isNotNull(),
                         embedded_require_document(F.col("__text"), marker)))
     decided = fetched.select(
-        "username", "seq", F.lit(True).alias("__matched"),
+        *k, "seq", F.lit(True).alias("__matched"),
         F.when(F.col("__has_body").isNull() | F.col("__text").isNull(), F.lit(BODY_ERROR))
          .when(F.col("__doc").isNull(), F.lit(PAYLOAD_NOT_FOUND))
          .otherwise(F.lit(CAPTURED)).alias("__status"),
         F.col("__doc").alias("doc"))
-    out = profiles.select("username").join(decided, "username", "left")
+    out = profiles.select(*k).join(decided, k, "left")
     status = F.when(F.col("__matched").isNull(), F.lit(NOT_AVAILABLE)).otherwise(F.col("__status"))
     if page_errors is not None:
-        errs = page_errors.select("username").distinct().withColumn("__page_error", F.lit(True))
-        out = out.join(errs, "username", "left")
+        errs = page_errors.select(*k).distinct().withColumn("__page_error", F.lit(True))
+        out = out.join(errs, k, "left")
         status = F.when(F.col("__page_error"), F.lit(PAGE_ERROR)).otherwise(status)
-    return out.select("username", status.alias("status"),
+    return out.select(*k, status.alias("status"),
                       F.when(status == CAPTURED, F.col("seq")).alias("seq"),
                       F.when(status == CAPTURED, F.col("doc")).alias("doc"))
 

@@ -231,3 +231,16 @@ def test_latest_documents_last_write_wins(spark):
     t = spark.read.parquet(p)
     got = sorted((str(r.run_date), r.username, r.seq, r.doc) for r in t.collect())
     assert got == [("2026-12-01", "a", 5, "d5"), ("2026-12-01", "c", 3, "d3"), ("2026-12-02", "c", 3, "d3")]
+
+
+def test_capture_outcomes_per_visit_keys(spark):
+    ok_page = _page(_sjs(_env(json.dumps([_reel("x", _item("u"))]))))
+    profiles = spark.createDataFrame([(1, "a"), (2, "a")], "day int, username string")
+    rows = [(d,) + _log("a", s, f"https://i/a/?r={s}") for d, s in ((1, 1), (2, 5), (2, 6))]
+    log = spark.createDataFrame(rows, "day int, username string, seq long, message string")
+    bodies = spark.createDataFrame([(1, "a", "r1", "<html/>", False), (2, "a", "r5", ok_page, False)],
+                                   "day int, username string, request_id string, body string, "
+                                   "base64_encoded boolean")
+    out = cap.capture_outcomes(profiles, log, bodies, keys=("day", "username"))
+    assert sorted((r.day, r.status, r.seq) for r in out.collect()) == [
+        (1, "payload_not_found", None), (2, "captured", 5)]
