@@ -111,3 +111,23 @@ def test_reels_table_is_new_and_rerunnable(spark):
 
 def test_snapshot_path_format():
     assert snapshot_path("s3a://b/out/", "2026-12-01") == "s3a://b/out/run_date=20261201"
+
+
+def test_capture_log_and_roster_readers(spark):
+    from storylens.operators.capture import first_matches
+    from storylens.sources.readers import read_capture_log, read_roster
+    d = local_path(scratch_path(spark, "s6"))
+    os.makedirs(d)
+    msg = {"message": {"method": "Network.responseReceived",
+                       "params": {"requestId": "r1", "response": {"url": "https://x/ana/?r=1"}}}}
+    with open(f"{d}/log.json", "w") as f:
+        f.write(json.dumps({"username": "ana", "seq": 2, "message": json.dumps(msg)}) + "\n")
+        f.write(json.dumps({"username": "ana", "seq": 1, "message": "{broken"}) + "\n")
+    log = read_capture_log(spark, d)
+    assert [(r.username, r.seq, r.request_id) for r in first_matches(log).collect()] == [("ana", 2, "r1")]
+    r = local_path(scratch_path(spark, "s4"))
+    os.makedirs(r)
+    with open(f"{r}/roster.csv", "w") as f:
+        f.write('LINK,Rede\nhttps://s.example/ana/,Instagram\n"https://s.example/b,c/",TikTok\n')
+    roster = read_roster(spark, r, schema="LINK string, Rede string")
+    assert sorted(x.LINK for x in roster.collect()) == ["https://s.example/ana/", "https://s.example/b,c/"]
