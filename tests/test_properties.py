@@ -63,3 +63,12 @@ def test_distinct_is_idempotent_and_duplicates_do_not_matter(spark, sf_dir):
     assert once.count() == once.distinct().count()
     assert once.exceptAll(twice).count() == 0 and twice.exceptAll(once).count() == 0
     assert once.filter(F.col("origin").isNull()).count() == 0
+
+
+def test_approx_distinct_users_is_close(spark, sf_dir):
+    from storylens.operators.counts import distinct_users
+    ev = fx.load(spark, "/root/testdata/sf0.01", "events") \
+        .select(F.concat(F.lit("u"), (F.col("event_id") % 5000).cast("string")).alias("username"))
+    exact = ev.agg(distinct_users("username")).first()[0]
+    approx = ev.agg(distinct_users("username", approx=True)).first()[0]
+    assert exact == 5000 and abs(approx - exact) / exact < 0.1
