@@ -37,13 +37,14 @@ def sticker_values(reels: DataFrame, fn, out_col: str, link_field: str = "url",
                    keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per sticker whose ``fn(story_link.<link_field>)`` is not NULL.
 
-    ``fn`` is applied to the item's sticker list before the explode, so the
-    value is computed once per sticker: a filter on it can no longer be pushed
-    below the generator (where Catalyst would inline and recompute it).
-    Stickers whose value is NULL give no row; use ``story_links`` to keep them.
+    The value is computed once per sticker, in generated code, as the input
+    of a one-element ``explode_outer``; the NULL filter sits above that
+    generator, so Catalyst cannot push it below and inline (recompute) the
+    expression in a filter. Stickers whose value is NULL give no row; use
+    ``story_links`` to keep them.
     """
-    items = explode_items(reels, keep)
-    values = F.transform("item.story_link_stickers",
-                         lambda s: fn(s.getField("story_link").getField(link_field)))
-    out = items.select(*keep, "username", F.explode_outer(values).alias(out_col))
+    stickers = explode_items(reels, keep).select(
+        *keep, "username", F.explode("item.story_link_stickers").alias("__sticker"))
+    value = fn(F.col("__sticker").getField("story_link").getField(link_field))
+    out = stickers.select(*keep, "username", F.explode_outer(F.array(value)).alias(out_col))
     return out.filter(F.col(out_col).isNotNull())

@@ -1,11 +1,11 @@
 """Q1 / Q2 / Q3: story-link attribution.
 
 Physical shape of Q1 (see ``.explain()``): scan -> explode reels -> explode
-items -> explode of the per-sticker label array (host expression + literal
-map lookup of the 17 rules) -> partial distinct, all in one stage; one
-exchange on (username, origin, date); final distinct. The label is computed
-once per sticker inside the generator input, so the not-null filter cannot
-be pushed below it and recompute it. A rule table given as a DataFrame is
+items -> explode stickers -> one-element explode of the sticker's label (host
+expression + literal-map lookup of the 17 rules) -> NULL filter -> partial
+distinct, all in one codegen'd stage; one exchange on (username, origin,
+date); final distinct. The label is computed once per sticker as a generator
+input, so the not-null filter cannot be pushed below it and recompute it. A rule table given as a DataFrame is
 joined instead (checked broadcast). The partial distinct collapses a
 heavy profile's repeated (origin, date) pairs before anything is shuffled.
 """
