@@ -31,9 +31,15 @@ VISIT = ("username",)
 
 
 def parse_log(log: DataFrame, keys: tuple[str, ...] = VISIT) -> DataFrame:
-    """S6 + F10: ``message`` JSON text parsed; malformed entries give NULL fields."""
-    m = F.from_json("message", LOG_MESSAGE).getField("message")
-    return log.select(
+    """S6 + F10: ``message`` JSON text parsed; malformed entries give NULL fields.
+
+    The parse is the input of a one-element generator, so filters on the
+    parsed fields stay above it instead of re-parsing every message.
+    """
+    parsed = log.select(*keys, "seq", F.explode_outer(
+        F.array(F.from_json("message", LOG_MESSAGE).getField("message"))).alias("__m"))
+    m = F.col("__m")
+    return parsed.select(
         *keys, "seq",
         F.coalesce(m.getField("method"), F.lit("")).alias("method"),
         m.getField("params").getField("requestId").alias("request_id"),

@@ -42,6 +42,7 @@ def test_first_match_aggregates_before_shuffle(spark, sf_dir):
     log = _stored(spark, fx.capture_log_from_events(fx.load(spark, sf_dir, "events")), "plan-log")
     plan = _plan(cap.first_matches(log))
     assert "partial_min_by" in plan and plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("from_json") == 1  # each message parsed once
 
 
 def test_bodies_are_never_broadcast(spark, sf_dir):
