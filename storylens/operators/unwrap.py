@@ -30,17 +30,21 @@ def _reason(doc: Column, reels_json: Column, reels: Column) -> Column:
 def unwrap(raw: DataFrame, doc_col: str = "doc", path: str = REELS_PATH) -> DataFrame:
     """Add ``reels`` (array of reel structs) and ``unwrap_status`` to each raw row."""
     doc = F.col(doc_col)
-    rj = unwrap_reels_json(doc, path)
-    parsed = raw.withColumn("__reels_json", rj) \
-        .withColumn("reels", F.from_json("__reels_json", REELS))
-    out = parsed.withColumn(
-        "unwrap_status", _reason(doc, F.col("__reels_json"), F.col("reels")))
-    return out.drop("__reels_json")
+    out = raw.withColumn("reels", reels_col(doc, path))
+    return out.withColumn("unwrap_status", _reason(doc, unwrap_reels_json(doc, path), F.col("reels")))
 
 
 def reels_col(doc: Column, path: str = REELS_PATH) -> Column:
-    """P5 as one expression: the parsed reels list, NULL when the document fails."""
-    return F.from_json(unwrap_reels_json(doc, path), REELS)
+    """P5 as one expression: the parsed reels list, NULL when the document fails.
+
+    The document is parsed once into a VARIANT and the path is read straight
+    into the typed list. Documents the VARIANT parser rejects (duplicate keys,
+    size limit) or whose path does not hold a list (an already-unwrapped list
+    root, a lone object) take the text path (``get_json_object`` +
+    ``from_json``); on every other document both paths give the same value.
+    """
+    fast = F.try_variant_get(F.try_parse_json(doc), path, REELS.simpleString())
+    return F.coalesce(fast, F.from_json(unwrap_reels_json(doc, path), REELS))
 
 
 def reels_rows(unwrapped: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
