@@ -244,3 +244,18 @@ def test_capture_outcomes_per_visit_keys(spark):
     out = cap.capture_outcomes(profiles, log, bodies, keys=("day", "username"))
     assert sorted((r.day, r.status, r.seq) for r in out.collect()) == [
         (1, "payload_not_found", None), (2, "captured", 5)]
+
+
+def test_unwrap_fallback_cases_match_text_parse(spark):
+    from storylens.functions.jsonpath import unwrap_reels_json
+    from storylens.operators.unwrap import reels_col
+    from storylens.schemas import REELS
+    dup = _env('[{"user":{"username":"a","username":"b"},"items":[]}]')
+    lone = _env('{"user":{"username":"c"},"items":[]}')
+    normal = _env(json.dumps([_reel("d", _item("u"))]))
+    raw = spark.createDataFrame([(1, dup), (2, lone), (3, normal)], "seq long, doc string")
+    got = raw.select("seq", reels_col(F.col("doc")).alias("fast"),
+                     F.from_json(unwrap_reels_json(F.col("doc")), REELS).alias("text")).collect()
+    for r in got:
+        assert r.fast == r.text, r.seq
+    assert [u.unwrap_status for u in unwrap(raw).orderBy("seq").collect()] == ["ok", "ok", "ok"]
