@@ -51,9 +51,12 @@ def main():
     }
     out = ["# Physical plans of the headline queries", "",
            f"Generated by `tools/explain_plans.py` at `{os.path.basename(sf_dir)}` "
-           "(`local[8]`, AQE on; scratch paths shortened). AQE may still re-plan at "
-           "runtime (coalesce partitions, switch small joins to broadcast, split skew).", ""]
+           "(`local[8]`, AQE on; scratch paths shortened). Each query is run once "
+           "first, so these are the final adaptive plans; `*` and `[codegen id]` mark "
+           "whole-stage codegen. At other sizes AQE may choose differently (partition "
+           "counts, broadcast of small join sides, skew splits).", ""]
     for name, df in queries.items():
+        df.collect()  # run this plan itself (small at sf0.01) so explain shows the final adaptive plan
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             df.explain("formatted")
