@@ -31,56 +31,57 @@ from storylens.sinks.writers import (
     write_snapshot,
 )
 from storylens.sources.readers import read_reels_files, read_snapshot
+from storylens.streaming.incremental import start_attribution_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _t(spark, sf_dir, name):
+def _table(spark, sf_dir, name):
     return fx.load(spark, sf_dir, name)
 
 
 # --- roster (Q6) -------------------------------------------------------------
 
 def roster_union(spark, sf_dir):
-    profiles, _ = prepare_roster(fx.roster_a(_t(spark, sf_dir, "customer")),
-                                 fx.roster_b(_t(spark, sf_dir, "supplier")))
+    profiles, _ = prepare_roster(fx.roster_a(_table(spark, sf_dir, "customer")),
+                                 fx.roster_b(_table(spark, sf_dir, "supplier")))
     return profiles.select("LINK", "c_custkey", "c_mktsegment", "Rede")
 
 
 def roster_profile_key(spark, sf_dir):
-    links = _t(spark, sf_dir, "pages").select("page_id", F.col("url").alias("LINK"))
+    links = _table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("LINK"))
     profiles, _ = split_profiles(links)
     return profiles
 
 
 def key_quarantine(spark, sf_dir):
-    _, bad = split_profiles(fx.shortened_links(_t(spark, sf_dir, "pages")))
+    _, bad = split_profiles(fx.shortened_links(_table(spark, sf_dir, "pages")))
     return bad.select("page_id", "LINK", "reason")
 
 
 # --- host functions and lookups -----------------------------------------------
 
 def redirect_host_q(spark, sf_dir):
-    p = _t(spark, sf_dir, "pages")
+    p = _table(spark, sf_dir, "pages")
     link = F.concat(F.lit("https://l.example/?u="), F.url_encode("url"), F.lit("&e="),
                     F.col("page_id").cast("string"))
     return p.select("page_id", redirect_host(link).alias("host"))
 
 
 def display_host_q(spark, sf_dir):
-    p = _t(spark, sf_dir, "pages").select(
+    p = _table(spark, sf_dir, "pages").select(
         "page_id", F.regexp_replace("url", "^[a-z]+://", "").alias("display_url"))
     return p.select("page_id", "display_url", display_host("display_url").alias("host"))
 
 
 def origin_lookup(spark, sf_dir):
-    ev = _t(spark, sf_dir, "events").select(
+    ev = _table(spark, sf_dir, "events").select(
         "event_id", redirect_host(fx.link_url(F.col("event_id"))).alias("host"))
     return label_hosts(ev, "host").select("event_id", "host", "origin")
 
 
 def origin_lookup_12(spark, sf_dir):
-    ev = _t(spark, sf_dir, "events").select(
+    ev = _table(spark, sf_dir, "events").select(
         "event_id", display_host(fx.display_url(F.col("event_id"))).alias("host"))
     return label_hosts(ev, "host", ORIGIN_RULES_12).select("event_id", "host", "origin")
 
@@ -88,7 +89,7 @@ def origin_lookup_12(spark, sf_dir):
 # --- flattening ----------------------------------------------------------------
 
 def _order_reels(spark, sf_dir):
-    return fx.order_reels(_t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem"))
+    return fx.order_reels(_table(spark, sf_dir, "orders"), _table(spark, sf_dir, "lineitem"))
 
 
 def unnest_stories(spark, sf_dir):
@@ -104,7 +105,7 @@ def unnest_stickers(spark, sf_dir):
 # --- attribution (Q1-Q3) ----------------------------------------------------------
 
 def _event_reels(spark, sf_dir):
-    return reels_from_raw(fx.raw_documents(_t(spark, sf_dir, "events")))
+    return reels_from_raw(fx.raw_documents(_table(spark, sf_dir, "events")))
 
 
 def daily_attribution(spark, sf_dir):
@@ -116,16 +117,16 @@ def attribution_rows(spark, sf_dir):
 
 
 def link_attribution(spark, sf_dir):
-    return q3(fx.export_items(_t(spark, sf_dir, "events")))
+    return q3(fx.export_items(_table(spark, sf_dir, "events")))
 
 
 def route_no_story(spark, sf_dir):
-    items = fx.export_items(_t(spark, sf_dir, "events"))
+    items = fx.export_items(_table(spark, sf_dir, "events"))
     return items.select("item_id", "requested", has_stories(F.col("stories")).alias("has_stories"))
 
 
 def default_key(spark, sf_dir):
-    items = fx.export_items(_t(spark, sf_dir, "events"))
+    items = fx.export_items(_table(spark, sf_dir, "events"))
     keyed = items.select(F.coalesce("requested", F.lit("no_user")).alias("key"))
     return documents_per_key(keyed, "key")
 
@@ -133,19 +134,19 @@ def default_key(spark, sf_dir):
 # --- pages (Q4) -------------------------------------------------------------------
 
 def script_blocks_q(spark, sf_dir):
-    return page_blocks(_t(spark, sf_dir, "pages"), pattern=r"(?s)<script[^>]*>(.*?)</script>") \
+    return page_blocks(_table(spark, sf_dir, "pages"), pattern=r"(?s)<script[^>]*>(.*?)</script>") \
         .select("page_id", F.col("pos").cast("bigint").alias("pos"), "block")
 
 
 def embedded_story_json(spark, sf_dir):
-    u = page_reels(fx.story_pages(_t(spark, sf_dir, "pages")))
+    u = page_reels(fx.story_pages(_table(spark, sf_dir, "pages")))
     reels = u.filter(F.col("unwrap_status") == "ok") \
         .select("page_id", F.explode("reels").alias("r")).select("page_id", "r.user", "r.items")
     return explode_stickers(explode_items(reels, keep=("page_id",)), keep=("page_id",))
 
 
 def path_failures(spark, sf_dir):
-    u = unwrap(fx.raw_documents(_t(spark, sf_dir, "events")))
+    u = unwrap(fx.raw_documents(_table(spark, sf_dir, "events")))
     return u.groupBy(F.col("unwrap_status").alias("reason")) \
         .agg(F.count(F.lit(1)).cast("bigint").alias("n_docs"))
 
@@ -153,12 +154,12 @@ def path_failures(spark, sf_dir):
 # --- capture log (Q5) ---------------------------------------------------------------
 
 def log_first_match(spark, sf_dir):
-    log = fx.capture_log_from_events(_t(spark, sf_dir, "events"))
+    log = fx.capture_log_from_events(_table(spark, sf_dir, "events"))
     return cap.first_matches(log).select("username", "seq", "request_id")
 
 
 def body_decode(spark, sf_dir):
-    docs = _t(spark, sf_dir, "documents")
+    docs = _table(spark, sf_dir, "documents")
     requests = docs.select(F.col("source").alias("username"), "doc_id",
                            F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("request_id"))
     fetched = requests.join(fx.document_bodies(docs), ["username", "request_id"], "left")
@@ -166,8 +167,8 @@ def body_decode(spark, sf_dir):
 
 
 def _capture(spark, sf_dir):
-    profiles, log, bodies, errors = fx.capture_inputs(_t(spark, sf_dir, "customer"),
-                                                      _t(spark, sf_dir, "orders"))
+    profiles, log, bodies, errors = fx.capture_inputs(_table(spark, sf_dir, "customer"),
+                                                      _table(spark, sf_dir, "orders"))
     return cap.capture_outcomes(profiles, log, bodies, errors)
 
 
@@ -180,7 +181,7 @@ def capture_summary(spark, sf_dir):
 
 
 def latest_payload(spark, sf_dir):
-    ev = _t(spark, sf_dir, "events").filter(F.col("event_type") != "error").select(
+    ev = _table(spark, sf_dir, "events").filter(F.col("event_type") != "error").select(
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("username"),
         "ts", F.col("event_id").alias("seq"), F.col("props").alias("payload"))
     return last_per_key(ev, ["username"], F.struct("ts", "seq"), ["seq", "payload"])
@@ -194,8 +195,8 @@ def user_counts(spark, sf_dir):
         .withColumn("k", F.lit("distinct_users"))
     b = q2(reels, fx.RUN_DATE).agg(distinct_users("username").alias("v")) \
         .withColumn("k", F.lit("users_with_sticker"))
-    profiles, _ = prepare_roster(fx.roster_a(_t(spark, sf_dir, "customer")),
-                                 fx.roster_b(_t(spark, sf_dir, "supplier")))
+    profiles, _ = prepare_roster(fx.roster_a(_table(spark, sf_dir, "customer")),
+                                 fx.roster_b(_table(spark, sf_dir, "supplier")))
     c = profiles.agg(F.count(F.lit(1)).cast("bigint").alias("v")).withColumn("k", F.lit("n_profiles"))
     # three one-row counts side by side, without a cross join
     both = a.unionByName(b).unionByName(c)
@@ -211,7 +212,7 @@ def snapshot_roundtrip(spark, sf_dir):
 
 def permissive_json(spark, sf_dir):
     kind = fx.broken_kind(F.col("user_id"), F.col("block"))
-    reels = fx.event_reels(_t(spark, sf_dir, "events"))
+    reels = fx.event_reels(_table(spark, sf_dir, "events"))
     line = F.to_json(F.col("reel"))
     text = reels.select(F.when(kind == 5, F.substring(line, 1, 40)).otherwise(line).alias("value"))
     path = scratch_path(spark, "reels-jsonl")
@@ -228,9 +229,8 @@ def permissive_json(spark, sf_dir):
 def stream_attribution(spark, sf_dir):
     """Q1 through the streaming job: raw documents land as files, one
     available-now run processes them, the sink is read back."""
-    from storylens.streaming.incremental import start_attribution_stream
     base = scratch_path(spark, "stream")
-    fx.raw_documents(_t(spark, sf_dir, "events")).write.mode("overwrite").parquet(f"{base}/raw")
+    fx.raw_documents(_table(spark, sf_dir, "events")).write.mode("overwrite").parquet(f"{base}/raw")
     q = start_attribution_stream(spark, f"{base}/raw", f"{base}/out", f"{base}/_checkpoint")
     q.awaitTermination()
     return spark.read.schema("username string, origin string, date date").parquet(f"{base}/out")
@@ -239,7 +239,7 @@ def stream_attribution(spark, sf_dir):
 def reels_table_roundtrip(spark, sf_dir):
     """K6 then Q1: unwrap once into a Parquet table, read the ok partition back."""
     path = scratch_path(spark, "reels-table")
-    write_reels_table(fx.raw_documents(_t(spark, sf_dir, "events")), path)
+    write_reels_table(fx.raw_documents(_table(spark, sf_dir, "events")), path)
     curated = spark.read.parquet(path).filter(F.col("unwrap_status") == "ok") \
         .select(F.explode("reels").alias("r")).select("r.user", "r.items")
     return q1(curated, fx.RUN_DATE)
@@ -248,7 +248,7 @@ def reels_table_roundtrip(spark, sf_dir):
 def route_roundtrip(spark, sf_dir):
     """K5: one routed write, read back with its route folder."""
     path = scratch_path(spark, "routed")
-    route_by_story(fx.export_items(_t(spark, sf_dir, "events")), path)
+    route_by_story(fx.export_items(_table(spark, sf_dir, "events")), path)
     back = spark.read.schema("item_id bigint, requested string, stories string, route string").json(path)
     return back.select("item_id", "requested", "route")
 
@@ -256,7 +256,7 @@ def route_roundtrip(spark, sf_dir):
 def per_key_append(spark, sf_dir):
     """K4: two appends of the same items under per-key folders, counted back."""
     path = scratch_path(spark, "per-key")
-    items = fx.export_items(_t(spark, sf_dir, "events"))
+    items = fx.export_items(_table(spark, sf_dir, "events"))
     append_per_key(items, path)
     append_per_key(items, path)
     back = spark.read.schema("item_id bigint, requested string, stories string, key string").json(path)
