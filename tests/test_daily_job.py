@@ -1,5 +1,7 @@
 """The daily job end to end on scratch folders."""
 
+import os
+
 from storylens.operators.unwrap import reels_from_raw
 from storylens.plans import fixtures as fx
 from storylens.plans.attribution import daily_attribution
@@ -49,3 +51,15 @@ def test_capture_to_attribution_chain(spark, sf_dir):
     assert same.count() == outcomes.filter("status = 'captured'").count()
     q1 = daily_attribution(reels.select("user", "items"), fx.RUN_DATE)
     assert q1.count() > 0 and q1.filter("origin is null").count() == 0
+
+
+def test_daily_job_cli(spark, sf_dir, capsys):
+    import json
+
+    from storylens.plans.daily_job import main
+    base = scratch_path(spark, "daily-cli")
+    fx.raw_documents(fx.load(spark, sf_dir, "events")).write.partitionBy("run_date").parquet(f"{base}/raw")
+    main(["--raw", f"{base}/raw", "--out", f"{base}/out", "--run-date", fx.RUN_DATE, "--single-file"])
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert report["published"] and report["distinct_users"] > 0
+    assert len([p for p in os.listdir(local_path(report["path"])) if p.endswith(".csv")]) == 1
