@@ -14,8 +14,11 @@ from storylens.functions.strings import profile_key
 
 REASON_SHORT_LINK = "short_or_missing_link"
 
+# Fixed value: the network name a second roster is restricted to (exact case).
+DEFAULT_NETWORK = "Instagram"
 
-def network_rows(roster: DataFrame, network: str = "Instagram", link_col: str = "LINK",
+
+def network_rows(roster: DataFrame, network: str = DEFAULT_NETWORK, link_col: str = "LINK",
                  network_col: str = "Rede") -> DataFrame:
     """P1 + P2: keep the link and network columns, exact-case network match (NULL drops)."""
     return roster.select(link_col, network_col).filter(F.col(network_col) == F.lit(network))
@@ -53,7 +56,7 @@ def split_profiles(roster: DataFrame, link_col: str = "LINK",
     return profiles, bad
 
 
-def prepare_roster(roster_a: DataFrame, roster_b: DataFrame, network: str = "Instagram",
+def prepare_roster(roster_a: DataFrame, roster_b: DataFrame, network: str = DEFAULT_NETWORK,
                    link_col: str = "LINK") -> tuple[DataFrame, DataFrame]:
     """Full Q6: (profiles, quarantine). ``profiles[link_col]`` holds usernames."""
     u = union_rosters(roster_a, network_rows(roster_b, network, link_col))

@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from storylens.operators.counts import distinct_users
-from storylens.operators.roster import prepare_roster
+from storylens.operators.roster import DEFAULT_NETWORK, prepare_roster
 from storylens.operators.unwrap import UNWRAP_OK, reels_from_raw
 from storylens.plans.attribution import daily_attribution
 from storylens.sinks.writers import publish_snapshot, snapshot_path, write_reels_table
@@ -26,7 +26,7 @@ from storylens.sources.readers import read_raw_documents, read_roster, read_snap
 
 def run_daily(spark: SparkSession, raw_path: str, out_base: str, run_date: str,
               curated_path: str | None = None, roster_a: str | None = None,
-              roster_b: str | None = None, network: str = "Instagram",
+              roster_b: str | None = None, network: str = DEFAULT_NETWORK,
               single_file: bool = False) -> dict:
     """Run one day; returns the published path and the reported counts.
 
@@ -69,7 +69,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--curated")
     ap.add_argument("--roster-a")
     ap.add_argument("--roster-b")
-    ap.add_argument("--network", default="Instagram")
+    ap.add_argument("--network", default=DEFAULT_NETWORK)
     ap.add_argument("--single-file", action="store_true", help="write the snapshot as one CSV file")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("storylens-daily").getOrCreate()

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storylens.functions.jsonpath import STORY_MARKER
+from storylens.operators.roster import DEFAULT_NETWORK
 from storylens.plans.attribution import NO_STORY_SENTENCE
 
 RUN_DATE = "2026-12-01"
@@ -389,7 +390,7 @@ def roster_a(customer: DataFrame) -> DataFrame:
 
 def roster_b(supplier: DataFrame) -> DataFrame:
     k = F.col("s_suppkey") % 4
-    rede = (F.when(k == 0, F.lit("Instagram")).when(k == 1, F.lit("instagram"))
+    rede = (F.when(k == 0, F.lit(DEFAULT_NETWORK)).when(k == 1, F.lower(F.lit(DEFAULT_NETWORK)))
             .when(k == 3, F.lit("TikTok")))
     return supplier.select(
         F.concat(F.lit("https://social.example/"), F.col("s_name"), F.lit("/")).alias("LINK"),

@@ -8,6 +8,7 @@ CASE labels to the same synthetic links (built from the shared fixed lists).
 from __future__ import annotations
 
 from storylens.operators.lookup import ORIGIN_RULES_12, ORIGIN_RULES_17
+from storylens.operators.roster import DEFAULT_NETWORK
 from storylens.plans import fixtures as fx
 
 
@@ -69,10 +70,10 @@ EXPORT_ITEMS = f"""
 SELECT min(event_id) AS item_id, {EX_USER} AS requested, (user_id % 9 <> 4) AS has_stories
 FROM events GROUP BY user_id, event_id // {fx.BLOCK}"""
 
-ROSTER = """
+ROSTER = f"""
 SELECT c_name AS LINK, c_custkey, c_mktsegment, CAST(NULL AS VARCHAR) AS Rede FROM customer
 UNION ALL
-SELECT s_name AS LINK, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), 'Instagram' FROM supplier
+SELECT s_name AS LINK, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), {_q(DEFAULT_NETWORK)} FROM supplier
 WHERE s_suppkey % 4 = 0"""
 
 _CAPTURE = """
