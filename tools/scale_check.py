@@ -1,7 +1,8 @@
 """Scaling check: Q1 on $REPLICAS copies of the sf0.1 lineitem documents, Spark vs DuckDB.
 
 Copies shift the order keys, users stay the same (each user gets REPLICAS
-times more stickers). Documents are stored as Parquet (raw and curated) and
+times more stickers). With HOT=1 a third of all lines move to one supplier, so
+one user holds a third of all stickers. Documents are stored as Parquet (raw and curated) and
 as JSON lines for DuckDB before timing; each engine's time is the median of
 3 runs after a warm-up. Prints one JSON line.
 """
@@ -42,12 +43,16 @@ def _median(fn, runs=3):
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     replicas = int(os.environ.get("REPLICAS", "10"))
+    hot = os.environ.get("HOT", "0") == "1"
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = build_session(f"local[{cpus}]", cpus, "storylens-scale", {"spark.driver.memory": "16g"})
     base = scratch_path(spark, "scale")
     li = fx.load(spark, sf_dir, "lineitem")
     big = li.select("*", F.explode(F.sequence(F.lit(0), F.lit(replicas - 1))).alias("rep")) \
         .withColumn("l_orderkey", F.col("l_orderkey") + F.col("rep") * F.lit(10_000_000)).drop("rep")
+    if hot:
+        big = big.withColumn("l_suppkey", F.when(F.col("l_orderkey") % 3 == 0, F.lit(1))
+                             .otherwise(F.col("l_suppkey")))
     fx.lineitem_raw_documents(big).write.parquet(f"{base}/raw")
     raw = spark.read.parquet(f"{base}/raw")
     write_reels_table(raw, f"{base}/reels")
@@ -78,7 +83,7 @@ def main():
     con = duckdb.connect()
     duck_rows = len(con.execute(sql).fetchall())
     duck = _median(lambda: con.execute(sql).fetchall())
-    print(json.dumps({"stickers": n, "replicas": replicas, "rows": rows, "duckdb_rows": duck_rows,
+    print(json.dumps({"stickers": n, "replicas": replicas, "hot_user": hot, "rows": rows, "duckdb_rows": duck_rows,
                       "spark_curated_sec": spark_cur, "spark_raw_sec": spark_raw,
                       "duckdb_jsonl_sec": duck, "cpus": cpus}))
 
