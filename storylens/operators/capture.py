@@ -53,7 +53,11 @@ def matching_responses(log: DataFrame, exact: bool = False,
     The match is a literal substring, so ``ana`` also matches ``…/joana/?r=``;
     ``exact=True`` requires a ``/`` before the username.
     """
-    p = parse_log(log, keys)
+    # Cheap byte search before the parse: a response event names its method
+    # literally, unless the text spells it with \u escapes (always parsed).
+    msg = F.col("message")
+    candidates = log.filter(msg.contains(RESPONSE_RECEIVED) | msg.contains("\\u"))
+    p = parse_log(candidates, keys)
     key = F.concat(F.lit("/") if exact else F.lit(""), F.col("username"), F.lit(ENDPOINT_SUFFIX))
     return p.filter((F.col("method") == RESPONSE_RECEIVED)
                     & F.col("url").contains(key)

@@ -259,3 +259,14 @@ def test_unwrap_fallback_cases_match_text_parse(spark):
     for r in got:
         assert r.fast == r.text, r.seq
     assert [u.unwrap_status for u in unwrap(raw).orderBy("seq").collect()] == ["ok", "ok", "ok"]
+
+
+def test_log_prefilter_keeps_escaped_methods(spark):
+    escaped = json.dumps({"message": {"method": "Network.responseReceived",
+                                      "params": {"requestId": "r9", "response": {"url": "https://i/a/?r=1"}}}},
+                         ensure_ascii=False).replace("responseReceived", "response\\u0052eceived")
+    assert "responseReceived" not in escaped
+    log = spark.createDataFrame([("a", 1, escaped), _log("b", 2, "https://i/b/?r=2")],
+                                "username string, seq long, message string")
+    got = sorted((r.username, r.request_id) for r in cap.first_matches(log).collect())
+    assert got == [("a", "r9"), ("b", "r2")]
