@@ -160,6 +160,7 @@ SELECT (SELECT count(DISTINCT username) FROM ({DAILY})) AS distinct_users,
     "snapshot_roundtrip": DAILY,
     "stream_attribution": DAILY,
     "reels_table_roundtrip": DAILY,
+    "sql_daily_attribution": DAILY,
     "route_roundtrip": f"""
 SELECT item_id, requested, CASE WHEN has_stories THEN 'stories' ELSE 'no_stories' END AS route
 FROM ({EXPORT_ITEMS})""",

@@ -25,6 +25,7 @@ from storylens.plans import fixtures as fx
 from storylens.plans.attribution import (
     attribution_rows as q2, daily_attribution as q1, has_stories, link_attribution as q3,
 )
+from storylens.plans.sql import daily_attribution_sql
 from storylens.session import scratch_path
 from storylens.sinks.writers import (
     append_per_key, route_by_story, snapshot_path, write_latest_documents, write_reels_table,
@@ -272,6 +273,11 @@ def latest_documents(spark, sf_dir):
                        F.get_json_object("doc", "$.require[0][0]").alias("first_module"))
 
 
+def sql_daily_attribution(spark, sf_dir):
+    """Q1 written as one parameterised SQL string over the raw documents."""
+    return daily_attribution_sql(spark, fx.raw_documents(_table(spark, sf_dir, "events")), fx.RUN_DATE)
+
+
 QUERIES: dict[str, Query] = {
     "daily_attribution": daily_attribution,
     "attribution_rows": attribution_rows,
@@ -303,4 +309,5 @@ QUERIES: dict[str, Query] = {
     "route_roundtrip": route_roundtrip,
     "per_key_append": per_key_append,
     "latest_documents": latest_documents,
+    "sql_daily_attribution": sql_daily_attribution,
 }
