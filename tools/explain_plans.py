@@ -20,6 +20,7 @@ from storylens.operators.pages import page_reels  # noqa: E402
 from storylens.operators.unwrap import reels_from_raw  # noqa: E402
 from storylens.plans import fixtures as fx  # noqa: E402
 from storylens.plans.attribution import attribution_rows, daily_attribution, link_attribution  # noqa: E402
+from storylens.plans.sql import daily_attribution_sql  # noqa: E402
 from storylens.session import build_session, scratch_path  # noqa: E402
 from storylens.sinks.writers import write_reels_table  # noqa: E402
 
@@ -43,6 +44,7 @@ def main():
     queries = {
         "daily_attribution (curated reels)": daily_attribution(curated, fx.RUN_DATE),
         "daily_attribution (raw documents)": daily_attribution(reels_from_raw(p("raw")), fx.RUN_DATE),
+        "daily_attribution (SQL text, raw documents)": daily_attribution_sql(spark, p("raw"), fx.RUN_DATE),
         "attribution_rows": attribution_rows(curated, fx.RUN_DATE),
         "link_attribution": link_attribution(p("export")),
         "embedded_story_json": page_reels(p("pages")),
