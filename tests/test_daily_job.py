@@ -63,3 +63,18 @@ def test_daily_job_cli(spark, sf_dir, capsys):
     report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert report["published"] and report["distinct_users"] > 0
     assert len([p for p in os.listdir(local_path(report["path"])) if p.endswith(".csv")]) == 1
+
+
+def test_duplicate_profiles_change_counts_not_documents(spark, sf_dir):
+    from storylens.operators import capture as cap
+    from storylens.operators.counts import success_rate
+
+    profiles, log, bodies, errors = fx.capture_inputs(fx.load(spark, sf_dir, "customer"),
+                                                      fx.load(spark, sf_dir, "orders"))
+    once = cap.capture_outcomes(profiles, log, bodies, errors)
+    twice = cap.capture_outcomes(profiles.unionByName(profiles), log, bodies, errors)
+    a, b = success_rate(once).first(), success_rate(twice).first()
+    assert (b.n_captured, b.n_profiles) == (2 * a.n_captured, 2 * a.n_profiles)
+    docs_once = cap.latest_success(once).select("username", "seq", "doc")
+    docs_twice = cap.latest_success(twice).select("username", "seq", "doc")
+    assert docs_once.exceptAll(docs_twice).count() == 0 and docs_twice.exceptAll(docs_once).count() == 0
