@@ -9,6 +9,11 @@ keyed by the run date and dropped once the watermark passes it, so state
 stays bounded by a few days of distinct pairs. The file sink commits each
 micro-batch exactly once, so a lost executor or a restarted driver never
 duplicates or loses output.
+
+The dedup state has as many partitions as ``spark.sql.shuffle.partitions``
+when the stream first starts (AQE does not re-plan streaming state, and the
+count is kept in the checkpoint): size it for the expected distinct pairs per
+day before the first run.
 """
 
 from __future__ import annotations
