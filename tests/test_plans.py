@@ -68,3 +68,12 @@ def test_scans_prune_columns(spark, sf_dir):
     assert "ReadSchema: struct<doc:string>" in _plan(daily_attribution(reels_from_raw(raw), fx.RUN_DATE))
     pages = _stored(spark, fx.story_pages(fx.load(spark, sf_dir, "pages")), "plan-pages")
     assert "ReadSchema: struct<page_id:bigint,html:string>" in _plan(page_reels(pages))
+
+
+def test_run_date_read_prunes_partitions(spark, sf_dir):
+    from storylens.sources.readers import read_raw_documents
+    path = scratch_path(spark, "plan-days")
+    raw = fx.raw_documents(fx.load(spark, sf_dir, "events"))
+    raw.write.partitionBy("run_date").parquet(path)
+    plan = _plan(read_raw_documents(spark, path, fx.RUN_DATE))
+    assert "PartitionFilters: [isnotnull(run_date" in plan and "2026-12-01" in plan
