@@ -1,6 +1,6 @@
 """Inputs derived from the driver's tables (documents, exports, logs, pages, rosters).
 
-The reference ships no sample data, so every nested input is built by Spark
+No sample documents come with the pipeline, so every nested input is built by Spark
 from a base table and grows with it. Grouping keys always include an id
 range (``… div BLOCK``) so a document never holds more than ``BLOCK`` source
 rows, however skewed the user column is. The oracles in ``oracle.py``
