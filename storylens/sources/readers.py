@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storylens.schemas import CAPTURE_LOG, EXPORT_ITEM, RAW_DOCUMENTS, REEL, SNAPSHOT
+from storylens.schemas import CAPTURE_LOG, EXPORT_ITEM, RAW_DOCUMENTS, REELS, SNAPSHOT
 
 CORRUPT = "_corrupt_record"
+_REELS_DDL = REELS.simpleString()
 
 
 def _with_corrupt(schema: T.StructType) -> T.StructType:
@@ -27,17 +28,25 @@ def read_reels_files(spark: SparkSession, path: str, multi_line: bool = False,
                      glob: str | None = "*.json") -> tuple[DataFrame, DataFrame]:
     """S1 + S2 + P14: reels documents -> (reels rows, quarantine).
 
+    Line-delimited JSON by default: each line is a reel or an array of reels.
     ``multi_line=True`` reads files that each hold one pretty-printed JSON
     array (one row per element); such files cannot be split, so at scale
-    store line-delimited JSON (the default) or Parquet. Malformed records or
-    files go to the quarantine with their text and source file.
+    store line-delimited JSON or Parquet. Malformed lines or files go to the
+    quarantine with their text and source file. The text is parsed as an
+    expression (one VARIANT parse, typed read, ``from_json`` fallback), so
+    either output can be counted or filtered on its own.
     """
-    df = _json_reader(spark, REEL, multi_line, glob).json(path) \
-        .withColumn("source_file", F.col("_metadata.file_path"))
-    bad = F.col(CORRUPT).isNotNull()
-    reels = df.filter(~bad).select("user", "items", "source_file")
-    # whatever parsed rides along (Spark must parse a data column to detect corruption)
-    quarantine = df.filter(bad).select(F.col(CORRUPT).alias("record"), "user", "items", "source_file")
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    text = reader.text(path, wholetext=multi_line).select(F.col("value").alias("record"),
+                                    F.col("_metadata.file_path").alias("source_file"))
+    text = text.filter(F.trim("record") != "")
+    doc = F.try_parse_json("record")
+    typed = F.coalesce(F.try_variant_get(doc, "$", _REELS_DDL), F.from_json("record", REELS))
+    parsed = text.select("record", "source_file", F.when(doc.isNotNull(), typed).alias("reels"))
+    reels = parsed.filter(F.col("reels").isNotNull()) \
+        .select(F.explode("reels").alias("r"), "source_file") \
+        .select("r.user", "r.items", "source_file")
+    quarantine = parsed.filter(F.col("reels").isNull()).select("record", "source_file")
     return reels, quarantine
 
 

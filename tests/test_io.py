@@ -131,3 +131,13 @@ def test_capture_log_and_roster_readers(spark):
         f.write('LINK,Rede\nhttps://s.example/ana/,Instagram\n"https://s.example/b,c/",TikTok\n')
     roster = read_roster(spark, r, schema="LINK string, Rede string")
     assert sorted(x.LINK for x in roster.collect()) == ["https://s.example/ana/", "https://s.example/b,c/"]
+
+
+def test_folder_without_matching_files_reads_empty(spark):
+    d = local_path(scratch_path(spark, "s1-empty"))
+    os.makedirs(d)
+    with open(f"{d}/notes.txt", "w") as f:
+        f.write("not a document")
+    good, bad = read_reels_files(spark, d, multi_line=True)
+    assert good.count() == 0 and bad.count() == 0
+    assert daily_attribution(good.select("user", "items"), "2026-12-01").count() == 0
