@@ -8,22 +8,9 @@ from pyspark.sql import types as T
 
 from storylens.schemas import CAPTURE_LOG, EXPORT_ITEM, RAW_DOCUMENTS, REELS, SNAPSHOT
 
-CORRUPT = "_corrupt_record"
 _REELS_DDL = REELS.simpleString()
 
 
-def _with_corrupt(schema: T.StructType) -> T.StructType:
-    return T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
-
-
-def _json_reader(spark: SparkSession, schema: T.StructType, multi_line: bool, glob: str | None):
-    r = (spark.read.schema(_with_corrupt(schema))
-         .option("mode", "PERMISSIVE")
-         .option("columnNameOfCorruptRecord", CORRUPT)
-         .option("multiLine", multi_line))
-    return r.option("pathGlobFilter", glob) if glob else r
-
-
 def read_reels_files(spark: SparkSession, path: str, multi_line: bool = False,
                      glob: str | None = "*.json") -> tuple[DataFrame, DataFrame]:
     """S1 + S2 + P14: reels documents -> (reels rows, quarantine).
@@ -52,9 +39,15 @@ def read_reels_files(spark: SparkSession, path: str, multi_line: bool = False,
 
 def read_export_items(spark: SparkSession, path: str, multi_line: bool = False,
                       glob: str | None = "*.json") -> DataFrame:
-    """S3: provider export items; ``stories`` keeps an array or a sentence as text."""
-    df = _json_reader(spark, EXPORT_ITEM, multi_line, glob).json(path)
-    return df.filter(F.col(CORRUPT).isNull()).select("requested", "stories")
+    """S3: provider export items; ``stories`` keeps an array or a sentence as text.
+
+    One item per line (or per file with ``multi_line``); text that is not a
+    JSON document is skipped.
+    """
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    text = reader.text(path, wholetext=multi_line).filter(F.trim("value") != "")
+    valid = text.filter(F.try_parse_json("value").isNotNull())
+    return valid.select(F.from_json("value", EXPORT_ITEM).alias("i")).select("i.requested", "i.stories")
 
 
 def read_roster(spark: SparkSession, path: str, fmt: str = "csv",

@@ -77,6 +77,8 @@ def test_export_items_read_keeps_mixed_stories_as_text(spark):
     with open(f"{d}/output_a.json", "w") as f:
         f.write(json.dumps({"requested": "a", "stories": "No story available"}) + "\n")
         f.write(json.dumps({"requested": "b", "stories": [{"story_link_stickers": []}]}) + "\n")
+        f.write("{not json\n")
+    assert read_export_items(spark, d).count() == 2
     items = {r.requested: r.stories for r in read_export_items(spark, d).collect()}
     assert items["a"] == "No story available"
     assert json.loads(items["b"]) == [{"story_link_stickers": []}]
