@@ -24,12 +24,15 @@ def read_reels_files(spark: SparkSession, path: str, multi_line: bool = False,
     either output can be counted or filtered on its own.
     """
     reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
-    text = reader.text(path, wholetext=multi_line).select(F.col("value").alias("record"),
-                                    F.col("_metadata.file_path").alias("source_file"))
-    text = text.filter(F.trim("record") != "")
-    doc = F.try_parse_json("record")
+    text = reader.text(path, wholetext=multi_line).select(
+        F.col("value").alias("record"), F.col("_metadata.file_path").alias("source_file"))
+    text = text.filter(F.trim("record") != "") \
+        .withColumn("__doc", F.try_parse_json("record"))  # parsed once
+    doc = F.col("__doc")
     typed = F.coalesce(F.try_variant_get(doc, "$", _REELS_DDL), F.from_json("record", REELS))
-    parsed = text.select("record", "source_file", F.when(doc.isNotNull(), typed).alias("reels"))
+    # one-element generator: the filters below stay above it and never re-parse
+    parsed = text.select("record", "source_file", F.explode_outer(
+        F.array(F.when(doc.isNotNull(), typed))).alias("reels"))
     reels = parsed.filter(F.col("reels").isNotNull()) \
         .select(F.explode("reels").alias("r"), "source_file") \
         .select("r.user", "r.items", "source_file")
