@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from storylens.schemas import CAPTURE_LOG, EXPORT_ITEM, RAW_DOCUMENTS, REELS, SNAPSHOT
 
 _REELS_DDL = REELS.simpleString()
+_EXPORT_WITH_CORRUPT = T.StructType(list(EXPORT_ITEM.fields) + [T.StructField("_corrupt", T.StringType())])
 
 
 def read_reels_files(spark: SparkSession, path: str, multi_line: bool = False,
@@ -49,8 +50,11 @@ def read_export_items(spark: SparkSession, path: str, multi_line: bool = False,
     """
     reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
     text = reader.text(path, wholetext=multi_line).filter(F.trim("value") != "")
-    valid = text.filter(F.try_parse_json("value").isNotNull())
-    return valid.select(F.from_json("value", EXPORT_ITEM).alias("i")).select("i.requested", "i.stories")
+    item = F.from_json("value", _EXPORT_WITH_CORRUPT, {"columnNameOfCorruptRecord": "_corrupt"})
+    # one parse per item; the filter stays above the one-element generator
+    parsed = text.select(F.explode_outer(F.array(item)).alias("i"))
+    return parsed.filter(F.col("i").isNotNull() & F.col("i._corrupt").isNull()) \
+        .select("i.requested", "i.stories")
 
 
 def read_roster(spark: SparkSession, path: str, fmt: str = "csv",
