@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storylens.llm import bpe, simhash
+from storylens.llm import bpe, langid, simhash, toxicity
 from storylens.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,20 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(table(spark, sf_dir, "documents"))
+    fitted = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, fitted).select(
+        "doc_id", F.coalesce(~toxicity.training_rows(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(documents(docs), langid.learn(docs)).select(
+        "doc_id", F.coalesce(~langid.training_rows(F.col("doc_id")), F.lit(False)).alias("held_out"),
+        "lang_pred", "score")
