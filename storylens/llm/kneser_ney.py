@@ -38,16 +38,16 @@ class Ratios:
         flat, length = self._flat(words)
         counts = np.asarray(counts, np.float64).reshape(-1, 2)
         at_word = np.repeat(np.arange(len(words)), length)
-        grams = {k: self._grams(flat, at_word, k) for k in range(1, order + 1)}
         self.keys: dict[int, np.ndarray] = {}
         self.ratio: dict[int, np.ndarray] = {}
         self.context: dict[int, np.ndarray] = {}
         self.gamma: dict[int, np.ndarray] = {}
         tables = {}
         for k in range(order, 0, -1):
-            key, at = grams[k]
+            key, at = self._grams(flat, at_word, k)
             seen, place = np.unique(key, return_inverse=True)
-            use = np.stack([np.bincount(place, counts[at, c], len(seen)) for c in (0, 1)], 1)
+            use = np.stack([np.bincount(place, counts[:, c][at], len(seen)) for c in (0, 1)], 1)
+            del key, at, place
             pooled = use.sum(1)
             if k < order:  # how many letters stand before it, but for the start of a word
                 tail = np.searchsorted(seen, tables[k + 1][0] & ((1 << BITS * k) - 1))

@@ -33,7 +33,7 @@ from storylens.llm.common import documents, map_columns, ship_package, written
 from storylens.llm.kneser_ney import Ratios, logistic, sigmoid
 
 #: Training documents of either class at most.
-TOXIC, ORDINARY = 2500, 5000
+TOXIC, ORDINARY = 1500, 4000
 #: Words of a passage whose mean ratio counts.
 WINDOWS = (1, 8, 32)
 #: Different words of the largest ratios whose mean counts.
@@ -104,7 +104,7 @@ def _scorer(shared) -> Scorer:
 
 
 def _word_counts(sample: DataFrame) -> DataFrame:
-    """``(fold, label, word, n)``, counted in each task first."""
+    """``(word, n00, n01, n10, n11)``: in how many documents of a fold and label a word stands."""
     ship_package(sample.sparkSession)
 
     def run(batches):
@@ -120,7 +120,9 @@ def _word_counts(sample: DataFrame) -> DataFrame:
                  "word": pa.array(list(c), pa.string()), "n": pa.array(list(c.values()), pa.int64())})
 
     parts = sample.select("text", "fold", "label").mapInArrow(run, "fold int, label int, word string, n bigint")
-    return parts.groupBy("fold", "label", "word").agg(F.sum("n").alias("n"))
+    return parts.groupBy("word").agg(*(
+        F.sum(F.when((F.col("fold") == f) & (F.col("label") == c), F.col("n")).otherwise(0)).alias(f"n{f}{c}")
+        for f in (0, 1) for c in (0, 1)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", toxic: int = TOXIC, ordinary: int = ORDINARY):
@@ -139,17 +141,20 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", toxic: int
     classes = {label for _, label in have}
     if len(classes) < 2:
         return max(classes, default=0)
-    counts = _word_counts(sample).toPandas()
+    # the words of the bounded sample: sorted, so that equal samples give equal models
+    counts = _word_counts(sample).toArrow().sort_by("word")
 
-    def model(rows):
-        wide = rows.pivot_table(index="word", columns="label", values="n", aggfunc="sum", fill_value=0)
-        return Ratios(list(wide.index), wide[[1, 0]].to_numpy())
+    def model(folds):
+        by_class = [sum(counts[f"n{f}{c}"].to_numpy() for f in folds) for c in (1, 0)]
+        used = by_class[0] + by_class[1] > 0
+        return Ratios(counts["word"].filter(pa.array(used)).to_pylist(), np.stack(by_class, 1)[used])
 
-    final = model(counts)
+    final = model((0, 1))
     if len(have) == 4:
-        held, calibrating = model(counts[counts.fold == 0]), sample.where("fold = 1")
+        held, calibrating = model((0,)), sample.where("fold = 1")
     else:  # too few rows for two halves
         held, calibrating = final, sample
+    del counts
     shared = sample.sparkSession.sparkContext.broadcast((f"held-{id(held)}", (held,)))
     names = [f"e{i}" for i in range(EVIDENCE)]
 
