@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storylens.llm import bpe, langid, simhash, toxicity
+from storylens.llm import bpe, langid, mixing, sharding, simhash, toxicity
 from storylens.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,17 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(documents(docs), langid.learn(docs)).select(
         "doc_id", F.coalesce(~langid.training_rows(F.col("doc_id")), F.lit(False)).alias("held_out"),
         "lang_pred", "score")
+
+
+@query
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(mixing.mix(table(spark, sf_dir, "documents")))
+
+
+@query
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = sharding.write(table(spark, sf_dir, "documents"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return shards.select(
+        "doc_id", sharding.size(F.col("text")).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("key").alias("law"), "shard", "slot", sharding.grown_shard(F.col("doc_id"), F.col("shard")).alias("grown_shard"))
