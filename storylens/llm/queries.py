@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storylens.llm import bpe, langid, mixing, sharding, simhash, toxicity
+from storylens.llm import bitsliced, bpe, langid, mixing, sharding, simhash, toxicity, winnowing
 from storylens.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,37 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.select(
         "doc_id", sharding.size(F.col("text")).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
         F.lit("key").alias("law"), "shard", "slot", sharding.grown_shard(F.col("doc_id"), F.col("shard")).alias("grown_shard"))
+
+
+@query
+def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.against_next(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        F.sha2(F.concat("marks", "positions"), 256).alias("fingerprint"),
+        F.sha2(F.concat("edited_marks", "edited_positions"), 256).alias("edited_fingerprint"),
+        "near_edited", "near_next")
+
+
+@query
+def op9_bitsliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = bitsliced.quantised(table(spark, sf_dir, "embeddings"))
+    return bitsliced.search(vectors.where("vec_id % 100 = 0"), bitsliced.index(vectors))
+
+
+ORACLE["op9_bitsliced_topk"] = """
+WITH v AS (
+  SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS parts
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_inner_product(q.parts, c.parts) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id
+  WHERE q.vec_id % 100 = 0),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id, score
+  FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
