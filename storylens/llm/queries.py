@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storylens.llm import bitsliced, bpe, langid, mixing, sharding, simhash, toxicity, winnowing
+from storylens.llm import bitsliced, bpe, extraction, langid, mixing, sharding, simhash, toxicity, winnowing
 from storylens.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,10 @@ ranked AS (
   FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+
+@query
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extraction.extract(pages, extraction.fit(pages)).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
