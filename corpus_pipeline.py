@@ -9,19 +9,50 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from storylens.llm import bpe
+from storylens.llm import bpe, langid, mixing, simhash, toxicity
 from storylens.llm.common import table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Documents of this score or more are toxic.
+TOXIC = 0.7
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that could be learned; those without a letter go."""
+    found = langid.predict(docs, langid.learn(docs), pred_col="_lang", score_col="_score")
+    return found.where(F.col("_lang") != langid.UNDETERMINED).select(*docs.columns)
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not toxic."""
+    fitted = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, fitted, score_col="_score").where(F.col("_score") < TOXIC).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked fingerprints."""
+    return simhash.keep_first(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The words that the mix takes: a row for each round through a source that takes of a document."""
+    return mixing.documents_of(mixing.mix(docs), docs)
+
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document that is left, packed as little-endian unsigned 32-bit integers."""
-    return bpe.encode(docs.select("doc_id", "text")).select("doc_id", "ids")
+    return bpe.encode(docs.select("doc_id", "lang", "source", "text")).select(
+        "doc_id", "lang", "source", F.expr("length(ids) div 4").alias("n_tokens"), "ids")
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language_id),
+    ("toxicity", clean),
+    ("simhash_near_dedup", near_dedup),
+    ("mixing", mix),
     ("byte_bpe", byte_bpe),
 ]
 

@@ -90,3 +90,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def hash_bound(share: float) -> int:
+    """The largest 64-bit hash of that share of all of them: a sample that costs one filter."""
+    return min(int(-(1 << 63) + min(1.0, max(0.0, share)) * ((1 << 64) - 1)), (1 << 63) - 1)

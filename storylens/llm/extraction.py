@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storylens.llm import dom
-from storylens.llm.common import map_columns
+from storylens.llm.common import hash_bound, map_columns
 from storylens.llm.trees import Boosted
 
 #: Pages of the training sample, about, and the longest among them in characters.
@@ -356,8 +356,7 @@ def fit(pages: DataFrame, html_col: str = "html", sample: int = PAGES) -> Extrac
     n = pages.count()
     if not n:
         return None
-    most = int(-(1 << 63) + min(1.0, sample / n) * ((1 << 64) - 1))
-    rows = (pages.where(F.length(html_col).between(1, LONGEST)).where(hashed <= F.lit(min(most, (1 << 63) - 1)))
+    rows = (pages.where(F.length(html_col).between(1, LONGEST)).where(hashed <= hash_bound(sample / n))
             .select(F.col(html_col).alias("html")).distinct().collect())  # the bounded sample
     return train(sorted(r.html for r in rows))
 

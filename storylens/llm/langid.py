@@ -7,8 +7,8 @@ length 1. A document's language is the one whose prototype has the largest
 cosine with it. The prototypes' mean is what all languages share; it is taken
 out of them.
 
-Prototypes are learned from a bounded sample: the ``SAMPLE`` documents of a language
-with the smallest hashes, at most. All rows are predicted, over whole texts. Letters are
+Prototypes are learned from a bounded sample: about ``SAMPLE`` documents of a language,
+those of the smallest hashes of their ids. All rows are predicted, over whole texts. Letters are
 those of Unicode, lower-cased; everything else separates words.
 
 A null text counts as empty; texts without a letter are ``und`` with score 0, as
@@ -24,14 +24,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from storylens.llm.common import map_columns, ship_package
+from storylens.llm.common import hash_bound, map_columns, ship_package
 
 DIM = 1024
 GRAM = 3
 SEED = 20
-#: Training documents of a language at most.
+#: Training documents of a language, about.
 SAMPLE = 1500
 UNDETERMINED = "und"
 #: Rows of n-gram vectors that a worker keeps, and n-grams counted at once.
@@ -140,12 +139,12 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     known = known.where("lang is not null and doc_id is not null").where(training_rows(F.col("doc_id")))
     hashed = F.xxhash64("doc_id", F.lit("langid"))
-    # which documents: a narrow pass; the window keeps a language's first rows in each task already
-    first = Window.partitionBy("lang").orderBy("hashed", "doc_id")
-    chosen = (known.select("doc_id", "lang", hashed.alias("hashed")).withColumn("n", F.row_number().over(first))
-              .where(F.col("n") <= sample).groupBy("lang").agg(F.max("hashed").alias("most")))
-    # one row for each language
-    rows = known.withColumn("hashed", hashed).join(F.broadcast(chosen), "lang").where("hashed <= most")
+    # one row for each language: its share that the sample takes
+    counts = known.groupBy("lang").count().collect()
+    if not counts:
+        return [], np.zeros((0, DIM))
+    most = spark.createDataFrame([(r.lang, hash_bound(sample / r["count"])) for r in counts], "lang string, most long")
+    rows = known.withColumn("hashed", hashed).join(F.broadcast(most), "lang").where("hashed <= most")
 
     def bundle(batches):
         sums: dict[str, np.ndarray] = {}

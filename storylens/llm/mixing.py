@@ -211,7 +211,7 @@ def documents_of(m: Mix, docs: DataFrame, id_col: str = "doc_id", text_col: str
     A row that is taken whole keeps its text; of others the words stay in order, joined by spaces.
     """
     picked = (m.mixed().groupBy("doc_id", "n", "round")
-              .agg(F.sort_array(F.collect_list(F.struct(F.col("first").cast("int"), F.col("last").cast("int")))).alias("cuts"))
+              .agg(F.sort_array(F.collect_list(F.struct(F.col("first").cast("int").alias("first"), F.col("last").cast("int").alias("last")))).alias("cuts"))
               .join(m.rows.select("doc_id", "n", "size"), ["doc_id", "n"])
               .withColumnsRenamed({"doc_id": "_id", "n": "_n", "round": "_round", "cuts": "_cuts", "size": "_size"}))
     # the rows of one id in the order that numbered them

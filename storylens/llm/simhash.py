@@ -68,12 +68,12 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle: int = SHINGLE) -> DataFrame:
-    """``(doc_id, fp)``: the fingerprint as a signed 64-bit number with the same bits."""
+    """``(doc_id, text, fp)``: the fingerprint as a signed 64-bit number with the same bits."""
 
     def make():
         return lambda texts: [np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)]
 
-    return map_columns(documents(df, id_col, text_col), ["text"], "fp bigint", make).select("doc_id", "fp")
+    return map_columns(documents(df, id_col, text_col), ["text"], "fp bigint", make)
 
 
 def position_sets() -> list[tuple[int, ...]]:
@@ -193,14 +193,34 @@ def links(fps: DataFrame) -> DataFrame:
     return edges if long.isEmpty() else edges.unionByName(_midpoints(long))
 
 
+def _roots(distinct: DataFrame) -> DataFrame:
+    """Each of the distinct fingerprints ``fp`` with the smallest one that links lead to."""
+    nodes = components(links(distinct.select("fp")), "simhash-components")
+    return distinct.join(nodes, distinct.fp == nodes.node, "left").withColumn("root", F.coalesce("root", "fp")).drop("node")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, fingerprint, component_id)``, one row for each row of ``df``."""
-    own = written(fingerprints(df, id_col, text_col), "simhash-fingerprints")
-    distinct = written(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    nodes = components(links(distinct.select("fp")), "simhash-components")
-    grouped = distinct.join(nodes, distinct.fp == nodes.node, "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    own = written(fingerprints(df, id_col, text_col).select("doc_id", "fp"), "simhash-fingerprints")
+    grouped = _roots(written(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct"))
     ids = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
     named = grouped.join(ids, "root").select("fp", "component_id")
     return own.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component: that of the smallest id (null last), of equal ids the one of the smaller text hash."""
+    def row(i, t):  # two hashes of id and text name a row
+        return (F.struct(F.col(i).isNull().alias("none"), F.col(i).cast("long").alias("id"),
+                         F.xxhash64(t, i).alias("a"), F.xxhash64(i, t, F.lit(1)).alias("b")))
+
+    own = fingerprints(df, id_col, text_col)
+    least = own.groupBy("fp").agg(F.min(row("doc_id", "text")).alias("row"))
+    grouped = _roots(written(least, "simhash-distinct"))
+    chosen = grouped.groupBy("root").agg(F.min("row").alias("row")).select("row.a", "row.b")
+    named = df.withColumn("_text", F.coalesce(F.col(text_col), F.lit(""))).withColumn("_id", F.col(id_col).cast("long"))
+    keys = row("_id", "_text")
+    named = named.withColumns({"_a": keys["a"], "_b": keys["b"]})
+    kept = named.join(chosen, (F.col("_a") == F.col("a")) & (F.col("_b") == F.col("b")), "left_semi")
+    return kept.dropDuplicates(["_a", "_b"]).select(*df.columns)

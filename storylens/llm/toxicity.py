@@ -9,8 +9,8 @@ as they would in a short one. A logistic regression turns the evidence into a
 score. It is fitted on documents that the models of its features have not seen.
 A word counts once for each training document, and equal texts train once.
 
-The models are fitted on a bounded sample of labelled rows: ``TOXIC`` and
-``ORDINARY`` documents at most, those of the smallest hashes of their ids. All
+The models are fitted on a bounded sample of labelled rows: about ``TOXIC`` and
+``ORDINARY`` documents, those of the smallest hashes of their ids. All
 rows of the input are scored, over the whole text.
 
 A null text counts as empty. A text without letters has no evidence and gets
@@ -29,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storylens.llm.common import documents, map_columns, ship_package, written
+from storylens.llm.common import documents, hash_bound, map_columns, ship_package, written
 from storylens.llm.kneser_ney import Ratios, logistic, sigmoid
 
-#: Training documents of either class at most.
+#: Training documents of either class, about.
 TOXIC, ORDINARY = 1500, 4000
 #: Words of a passage whose mean ratio counts.
 WINDOWS = (1, 8, 32)
@@ -131,10 +131,11 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", toxic: int
              .where("doc_id is not null and label in (0, 1)").where(training_rows(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("label").alias("label")))
     hashed = F.xxhash64("doc_id", F.lit("toxicity"))
-    chosen = [known.where(F.col("label") == c).orderBy(hashed, "doc_id").limit(n)
-              for c, n in ((1, toxic), (0, ordinary))]
-    # at most toxic + ordinary rows of two numbers
-    chosen = F.broadcast(chosen[0].unionByName(chosen[1]).withColumn("fold", (hashed.bitwiseAND(1)).cast("int")))
+    counts = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
+    most = F.create_map(*(F.lit(x) for c, n in ((1, toxic), (0, ordinary)) for x in (c, hash_bound(n / counts.get(c, 1)))))
+    # about toxic + ordinary rows of two numbers
+    chosen = F.broadcast(known.where(hashed <= most[F.col("label")])
+                         .withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(2)).cast("int")))
     sample = written(documents(docs).join(chosen, "doc_id").groupBy("text").agg(
         F.min("fold").alias("fold"), F.max("label").alias("label")), "toxicity-sample")
     have = {(r.fold, r.label) for r in sample.select("fold", "label").distinct().collect()}
