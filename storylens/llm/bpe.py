@@ -28,7 +28,7 @@ from storylens.llm.common import map_columns
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Pieces kept with their ids in a worker, and token pairs; beyond it the memory starts anew.
-KEPT = 700_000
+KEPT = 250_000
 #: Longer pieces are encoded each time.
 LONGEST_KEPT = 48
 

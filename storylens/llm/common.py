@@ -17,6 +17,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from storylens.session import scratch_path
 
 _shipped: set[str] = set()
+#: Rows of an Arrow batch that are Python objects at once.
+SLICE = 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,9 +68,7 @@ def map_columns(df: DataFrame, inputs: list[str], outputs: str,
 
     def run(batches):
         fn = make()
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in (whole.slice(k, SLICE) for whole in batches for k in range(0, whole.num_rows, SLICE)):
             made = fn(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in inputs))
             old = [b.column(b.schema.get_field_index(c)) for c in kept]
             made = [x if isinstance(x, pa.Array) else pa.array(x, type=arrow.field(f.name).type)

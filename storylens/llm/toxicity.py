@@ -40,7 +40,7 @@ WINDOWS = (1, 8, 32)
 STRONGEST = (3, 6, 12)
 EVIDENCE = 1 + len(WINDOWS) + len(STRONGEST)
 #: Words whose ratios a worker keeps; longer words than LONGEST are scored each time.
-KEPT, LONGEST = 1_500_000, 40
+KEPT, LONGEST = 600_000, 40
 WORD = re.compile(r"[^\W\d_]+")
 
 
