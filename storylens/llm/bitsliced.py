@@ -189,7 +189,7 @@ def search(queries: DataFrame, indexed: DataFrame, k: int = 10) -> DataFrame:
             for r in range(b.num_rows):
                 row = {name: b.column(i)[r].as_py() for i, name in enumerate(b.schema.names)}
                 ids = np.frombuffer(row["ids"], np.int64)
-                slices = np.frombuffer(row["slices"], np.uint64).reshape(row["width"], row["bits"], -1)
+                slices = np.frombuffer(row["slices"], np.uint64).reshape(row["width"], row["bits"], -(-row["n"] // 64))
                 block = Block(ids, slices, row["low"])
                 found = [(q, *block.top(q, np.array(v, np.int64), k)) for q, v in zip(row["query_ids"], row["queries"])]
                 yield pa.RecordBatch.from_pydict({

@@ -213,17 +213,17 @@ def documents_of(m: Mix, docs: DataFrame, id_col: str = "doc_id", text_col: str
     picked = (m.mixed().groupBy("doc_id", "n", "round")
               .agg(F.sort_array(F.collect_list(F.struct(F.col("first").cast("int").alias("first"), F.col("last").cast("int").alias("last")))).alias("cuts"))
               .join(m.rows.select("doc_id", "n", "size"), ["doc_id", "n"])
-              .withColumnsRenamed({"doc_id": "_id", "n": "_n", "round": "_round", "cuts": "_cuts", "size": "_size"}))
+              .withColumnsRenamed({"doc_id": "_mix_id", "n": "_mix_n", "round": "_mix_round", "cuts": "_mix_cuts", "size": "_mix_size"}))
     # the rows of one id in the order that numbered them
     words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    same = Window.partitionBy(id_col).orderBy(source_col, "_words")
-    rows = docs.withColumn("_words", words).withColumn("_number", F.row_number().over(same))
-    rows = rows.join(picked, (F.col(id_col) == F.col("_id")) & (F.col("_number") == F.col("_n")))
+    same = Window.partitionBy(id_col).orderBy(source_col, "_mix_words")
+    rows = docs.withColumn("_mix_words", words).withColumn("_mix_number", F.row_number().over(same))
+    rows = rows.join(picked, (F.col(id_col) == F.col("_mix_id")) & (F.col("_mix_number") == F.col("_mix_n")))
     found = F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0))
-    parts = F.transform("_cuts", lambda c: F.slice("_split", c["first"] + 1, c["last"] - c["first"]))
-    whole = F.aggregate("_cuts", F.lit(0).cast("long"), lambda a, c: a + c["last"] - c["first"]) == F.col("_size")
+    parts = F.transform("_mix_cuts", lambda c: F.slice("_mix_split", c["first"] + 1, c["last"] - c["first"]))
+    whole = F.aggregate("_mix_cuts", F.lit(0).cast("long"), lambda a, c: a + c["last"] - c["first"]) == F.col("_mix_size")
     text = F.when(whole, F.col(text_col)).otherwise(F.array_join(F.flatten(parts), " "))
-    rows = rows.withColumn("_split", F.when(~whole, found)).withColumn(text_col, text)
+    rows = rows.withColumn("_mix_split", F.when(~whole, found)).withColumn(text_col, text)
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
     return rows.select(*docs.columns)

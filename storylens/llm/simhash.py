@@ -218,9 +218,11 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     own = fingerprints(df, id_col, text_col)
     least = own.groupBy("fp").agg(F.min(row("doc_id", "text")).alias("row"))
     grouped = _roots(written(least, "simhash-distinct"))
-    chosen = grouped.groupBy("root").agg(F.min("row").alias("row")).select("row.a", "row.b")
-    named = df.withColumn("_text", F.coalesce(F.col(text_col), F.lit(""))).withColumn("_id", F.col(id_col).cast("long"))
-    keys = row("_id", "_text")
-    named = named.withColumns({"_a": keys["a"], "_b": keys["b"]})
-    kept = named.join(chosen, (F.col("_a") == F.col("a")) & (F.col("_b") == F.col("b")), "left_semi")
-    return kept.dropDuplicates(["_a", "_b"]).select(*df.columns)
+    chosen = grouped.groupBy("root").agg(F.min("row").alias("row")).select(
+        F.col("row.a").alias("_simhash_a"), F.col("row.b").alias("_simhash_b"))
+    named = df.withColumns({"_simhash_text": F.coalesce(F.col(text_col), F.lit("")),
+                            "_simhash_id": F.col(id_col).cast("long")})
+    keys = row("_simhash_id", "_simhash_text")
+    named = named.withColumns({"_simhash_a": keys["a"], "_simhash_b": keys["b"]})
+    kept = named.join(chosen, ["_simhash_a", "_simhash_b"], "left_semi")
+    return kept.dropDuplicates(["_simhash_a", "_simhash_b"]).select(*df.columns)
