@@ -122,7 +122,8 @@ class Mix:
 
     def mixed(self) -> DataFrame:
         """Blocks by index: the words ``first`` to ``last - 1`` of a document for each slot that takes them."""
-        return self.slots.join(self.segments, ["place", "block"])
+        # the planner can't know how many slots there are: neither side may be broadcast
+        return self.slots.hint("merge").join(self.segments, ["place", "block"])
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST,
