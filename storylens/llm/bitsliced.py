@@ -197,7 +197,7 @@ def search(queries: DataFrame, indexed: DataFrame, k: int = 10) -> DataFrame:
                     "vec_id": np.concatenate([i for _, i, _ in found]),
                     "score": np.concatenate([s for _, _, s in found])})
 
-    met = left.join(right, ["part", "group"]).select("n", "width", "bits", "low", "ids", "slices", "query_ids", "queries")
+    met = left.join(right.hint("merge"), ["part", "group"]).select("n", "width", "bits", "low", "ids", "slices", "query_ids", "queries")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (met.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
             .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
