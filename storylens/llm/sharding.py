@@ -8,7 +8,7 @@ about ``BUCKET`` bytes. The second pass shuffles each bucket in memory
 
 A null text has no bytes and a null id hashes like an id of its own; repeated rows
 are records of their own, in the shard of their id. Any other columns are
-written along; ``shard``, ``bucket`` and ``place`` are the operator's, and input
+written along; ``shard``, ``bucket`` and ``slot`` are the operator's, and input
 columns of these names are replaced.
 """
 
@@ -51,7 +51,7 @@ def write(docs: DataFrame, path: str | None = None, shards: int = SHARDS, seed:
     """Write the shuffled shards and return them as read back, with ``slot``: the place in the shard, from 0."""
     spark = docs.sparkSession
     path = path or scratch_path(spark, f"shards-{uuid.uuid4().hex}")
-    own = [c for c in docs.columns if c not in ("shard", "bucket", "place", "slot")]
+    own = [c for c in docs.columns if c not in ("shard", "bucket", "slot")]
     total = docs.agg(F.sum(size(F.col(text_col)))).first()[0] or 0
     buckets = max(1, -(-total // (shards * bucket_bytes)))
     n = max(partitions(spark), -(-total // (32 * bucket_bytes)))
@@ -59,20 +59,21 @@ def write(docs: DataFrame, path: str | None = None, shards: int = SHARDS, seed:
     scattered = docs.select(*own).withColumns({
         "shard": shard_of(F.col(id_col), shards, seed),
         "bucket": F.pmod(F.xxhash64(id_col, text_col, F.lit(seed + 1)), F.lit(buckets)).cast("int")})
+    counts = scattered.groupBy("shard", "bucket").agg(F.count("*").alias("rows"))
+    before = F.sum("rows").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("rows")
+    # partitioned as the buckets are, so that these stay where they are for the join
+    first = counts.select("shard", "bucket", before.alias("first")).repartition(n, "shard", "bucket").hint("merge")
     # a bucket's records in one order, so that the seed decides their places
     order = F.struct(F.xxhash64(id_col, F.lit(seed + 2)).alias("_order"), *own)
     gathered = (scattered.repartition(n, "shard", "bucket").groupBy("shard", "bucket")
-                .agg(F.sort_array(F.collect_list(order)).alias("rows"))
+                .agg(F.sort_array(F.collect_list(order)).alias("rows")).join(first, ["shard", "bucket"])
                 .sortWithinPartitions("shard", "bucket"))
-    shuffled = gathered.select("shard", "bucket", F.posexplode(F.shuffle("rows", seed)).alias("place", "row"))
-    shuffled.select("shard", "bucket", "place", *(F.col("row")[c].alias(c) for c in own)) \
-        .write.partitionBy("shard").parquet(path)
-    schema = shuffled.select("bucket", "place", *(F.col("row")[c].alias(c) for c in own), "shard").schema
-    back = spark.read.schema(schema).parquet(path)
-    counts = back.groupBy("shard", "bucket").agg(F.count("*").alias("rows"))
-    before = F.sum("rows").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("rows")
-    return back.join(counts.select("shard", "bucket", before.alias("before")), ["shard", "bucket"]).select(
-        *own, "shard", "bucket", (F.col("before") + F.col("place")).alias("slot"))
+    shuffled = gathered.select("shard", "bucket", "first", F.posexplode(F.shuffle("rows", seed)).alias("place", "row"))
+    written = shuffled.select("shard", "bucket", (F.col("first") + F.col("place")).alias("slot"),
+                              *(F.col("row")[c].alias(c) for c in own))
+    written.write.partitionBy("shard").parquet(path)
+    schema = written.select(*(c for c in written.columns if c != "shard"), "shard").schema
+    return spark.read.schema(schema).parquet(path).select(*own, "shard", "bucket", "slot")
 
 
 def grown_shard(doc_id: Column, shard: Column, shards: int = SHARDS, seed: int = SEED) -> Column:
