@@ -22,26 +22,66 @@ def script_blocks(html: ColumnOrName, pattern: str = SJS_BLOCK_PATTERN) -> Colum
     return F.regexp_extract_all(_col(html), F.lit(pattern), 1)
 
 
+# Closes a text that is parsed as the first element of an array.
+_END = '{"storylens_end":true}'
+
+
+def closed(text: ColumnOrName) -> Column:
+    """``text`` as the first of two elements of a JSON array.
+
+    A parser stops after the first value it has read, so junk behind a value goes
+    unnoticed. Behind ``text`` stands a second element here: it is where
+    it belongs only if ``text`` is one whole value and nothing else.
+    """
+    return F.concat(F.lit("["), _col(text), F.lit("," + _END + "]"))
+
+
+def bind(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once, however often ``then`` uses it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def strict_variant(v: Column) -> Column:
+    """Whether the VARIANT of a ``closed`` text holds one whole value."""
+    return F.coalesce(F.try_variant_get(v, "$[1].storylens_end", "boolean"), F.lit(False))
+
+
+def strict_text(text: ColumnOrName) -> Column:
+    """``text`` as JSON text if it is one whole value, else NULL.
+
+    Accepts what the VARIANT parser refuses: repeated keys, NaN, any size.
+    """
+    return bind(F.from_json(closed(text), "array<string>"),
+                lambda x: F.when((F.size(x) == 2) & (F.get(x, F.lit(1)) == _END), F.get(x, F.lit(0))))
+
+
+def _require(block: Column) -> Column:
+    """One parse of a block: is it one whole value, and its ``require``."""
+    parsed = F.from_json(closed(block), "array<struct<require:string,storylens_end:boolean>>")
+    return bind(parsed, lambda x: F.struct(
+        (F.coalesce(F.size(x) == 2, F.lit(False))
+         & F.coalesce(F.get(x, F.lit(1)).getField("storylens_end"), F.lit(False))).alias("ok"),
+        F.get(x, F.lit(0)).getField("require").alias("req")))
+
+
+def _deciding(h: Column, marker: str, pattern: str, parse) -> Column:
+    """The first marked block that fails to parse or has a ``require``; pages without the marker skip the regex."""
+    marked = F.when(h.contains(marker), F.filter(script_blocks(h, pattern), lambda b: b.contains(marker)))
+    return F.get(F.filter(F.transform(marked, parse),
+                          lambda x: ~x.getField("ok") | x.getField("req").isNotNull()), F.lit(0))
+
+
 def embedded_require_document(html: ColumnOrName, marker: str = STORY_MARKER,
                               pattern: str = SJS_BLOCK_PATTERN) -> Column:
     """Q4 core: ``{"require": …}`` from the first qualifying marked block, else NULL.
 
     Marked blocks are visited in document order. The first one that either
-    fails to parse or has a non-null ``require`` decides: a parse failure voids
-    the whole page, otherwise its ``require`` is re-wrapped (P11). Pages without
-    the marker skip the regex entirely.
+    is not one whole JSON value or has a non-null ``require`` decides: a parse failure
+    voids the whole page, otherwise its ``require`` is re-wrapped (P11). Repeated keys
+    and ``NaN`` are accepted. Each marked block is parsed once.
     """
-    h = _col(html)
-    marked = F.filter(script_blocks(h, pattern), lambda b: b.contains(marker))
-    # each marked block is parsed once: does it parse, and its ``require``
-    checked = F.transform(marked, lambda b: F.struct(
-        F.try_parse_json(b).isNotNull().alias("ok"),
-        F.get_json_object(b, "$.require").alias("req")))
-    first = F.get(F.filter(checked, lambda x: ~x.getField("ok") | x.getField("req").isNotNull()),
-                  F.lit(0))
-    doc = F.when(first.getField("ok"),
-                 F.concat(F.lit('{"require":'), first.getField("req"), F.lit("}")))
-    return F.when(h.contains(marker), doc)
+    return bind(_deciding(_col(html), marker, pattern, _require),
+                lambda x: F.when(x.getField("ok"), F.concat(F.lit('{"require":'), x.getField("req"), F.lit("}"))))
 
 
 def unwrap_reels_json(doc: ColumnOrName, path: str = REELS_PATH) -> Column:

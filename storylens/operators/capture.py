@@ -8,11 +8,11 @@ response in log order decides the outcome, even if its body later fails.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storylens.functions.binary import body_text
-from storylens.functions.jsonpath import STORY_MARKER, embedded_require_document
+from storylens.functions.jsonpath import STORY_MARKER, bind, embedded_require_document
 from storylens.operators.picks import first_per_key, last_per_key
 from storylens.schemas import LOG_MESSAGE
 
@@ -84,23 +84,21 @@ def capture_outcomes(profiles: DataFrame, log: DataFrame, bodies: DataFrame,
     captured visits.
     """
     k = list(keys)
-    # One row per matched visit is the build side; bodies (page payloads)
-    # are only ever streamed through a shuffle, never broadcast, whatever the
-    # file-size estimate says.
-    matches = first_matches(log, exact, keys).hint("shuffle_hash")
-    b = bodies.select(*k, "request_id", "body", "base64_encoded", F.lit(True).alias("__has_body"))
-    fetched = matches.join(b, [*k, "request_id"], "left") \
-        .withColumn("__text", body_text(F.col("body"), F.col("base64_encoded")))
-    fetched = fetched.withColumn(
-        "__doc", F.when(F.col("__has_body") & F.col("__text").isNotNull(),
-                        embedded_require_document(F.col("__text"), marker)))
-    decided = fetched.select(
+    matches = first_matches(log, exact, keys)
+    # Only bodies that some visit picked are parsed and go further: a sort-merge join, whose
+    # sides may spill and whose body side the runtime join filter thins out before it moves.
+    b = bodies.select(*k, "request_id", "body", "base64_encoded")
+    fetched = b.join(matches.hint("merge"), [*k, "request_id"]).select(
+        *k, "seq", F.explode_outer(F.array(_outcome_of(marker))).alias("__o"))
+    # bodies stored more than once for a request count once: the best outcome, then the smallest document
+    best = fetched.groupBy(*k).agg(F.min(F.struct(
+        F.col("__o.rank").alias("rank"), F.col("__o.doc").alias("doc"))).alias("__best"))
+    decided = matches.join(best.hint("merge"), k, "left").select(
         *k, "seq", F.lit(True).alias("__matched"),
-        F.when(F.col("__has_body").isNull() | F.col("__text").isNull(), F.lit(BODY_ERROR))
-         .when(F.col("__doc").isNull(), F.lit(PAYLOAD_NOT_FOUND))
-         .otherwise(F.lit(CAPTURED)).alias("__status"),
-        F.col("__doc").alias("doc"))
-    out = profiles.select(*k).join(decided, k, "left")
+        F.when(F.col("__best.rank") == 0, F.lit(CAPTURED)).when(F.col("__best.rank") == 1, F.lit(PAYLOAD_NOT_FOUND))
+         .otherwise(F.lit(BODY_ERROR)).alias("__status"), F.col("__best.doc").alias("doc"))
+    # documents stay where their visit is: the profiles come to them
+    out = profiles.select(*k).join(decided.hint("merge"), k, "left")
     status = F.when(F.col("__matched").isNull(), F.lit(NOT_AVAILABLE)).otherwise(F.col("__status"))
     if page_errors is not None:
         errs = page_errors.select(*k).distinct().withColumn("__page_error", F.lit(True))
@@ -111,8 +109,15 @@ def capture_outcomes(profiles: DataFrame, log: DataFrame, bodies: DataFrame,
                       F.when(status == CAPTURED, F.col("doc")).alias("doc"))
 
 
+def _outcome_of(marker: str) -> Column:
+    """``struct<rank, doc>`` of a response body: 0 captured, 1 without payload, 2 undecodable. One decode, one parse."""
+    text = body_text(F.col("body"), F.col("base64_encoded"))
+    return bind(text, lambda t: bind(embedded_require_document(t, marker), lambda d: F.struct(
+        F.when(t.isNull(), F.lit(2)).when(d.isNull(), F.lit(1)).otherwise(F.lit(0)).alias("rank"), d.alias("doc"))))
+
+
 def latest_success(captures: DataFrame, status_col: str = "status",
-                   cols: tuple[str, ...] = ("doc",)) -> DataFrame:
-    """K3 / U4: per username the last successful capture by ``seq`` (last write wins)."""
+                   cols: tuple[str, ...] = ("doc",), keys: tuple[str, ...] = VISIT) -> DataFrame:
+    """K3 / U4: per profile (``keys``) the last successful capture by ``seq`` (last write wins)."""
     ok = captures.filter(F.col(status_col) == CAPTURED)
-    return last_per_key(ok, ["username"], "seq", ["seq", *cols])
+    return last_per_key(ok, list(keys), "seq", ["seq", *cols])

@@ -1,4 +1,4 @@
-"""Host -> retailer label as a lookup join against a small rule table."""
+"""Host -> retailer label, from rules in code or a rule table."""
 
 from __future__ import annotations
 
@@ -47,14 +47,6 @@ ORIGIN_RULES_12 = (
     ("encurtador.com.br", "Encurtador"),
 )
 
-# A rule table above this many rows is joined without a broadcast hint and
-# left to AQE, which still broadcasts it if its runtime size is small.
-MAX_BROADCAST_RULES = 100_000
-
-# In-code rule sets up to this size are looked up in a literal map inside the
-# scan stage (no join, no broadcast job); larger ones are joined.
-MAX_MAP_RULES = 64
-
 RuleSource = DataFrame | tuple | list
 
 
@@ -67,15 +59,12 @@ def origin_of(host: Column, rules: tuple | list = ORIGIN_RULES_17) -> Column:
     return F.element_at(m, host)
 
 
-def is_small_rule_set(rules: RuleSource) -> bool:
-    return not isinstance(rules, DataFrame) and len(rules) <= MAX_MAP_RULES
-
-
 def rules_frame(spark: SparkSession, rules: RuleSource = ORIGIN_RULES_17) -> DataFrame:
     """Rule table as a DataFrame; Python pairs become a literal array expanded
     with ``inline`` on the JVM side (no Python worker needed to scan it)."""
     if isinstance(rules, DataFrame):
-        return rules.select(F.col("host").cast("string"), F.col("origin").cast("string"))
+        return rules.select(F.col("host").cast("string"), F.col("origin").cast("string"),
+                            *([F.col("position").cast("long")] if "position" in rules.columns else []))
     keys = [h for h, _ in rules]
     if len(keys) != len(set(keys)):
         raise ValueError("origin rules must have unique hosts")
@@ -85,32 +74,25 @@ def rules_frame(spark: SparkSession, rules: RuleSource = ORIGIN_RULES_17) -> Dat
     return spark.range(1).select(F.inline(pairs))
 
 
-def _checked_broadcast(rules_df: DataFrame, in_memory_rows: int | None) -> DataFrame:
-    """Broadcast hint only when the rule table's size is known to be bounded."""
-    if in_memory_rows is not None:
-        bounded = in_memory_rows <= MAX_BROADCAST_RULES
-    else:
-        bounded = rules_df.limit(MAX_BROADCAST_RULES + 1).count() <= MAX_BROADCAST_RULES
-    return F.broadcast(rules_df) if bounded else rules_df
+def _first_wins(rules: DataFrame) -> DataFrame:
+    """One label for each host, as a CASE has it: the rule of the lowest ``position``, else of the smallest label."""
+    order = F.struct("position", "origin") if "position" in rules.columns else F.struct("origin")
+    return rules.filter(F.col("host").isNotNull()).groupBy("host").agg(F.min_by("origin", order).alias("origin"))
 
 
 def label_hosts(df: DataFrame, host_col: str = "host", rules: RuleSource = ORIGIN_RULES_17,
                 origin_col: str = "origin", keep_unmatched: bool = True) -> DataFrame:
     """Add ``origin`` = label of ``host_col`` (NULL if no rule matches or host is NULL).
 
-    A small in-code rule set is a literal-map lookup in the same stage. Other
-    rules are joined: Python pairs are bounded by construction and broadcast; a
-    rule DataFrame is broadcast only after a bounded count shows it is small.
-    ``keep_unmatched=False`` drops rows without a label.
+    Rules in code are a literal-map lookup in the same stage. A rule table is reduced to one
+    label for each host (``position`` decides, if it has that column) and joined; the planner picks
+    the join by the table's size. ``keep_unmatched=False`` drops rows without a label.
     """
-    if is_small_rule_set(rules):
-        out = df.withColumn(origin_col, origin_of(F.col(host_col), rules))
+    if not isinstance(rules, DataFrame):
+        origin = origin_of(F.col(host_col), rules) if rules else F.lit(None).cast("string")
+        out = df.withColumn(origin_col, origin)
         return out if keep_unmatched else out.filter(F.col(origin_col).isNotNull())
-    spark = df.sparkSession
-    in_memory = None if isinstance(rules, DataFrame) else len(rules)
-    r = rules_frame(spark, rules).withColumnRenamed("host", "__rule_host") \
+    r = _first_wins(rules_frame(df.sparkSession, rules)).withColumnRenamed("host", "__rule_host") \
         .withColumnRenamed("origin", "__rule_origin")
-    r = _checked_broadcast(r, in_memory)
-    how = "left" if keep_unmatched else "inner"
-    joined = df.join(r, df[host_col] == r["__rule_host"], how)
+    joined = df.join(r, df[host_col] == r["__rule_host"], "left" if keep_unmatched else "inner")
     return joined.drop("__rule_host").withColumnRenamed("__rule_origin", origin_col)

@@ -18,13 +18,18 @@ def page_blocks(pages: DataFrame, html_col: str = "html", pattern: str | None =
 
 def page_documents(pages: DataFrame, html_col: str = "html", marker: str = STORY_MARKER,
                    out_col: str = "doc") -> DataFrame:
-    """Add the ``{"require": …}`` document of each page (NULL when there is none)."""
-    return pages.withColumn(out_col, embedded_require_document(F.col(html_col), marker))
+    """Add the ``{"require": …}`` document of each page (NULL when there is none).
+
+    The document is a one-element generator's input, so a filter on it stays above and
+    neither searches nor parses the page again.
+    """
+    doc = embedded_require_document(F.col(html_col), marker)
+    return pages.select(*(c for c in pages.columns if c != out_col), F.explode_outer(F.array(doc)).alias(out_col))
 
 
 def page_reels(pages: DataFrame, html_col: str = "html", marker: str = STORY_MARKER,
                keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """Q4 end to end: pages whose document unwraps, with the parsed reels list."""
-    docs = page_documents(pages.select(*keep, html_col), html_col, marker) \
+    docs = page_documents(pages.select(*keep, html_col), html_col, marker).select(*keep, "doc") \
         .filter(F.col("doc").isNotNull())
-    return unwrap(docs.select(*keep, "doc"))
+    return unwrap(docs)

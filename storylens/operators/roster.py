@@ -32,11 +32,6 @@ def union_rosters(*rosters: DataFrame) -> DataFrame:
     return out
 
 
-def with_profile_key(roster: DataFrame, link_col: str = "LINK") -> DataFrame:
-    """F6 + P16: ``link_col`` replaced by the profile key (NULL when not derivable)."""
-    return roster.withColumn(link_col, profile_key(F.col(link_col)))
-
-
 def split_profiles(roster: DataFrame, link_col: str = "LINK",
                    strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """Return (profiles with key, quarantine with the original link and a reason).

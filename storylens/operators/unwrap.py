@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storylens.functions.jsonpath import REELS_PATH, unwrap_reels_json
+from storylens.functions.jsonpath import (
+    REELS_PATH, bind, closed, strict_text, strict_variant, unwrap_reels_json,
+)
 from storylens.schemas import REELS
 
 UNWRAP_OK = "ok"
@@ -19,32 +21,66 @@ REASON_PATH = "path_not_found"
 REASON_NOT_LIST = "not_a_list"
 
 
-def _reason(doc: Column, reels_json: Column, reels: Column) -> Column:
-    # try_parse_json is evaluated only for failing rows (CASE is lazy).
-    return (F.when(reels.isNotNull(), F.lit(UNWRAP_OK))
-            .when(doc.isNull() | F.try_parse_json(doc).isNull(), F.lit(REASON_NOT_JSON))
-            .when(reels_json.isNull(), F.lit(REASON_PATH))
-            .otherwise(F.lit(REASON_NOT_LIST)))
+def _result(status: Column, reels: Column | None = None) -> Column:
+    reels = F.lit(None).cast(REELS) if reels is None else reels
+    return F.struct(reels.alias("reels"), status.alias("unwrap_status"))
 
 
-def unwrap(raw: DataFrame, doc_col: str = "doc", path: str = REELS_PATH) -> DataFrame:
-    """Add ``reels`` (array of reel structs) and ``unwrap_status`` to each raw row."""
-    doc = F.col(doc_col)
-    out = raw.withColumn("reels", reels_col(doc, path))
-    return out.withColumn("unwrap_status", _reason(doc, unwrap_reels_json(doc, path), F.col("reels")))
+def _failed(status: str) -> Column:
+    return _result(F.lit(status))
 
 
-def reels_col(doc: Column, path: str = REELS_PATH) -> Column:
-    """P5 as one expression: the parsed reels list, NULL when the document fails.
+def _from_variant(v: Column, path: str) -> Column:
+    """The outcome from the VARIANT of a ``closed`` document: no second parse."""
+    at = "$[0]" + path[1:]
+    listed = F.coalesce(F.try_variant_get(v, at, REELS.simpleString()),
+                        F.when(F.try_variant_get(v, at, "string").isNull(),
+                               F.try_variant_get(v, "$[0]", REELS.simpleString())))
+    # a lone object at the path counts as a list of one
+    lone = F.try_variant_get(v, at, REELS.elementType.simpleString())
+    return bind(F.coalesce(listed, F.when(lone.isNotNull(), F.array(lone))), lambda reels: (
+        F.when(reels.isNotNull(), _result(F.lit(UNWRAP_OK), reels))
+        .when(F.try_variant_get(v, at, "string").isNull(), _failed(REASON_PATH))
+        .otherwise(_failed(REASON_NOT_LIST))))
+
+
+def _from_text(text: Column, path: str) -> Column:
+    """The outcome of a document that the VARIANT parser refuses; ``text`` is NULL if it is not JSON."""
+    listed = unwrap_reels_json(text, path)
+    return bind(F.struct(listed.alias("json"), F.from_json(listed, REELS).alias("reels")), lambda x: (
+        F.when(text.isNull(), _failed(REASON_NOT_JSON))
+        .when(x.getField("reels").isNotNull(), _result(F.lit(UNWRAP_OK), x.getField("reels")))
+        .when(x.getField("json").isNull(), _failed(REASON_PATH))
+        .otherwise(_failed(REASON_NOT_LIST))))
+
+
+def unwrapped_col(doc: Column, path: str = REELS_PATH) -> Column:
+    """``struct<reels, unwrap_status>`` of a document, P5 and P6 in one expression.
+
+    A document is valid if it is one JSON value and nothing else. It is parsed once
+    into a VARIANT, and path and reason are read from that; only what the VARIANT parser
+    refuses (repeated keys, NaN, size limit) or what is not JSON takes the text path, which
+    gives the same value and the same reasons.
+    """
+    return bind(F.try_parse_json(closed(doc)), lambda v: (
+        F.when(strict_variant(v), _from_variant(v, path))
+        .otherwise(bind(strict_text(doc), lambda t: _from_text(t, path)))))
+
+
+def unwrap(raw: DataFrame, doc_col: str = "doc", path: str = REELS_PATH) -> DataFrame:
+    """Add ``reels`` (array of reel structs) and ``unwrap_status`` to each raw row.
 
-    The document is parsed once into a VARIANT and the path is read straight
-    into the typed list. Documents the VARIANT parser rejects (duplicate keys,
-    size limit) or whose path does not hold a list (an already-unwrapped list
-    root, a lone object) take the text path (``get_json_object`` +
-    ``from_json``); on every other document both paths give the same value.
+    The outcome is the input of a one-element generator, so filters on it
+    stay above and never parse a document again.
     """
-    fast = F.try_variant_get(F.try_parse_json(doc), path, REELS.simpleString())
-    return F.coalesce(fast, F.from_json(unwrap_reels_json(doc, path), REELS))
+    kept = [c for c in raw.columns if c not in ("reels", "unwrap_status")]
+    out = raw.select(*kept, F.explode_outer(F.array(unwrapped_col(F.col(doc_col), path))).alias("__unwrapped"))
+    return out.select(*kept, "__unwrapped.reels", "__unwrapped.unwrap_status")
+
+
+def reels_col(doc: Column, path: str = REELS_PATH) -> Column:
+    """P5 as one expression: the parsed reels list, NULL when the document fails."""
+    return unwrapped_col(doc, path).getField("reels")
 
 
 def reels_rows(unwrapped: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -2,59 +2,128 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import re
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storylens.schemas import CAPTURE_LOG, EXPORT_ITEM, RAW_DOCUMENTS, REELS, SNAPSHOT
+from storylens.functions.jsonpath import bind, closed, strict_text, strict_variant
+from storylens.schemas import CAPTURE_LOG, EXPORT_ITEM, LINK_SNAPSHOT, RAW_DOCUMENTS, REELS, SNAPSHOT
 
 _REELS_DDL = REELS.simpleString()
-_EXPORT_WITH_CORRUPT = T.StructType(list(EXPORT_ITEM.fields) + [T.StructField("_corrupt", T.StringType())])
+_REEL_DDL = REELS.elementType.simpleString()
 
+# Why a record is in the quarantine.
+NOT_JSON = "not_json"
+WRONG_SHAPE = "wrong_shape"
 
-def read_reels_files(spark: SparkSession, path: str, multi_line: bool = False,
-                     glob: str | None = "*.json") -> tuple[DataFrame, DataFrame]:
-    """S1 + S2 + P14: reels documents -> (reels rows, quarantine).
-
-    Line-delimited JSON by default: each line is a reel or an array of reels.
-    ``multi_line=True`` reads files that each hold one pretty-printed JSON
-    array (one row per element); such files cannot be split, so at scale
-    store line-delimited JSON or Parquet. Malformed lines or files go to the
-    quarantine with their text and source file. The text is parsed as an
-    expression (one VARIANT parse, typed read, ``from_json`` fallback), so
-    either output can be counted or filtered on its own.
-    """
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def json_values(text: pd.Series) -> pd.Series:
+    """The texts of all JSON values that stand one after another in a text; NULL if anything else does."""
+    decoder, gap = json.JSONDecoder(), re.compile(r"[ \t\r\n]*")
+
+    def split(s: str | None) -> list[str] | None:
+        if s is None:
+            return None
+        out, at = [], gap.match(s).end()
+        while at < len(s):
+            try:
+                _, end = decoder.raw_decode(s, at)
+            except (ValueError, RecursionError):
+                return None
+            out.append(s[at:end])
+            at = gap.match(s, end).end()
+        return out or None
+
+    return text.map(split)
+
+
+def _records(spark: SparkSession, path: str, multi_line: bool, glob: str | None) -> DataFrame:
     reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
     text = reader.text(path, wholetext=multi_line).select(
         F.col("value").alias("record"), F.col("_metadata.file_path").alias("source_file"))
-    text = text.filter(F.trim("record") != "") \
-        .withColumn("__doc", F.try_parse_json("record"))  # parsed once
-    doc = F.col("__doc")
-    typed = F.coalesce(F.try_variant_get(doc, "$", _REELS_DDL), F.from_json("record", REELS))
-    # one-element generator: the filters below stay above it and never re-parse
-    parsed = text.select("record", "source_file", F.explode_outer(
-        F.array(F.when(doc.isNotNull(), typed))).alias("reels"))
-    reels = parsed.filter(F.col("reels").isNotNull()) \
-        .select(F.explode("reels").alias("r"), "source_file") \
+    return text.filter(F.trim("record") != "")
+
+
+def _reels_of(value: Column) -> Column:
+    """The reels of one whole JSON value, a list or a lone reel; NULL for anything else. One parse."""
+    def from_variant(v: Column) -> Column:
+        lone = F.try_variant_get(v, "$[0]", _REEL_DDL)
+        return F.coalesce(F.try_variant_get(v, "$[0]", _REELS_DDL), F.when(lone.isNotNull(), F.array(lone)))
+
+    return bind(F.try_parse_json(closed(value)), lambda v: F.when(strict_variant(v), from_variant(v)).otherwise(
+        F.from_json(strict_text(value), REELS)))
+
+
+def _items_of(value: Column) -> Column:
+    """The export items of one whole JSON value, a list or a lone item; NULL for anything else."""
+    text = strict_text(value)
+    return bind(text, lambda t: F.when(F.ltrim(t).startswith("["), F.from_json(t, T.ArrayType(EXPORT_ITEM))).when(
+        F.ltrim(t).startswith("{"), F.from_json(t, T.ArrayType(EXPORT_ITEM))))
+
+
+def _parsed(records: DataFrame, parse) -> DataFrame:
+    """``record, source_file, rows, reason``: all rows of a record, or none and the reason.
+
+    Most records are one JSON value and are parsed once. Only what is not is split into its
+    values; if one of them has another shape, or anything else stands between them, the
+    record as a whole has no rows.
+    """
+    once = records.select("record", "source_file", F.explode_outer(F.array(parse(F.col("record")))).alias("one"))
+    split = once.withColumn("texts", json_values(F.when(F.col("one").isNull(), F.col("record"))))
+    many = F.transform("texts", parse)
+    rows = F.when(F.col("one").isNotNull(), F.col("one")).when(
+        ~F.exists(many, lambda r: r.isNull()), F.flatten(many))
+    reason = F.when(F.col("one").isNull() & F.col("texts").isNull(), F.lit(NOT_JSON)).otherwise(F.lit(WRONG_SHAPE))
+    out = split.select("record", "source_file", F.explode_outer(F.array(F.struct(
+        rows.alias("rows"), reason.alias("reason")))).alias("x"))
+    return out.select("record", "source_file", F.col("x.rows").alias("rows"),
+                      F.when(F.col("x.rows").isNull(), F.col("x.reason")).alias("reason"))
+
+
+def tagged_reels_files(spark: SparkSession, path: str, multi_line: bool = False,
+                       glob: str | None = "*.json") -> DataFrame:
+    """S1 + S2 + P14: one frame ``record, source_file, rows, reason`` over story files.
+
+    Line-delimited JSON by default; ``multi_line=True`` reads whole files (they cannot be
+    split, so at scale store line-delimited JSON or Parquet). A line or file may hold a reel, an array
+    of reels, or several of these one after another. What does not parse
+    whole has a ``reason`` and no rows: never a part of a record. Write this
+    frame once, partitioned by reason, where both outcomes are needed.
+    """
+    return _parsed(_records(spark, path, multi_line, glob), _reels_of)
+
+
+def read_reels_files(spark: SparkSession, path: str, multi_line: bool = False,
+                     glob: str | None = "*.json") -> tuple[DataFrame, DataFrame]:
+    """``tagged_reels_files`` as (reels rows, quarantine); each output reads the files on its own."""
+    tagged = tagged_reels_files(spark, path, multi_line, glob)
+    reels = tagged.filter(F.col("reason").isNull()).select(F.explode("rows").alias("r"), "source_file") \
         .select("r.user", "r.items", "source_file")
-    quarantine = parsed.filter(F.col("reels").isNull()).select("record", "source_file")
-    return reels, quarantine
+    return reels, tagged.filter(F.col("reason").isNotNull()).select("record", "source_file", "reason")
 
 
-def read_export_items(spark: SparkSession, path: str, multi_line: bool = False,
-                      glob: str | None = "*.json") -> DataFrame:
-    """S3: provider export items; ``stories`` keeps an array or a sentence as text.
+def tagged_export_files(spark: SparkSession, path: str, multi_line: bool = False,
+                        glob: str | None = "*.json") -> DataFrame:
+    """S3: one frame ``record, source_file, rows, reason`` over provider exports.
 
-    One item per line (or per file with ``multi_line``); text that is not a
-    JSON document is skipped.
+    A line (or file, with ``multi_line``) holds an item, an array of items, or several of these one
+    after another, as an export has them that files a profile twice.
     """
-    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
-    text = reader.text(path, wholetext=multi_line).filter(F.trim("value") != "")
-    item = F.from_json("value", _EXPORT_WITH_CORRUPT, {"columnNameOfCorruptRecord": "_corrupt"})
-    # one parse per item; the filter stays above the one-element generator
-    parsed = text.select(F.explode_outer(F.array(item)).alias("i"))
-    return parsed.filter(F.col("i").isNotNull() & F.col("i._corrupt").isNull()) \
-        .select("i.requested", "i.stories")
+    return _parsed(_records(spark, path, multi_line, glob), _items_of)
+
+
+def read_export_items(spark: SparkSession, path: str, multi_line: bool = False,
+                      glob: str | None = "*.json") -> tuple[DataFrame, DataFrame]:
+    """S3: (items, quarantine); ``stories`` keeps an array or a sentence as text."""
+    tagged = tagged_export_files(spark, path, multi_line, glob)
+    items = tagged.filter(F.col("reason").isNull()).select(F.explode("rows").alias("i"), "source_file") \
+        .select("i.requested", "i.stories", "source_file")
+    return items, tagged.filter(F.col("reason").isNotNull()).select("record", "source_file", "reason")
 
 
 def read_roster(spark: SparkSession, path: str, fmt: str = "csv",
@@ -85,9 +154,14 @@ def read_raw_documents(spark: SparkSession, path: str, run_date: str | None = No
     return df.filter(F.col("run_date") == F.lit(run_date).cast("date")) if run_date else df
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """A published CSV snapshot ``username, origin, date``.
+def read_snapshot(spark: SparkSession, path: str, schema: T.StructType = SNAPSHOT) -> DataFrame:
+    """A published CSV snapshot, ``username, origin, date`` by default.
 
     Empty fields read as NULL, like the published NULLs.
     """
-    return spark.read.schema(SNAPSHOT).option("header", True).option("escape", '"').csv(path)
+    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+
+
+def read_link_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """A published link-level snapshot ``username, story_link_url, origin``."""
+    return read_snapshot(spark, path, LINK_SNAPSHOT)

@@ -270,3 +270,32 @@ def test_log_prefilter_keeps_escaped_methods(spark):
                                 "username string, seq long, message string")
     got = sorted((r.username, r.request_id) for r in cap.first_matches(log).collect())
     assert got == [("a", "r9"), ("b", "r2")]
+
+
+def test_first_rule_of_a_repeated_host_counts(spark):
+    rules = spark.createDataFrame([(2, "h", "late"), (1, "h", "first"), (3, None, "none"), (4, "k", "K")],
+                                  "position long, host string, origin string")
+    df = spark.createDataFrame([("h",), ("h",), ("x",), (None,), ("k",)], "host string")
+    got = sorted((str(r.host), r.origin) for r in label_hosts(df, "host", rules).collect())
+    assert got == [("None", None), ("h", "first"), ("h", "first"), ("k", "K"), ("x", None)]
+    assert label_hosts(df, "host", rules.drop("position")).count() == 5
+
+
+def test_page_blocks_are_strict_and_tolerate_repeated_keys(spark):
+    from storylens.functions.jsonpath import STORY_MARKER, embedded_require_document
+
+    block = '<script type="application/json" data-sjs>{}</script>'
+    good = '{"require":[["%s"]]}' % STORY_MARKER
+    cases = {"plain": (good, True), "junk": (good + " oops", False), "two": (good + good, False),
+             "keys": (good[:-1] + ',"k":1,"k":2}', True), "nan": (good[:-1] + ',"k":NaN}', True),
+             "closed": (good + "] x", False), "cut": (good[:-1], False)}
+    df = spark.createDataFrame([(k, block.replace("{}", v)) for k, (v, _) in cases.items()], "k string, html string")
+    got = {r.k: r.doc for r in df.select("k", embedded_require_document("html").alias("doc")).collect()}
+    assert got == {k: (good if ok else None) for k, (_, ok) in cases.items()}
+
+
+def test_repeated_bodies_count_once(spark, sf_dir):
+    profiles, log, bodies, errors = fx.capture_inputs(fx.load(spark, sf_dir, "customer"), fx.load(spark, sf_dir, "orders"))
+    once = cap.capture_outcomes(profiles, log, bodies, errors)
+    twice = cap.capture_outcomes(profiles, log, bodies.unionByName(bodies), errors)
+    assert once.exceptAll(twice).count() == 0 and twice.exceptAll(once).count() == 0
