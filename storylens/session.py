@@ -43,14 +43,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only where none is set.
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can
-    reach (HDFS, object store); it is used as is. Only a session without it
-    (local tests) gets a fresh folder of its own.
+    reach (HDFS, object store); it is used as is. Only a local session without it
+    (tests) gets a fresh folder of its own; on a cluster its absence is an error.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="storylens-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured

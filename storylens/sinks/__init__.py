@@ -1,6 +1,7 @@
 """Writers (K1-K6)."""
 
+from storylens.sinks.folders import replace_folder  # noqa: F401
 from storylens.sinks.writers import (  # noqa: F401
-    append_per_key, publish_snapshot, route_by_story, snapshot_path, write_latest_documents,
+    Published, append_per_key, publish_snapshot, route_by_story, snapshot_path, write_latest_documents,
     write_reels_table, write_snapshot,
 )

@@ -7,13 +7,20 @@ executor never leaves half-written output behind.
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storylens.operators.capture import latest_success
+from storylens.operators.picks import last_per_key
 from storylens.operators.unwrap import UNWRAP_OK, unwrap
 from storylens.plans.attribution import has_stories
+from storylens.session import scratch_path
+from storylens.sinks.folders import exists, replace_folder
+
+#: Folder of rows whose key is the empty text.
+EMPTY_KEY = "__empty__"
 
 # CSV options that give the published bytes: header, comma, NULL and '' both
 # as an empty field, quotes doubled inside quoted fields, dates as yyyy-MM-dd.
@@ -29,61 +36,97 @@ SNAPSHOT_CSV = {
 }
 
 
+@dataclass(frozen=True)
+class Published:
+    """Outcome of a publish: true if it succeeded, else with the storage's message."""
+
+    path: str
+    error: str | None = None
+
+    def __bool__(self) -> bool:
+        return self.error is None
+
+
 def snapshot_path(base: str, run_date: str | _dt.date) -> str:
-    stamp = str(run_date).replace("-", "")
-    return f"{base.rstrip('/')}/run_date={stamp}"
+    """the folder of a run date, its stamp as ``date_stamp`` has it."""
+    day = run_date if isinstance(run_date, _dt.date) else _dt.date.fromisoformat(run_date)
+    return f"{base.rstrip('/')}/run_date={day:%Y%m%d}"
 
 
 def write_snapshot(df: DataFrame, base: str, run_date: str | _dt.date,
                    single_file: bool = False) -> str:
     """K1: one directory per run date, replaced on rerun (also by an empty result).
 
-    ``single_file`` writes one CSV part through ``repartition(1)``: the
-    distinct aggregation before it keeps all its tasks (``coalesce(1)`` would
-    pull it into a single task), only the final write is one task. Leave it
-    off when the snapshot is large.
+    The new snapshot is complete before it takes the old one's place: a failing query
+    leaves the earlier snapshot as it was. ``single_file`` is for small output: it
+    writes one CSV part through one task (``repartition(1)``, so the aggregation before it keeps all its tasks).
     """
     path = snapshot_path(base, run_date)
     out = df.repartition(1) if single_file else df
-    out.write.mode("overwrite").options(**SNAPSHOT_CSV).csv(path)
+    replace_folder(df.sparkSession, path, lambda p: out.write.options(**SNAPSHOT_CSV).csv(p))
     return path
 
 
 def publish_snapshot(df: DataFrame, uri: str, run_date: str | _dt.date,
-                     single_file: bool = False) -> bool:
-    """K2: write the snapshot straight to an object-store URI (``gs://``, ``s3a://``).
+                     single_file: bool = False) -> Published:
+    """K2: the snapshot at an object-store URI (``gs://``, ``s3a://``).
 
-    Returns False instead of raising when the write fails, so a caller can
-    keep a local copy, as the upload step did.
+    The query runs first, into the shared scratch folder, and its errors are raised. What
+    fails afterwards is the storage: the outcome is then false and says why,
+    and an earlier snapshot there stays.
     """
+    spark = df.sparkSession
+    staged = scratch_path(spark, "publish")
+    df.write.parquet(staged)
+    rows = spark.read.schema(df.schema).parquet(staged)
     try:
-        write_snapshot(df, uri, run_date, single_file)
-        return True
-    except Exception:  # noqa: BLE001 - the contract is a boolean outcome
-        return False
+        return Published(write_snapshot(rows, uri, run_date, single_file))
+    except Exception as e:  # noqa: BLE001 - whatever the storage's client raises
+        cause = getattr(e, "java_exception", None)
+        return Published(snapshot_path(uri, run_date), cause.toString() if cause else f"{type(e).__name__}: {e}")
 
 
-def write_latest_documents(captures: DataFrame, path: str, run_date: str | _dt.date) -> None:
-    """K3: per username the last successful capture's document (last write wins)."""
-    latest = latest_success(captures).withColumn("run_date", F.lit(str(run_date)).cast("date"))
-    latest.select("run_date", "username", "seq", "doc").write.mode("overwrite") \
-        .partitionBy("run_date").option("partitionOverwriteMode", "dynamic").parquet(path)
+def write_latest_documents(captures: DataFrame, path: str, run_date: str | _dt.date,
+                           keys: tuple[str, ...] = ("username",)) -> None:
+    """K3: per profile the last successful capture's document of a day.
+
+    A rerun of the day adds its successes to the stored ones: a profile that failed this
+    time keeps the document of the earlier run; of two the higher ``seq`` stays. The
+    day's folder is replaced when the merged one is complete.
+    """
+    spark = captures.sparkSession
+    day = f"{path.rstrip('/')}/run_date={run_date}"
+    latest = latest_success(captures, keys=keys).select(*keys, "seq", "doc")
+    if exists(spark, day):
+        stored = spark.read.schema(latest.schema).parquet(day)
+        # of equal seq the new run's document
+        both = latest.withColumn("__new", F.lit(1)).unionByName(stored.withColumn("__new", F.lit(0)))
+        latest = last_per_key(both, list(keys), F.struct("seq", "__new"), ["seq", "doc"])
+    replace_folder(spark, day, lambda p: latest.write.parquet(p))
 
 
 def append_per_key(items: DataFrame, path: str, key_col: str = "requested",
                    default_key: str = "no_user") -> None:
     """Append items as JSON lines under one folder per key.
 
-    A missing or NULL key files under ``default_key``; line-delimited output
+    A missing or NULL key files under ``default_key``, an empty one under ``key=__empty__``
+    (a folder name can't be empty); the rows carry their own key column unchanged. Line-delimited output
     keeps repeated keys readable. Keys are per user, so the rows are
     rebalanced by key before the write: each key's rows land in few tasks
     (few files per folder instead of one per task and key), and AQE splits a
     key holding a large share of the rows into advisory-size partitions.
     """
-    keyed = items.withColumn("key", F.coalesce(F.col(key_col), F.lit(default_key)))
+    key = F.coalesce(F.col(key_col), F.lit(default_key))
+    keyed = items.withColumn("key", F.when(key == "", F.lit(EMPTY_KEY)).otherwise(key))
     keyed.hint("rebalance", "key").write.mode("append").partitionBy("key").json(path)
 
 
+def read_per_key(spark, path: str, schema: str) -> DataFrame:
+    """What ``append_per_key`` wrote, with its ``key`` (the empty key as '')."""
+    back = spark.read.schema(f"{schema}, key string").json(path)
+    return back.withColumn("key", F.when(F.col("key") == EMPTY_KEY, F.lit("")).otherwise(F.col("key")))
+
+
 def route_by_story(items: DataFrame, path: str) -> None:
     """K5: one pass, items with stories under ``route=stories``, the rest under ``route=no_stories``."""
     route = F.when(has_stories(F.col("stories")) | F.col("stories").isNull(), F.lit("stories")) \

@@ -4,15 +4,17 @@ import glob
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from storylens.plans.attribution import daily_attribution
 from storylens.schemas import SNAPSHOT
 from storylens.session import local_path, scratch_path
 from storylens.sinks.writers import (
-    append_per_key, publish_snapshot, route_by_story, snapshot_path, write_reels_table, write_snapshot,
+    append_per_key, publish_snapshot, read_per_key, route_by_story, snapshot_path, write_latest_documents, write_reels_table,
+    write_snapshot,
 )
-from storylens.sources.readers import read_export_items, read_reels_files, read_snapshot
+from storylens.sources.readers import read_export_items, read_raw_documents, read_reels_files, read_snapshot
 
 
 def _csv_lines(path):
@@ -45,10 +47,63 @@ def test_snapshot_csv_bytes_and_empty_rerun(spark):
     assert read_snapshot(spark, path).count() == 0
 
 
-def test_publish_returns_boolean(spark):
+def _failing(spark):
+    return spark.range(3).select(F.raise_error(F.lit("query fails")).cast("string").alias("username"),
+                                 F.lit("x").alias("origin"), F.lit("2026-12-01").cast("date").alias("date"))
+
+
+def test_publish_tells_storage_errors_and_raises_query_errors(spark):
     df = spark.createDataFrame([("a", "Amazon")], "username string, origin string")
-    assert publish_snapshot(df, scratch_path(spark, "k2"), "2026-12-01") is True
-    assert publish_snapshot(df, "nosuchscheme://bucket/x", "2026-12-01") is False
+    uri = scratch_path(spark, "k2")
+    outcome = publish_snapshot(df, uri, "2026-12-01")
+    assert outcome and outcome.error is None and outcome.path == snapshot_path(uri, "2026-12-01")
+    refused = publish_snapshot(df, "nosuchscheme://bucket/x", "2026-12-01")
+    assert not refused and "nosuchscheme" in refused.error
+    with pytest.raises(Exception, match="query fails"):
+        publish_snapshot(_failing(spark), uri, "2026-12-01")
+    assert spark.read.option("header", True).csv(outcome.path).count() == 1
+
+
+def test_failed_write_leaves_the_earlier_snapshot(spark):
+    base = scratch_path(spark, "k1-safe")
+    df = spark.createDataFrame([("a", "Amazon")], "username string, origin string").withColumn(
+        "date", F.lit("2026-12-01").cast("date"))
+    path = write_snapshot(df, base, "2026-12-01")
+    with pytest.raises(Exception, match="query fails"):
+        write_snapshot(_failing(spark), base, "2026-12-01")
+    assert read_snapshot(spark, path).count() == 1
+    assert os.listdir(local_path(base)) == ["run_date=20261201"]
+
+
+def test_latest_documents_add_up_over_a_day(spark):
+    path = scratch_path(spark, "k3")
+    schema = "username string, status string, seq bigint, doc string"
+    write_latest_documents(spark.createDataFrame(
+        [("a", "captured", 1, "a1"), ("b", "captured", 2, "b1"), ("c", "captured", 9, "c1")], schema), path, "2026-12-01")
+    write_latest_documents(spark.createDataFrame(
+        [("a", "captured", 3, "a2"), ("b", "body_error", None, None), ("c", "captured", 4, "c2")], schema), path, "2026-12-01")
+    got = {(r.username, r.seq, r.doc) for r in read_raw_documents(spark, path, "2026-12-01").collect()}
+    assert got == {("a", 3, "a2"), ("b", 2, "b1"), ("c", 9, "c1")}
+
+
+def test_values_one_after_another(spark):
+    one, two = ({"user": {"username": u}, "items": []} for u in ("a}{", 'b"]['))
+    texts = {"concat.json": json.dumps(one) + json.dumps(two), "lines.json": json.dumps(one, indent=2) + "\n" + json.dumps([two, one]),
+             "junk.json": json.dumps(one) + " oops", "cut.json": json.dumps(one) + json.dumps(two)[:20],
+             "keys.json": '{"user": {"username": "k"}, "items": [], "k": 1, "k": 2}', "nan.json": '{"user": {"username": "n"}, "k": NaN}',
+             "mixed.json": json.dumps(one) + " 5", "closed.json": json.dumps(one) + "] x"}
+    d = local_path(scratch_path(spark, "s1-values"))
+    os.makedirs(d)
+    for name, text in texts.items():
+        with open(f"{d}/{name}", "w") as f:
+            f.write(text)
+    good, bad = read_reels_files(spark, d, multi_line=True)
+    got = sorted((os.path.basename(r.source_file), r.user.username) for r in good.collect())
+    assert got == sorted([("concat.json", "a}{"), ("concat.json", 'b"]['), ("lines.json", "a}{"), ("lines.json", 'b"]['),
+                          ("lines.json", "a}{"), ("keys.json", "k"), ("nan.json", "n")])
+    reasons = {os.path.basename(r.source_file): (r.reason, r.record) for r in bad.collect()}
+    assert reasons == {n: ("wrong_shape" if n == "mixed.json" else "not_json", texts[n])
+                       for n in ("junk.json", "cut.json", "mixed.json", "closed.json")}
 
 
 def test_multiline_array_files_and_truncated_file(spark):
@@ -78,10 +133,24 @@ def test_export_items_read_keeps_mixed_stories_as_text(spark):
         f.write(json.dumps({"requested": "a", "stories": "No story available"}) + "\n")
         f.write(json.dumps({"requested": "b", "stories": [{"story_link_stickers": []}]}) + "\n")
         f.write("{not json\n")
-    assert read_export_items(spark, d).count() == 2
-    items = {r.requested: r.stories for r in read_export_items(spark, d).collect()}
-    assert items["a"] == "No story available"
-    assert json.loads(items["b"]) == [{"story_link_stickers": []}]
+        f.write(json.dumps([{"requested": "c", "stories": "x"}, {"requested": "d"}]) + "\n")
+        f.write('{"requested": "e"}{"requested": "e", "stories": "}{"}' + "\n")
+        f.write('{"requested": "f"} oops' + "\n")
+    good, bad = read_export_items(spark, d)
+    items = good.collect()
+    assert sorted(r.requested for r in items) == ["a", "b", "c", "d", "e", "e"]
+    by_key = {r.requested: r.stories for r in items}
+    assert by_key["a"] == "No story available" and by_key["d"] is None
+    assert json.loads(by_key["b"]) == [{"story_link_stickers": []}]
+    assert sorted((r.record, r.reason) for r in bad.collect()) == [
+        ('{"requested": "f"} oops', "not_json"), ("{not json", "not_json")]
+
+
+def test_empty_key_comes_back_empty(spark):
+    p = scratch_path(spark, "k4-empty")
+    append_per_key(spark.createDataFrame([("", "[]"), (None, "[]"), ("a", "[]")], "requested string, stories string"), p)
+    got = {(r.requested, r.key) for r in read_per_key(spark, p, "requested string, stories string").collect()}
+    assert got == {("", ""), (None, "no_user"), ("a", "a")}
 
 
 def test_append_per_key_and_route(spark):
