@@ -6,7 +6,7 @@ expression + literal-map lookup of the 17 rules) -> NULL filter -> partial
 distinct, all in one codegen'd stage; one exchange on (username, origin,
 date); final distinct. The label is computed once per sticker as a generator
 input, so the not-null filter cannot be pushed below it and recompute it. A rule table given as a DataFrame is
-joined instead (checked broadcast). The partial distinct collapses a
+joined instead. The partial distinct collapses a
 heavy profile's repeated (origin, date) pairs before anything is shuffled.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from storylens.functions.strings import display_host, redirect_host
 from storylens.operators.flatten import sticker_values, story_links
 from storylens.operators.lookup import (
-    ORIGIN_RULES_12, ORIGIN_RULES_17, RuleSource, is_small_rule_set, label_hosts, origin_of,
+    ORIGIN_RULES_12, ORIGIN_RULES_17, RuleSource, label_hosts, origin_of,
 )
 from storylens.operators.unwrap import reels_from_raw
 from storylens.schemas import EXPORT_STORIES
@@ -44,7 +44,7 @@ def attribution(reels: DataFrame, run_date: str | _dt.date | None = None,
     ``reels`` has ``user struct<username>`` and ``items`` (E8). Output is
     ``username, origin, date``.
     """
-    if drop_unlabelled and is_small_rule_set(rules):
+    if drop_unlabelled and not isinstance(rules, DataFrame):
         # label computed once per sticker inside the generator input; rows
         # without a label never leave the explode
         labelled = sticker_values(reels, lambda u: origin_of(redirect_host(u), rules), "origin")
@@ -83,8 +83,10 @@ def has_stories(stories: Column) -> Column:
 
 def export_reels(items: DataFrame) -> DataFrame:
     """S3: export items as reels rows; the sentence and non-lists give no stories."""
-    parsed = items.filter(has_stories(F.col("stories"))) \
-        .select(F.col("requested"), F.from_json("stories", EXPORT_STORIES).alias("items"))
+    # the parse is a generator's input: filters on its result stay above and never parse again
+    parsed = items.filter(has_stories(F.col("stories"))).select(
+        "requested", F.explode_outer(F.array(F.from_json("stories", EXPORT_STORIES))).alias("items"))
+    parsed = parsed.filter(F.col("items").isNotNull())
     return parsed.select(F.struct(F.col("requested").alias("username")).alias("user"), "items")
 
 

@@ -17,17 +17,25 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from storylens.operators.counts import distinct_users
+from storylens.operators.lookup import ORIGIN_RULES_17, RuleSource
 from storylens.operators.roster import DEFAULT_NETWORK, prepare_roster
 from storylens.operators.unwrap import UNWRAP_OK, reels_from_raw
 from storylens.plans.attribution import daily_attribution
-from storylens.sinks.writers import publish_snapshot, snapshot_path, write_reels_table
+from storylens.sinks.writers import publish_snapshot, write_reels_table
 from storylens.sources.readers import read_raw_documents, read_roster, read_snapshot
 
 
+def rules_of(spark: SparkSession, path: str | None, default: RuleSource = ORIGIN_RULES_17) -> RuleSource:
+    """Rules from a CSV ``position,host,origin`` with a header, or those in code."""
+    if path is None:
+        return default
+    return spark.read.schema("position long, host string, origin string").option("header", True).csv(path)
+
+
 def run_daily(spark: SparkSession, raw_path: str, out_base: str, run_date: str,
               curated_path: str | None = None, roster_a: str | None = None,
               roster_b: str | None = None, network: str = DEFAULT_NETWORK,
-              single_file: bool = False) -> dict:
+              single_file: bool = False, rules: str | None = None) -> dict:
     """Run one day; returns the published path and the reported counts.
 
     With ``curated_path`` the day's documents are unwrapped once into a
@@ -51,12 +59,14 @@ def run_daily(spark: SparkSession, raw_path: str, out_base: str, run_date: str,
             .select(F.explode("reels").alias("r")).select("r.user", "r.items")
     else:
         reels = reels_from_raw(raw)
-    snapshot = daily_attribution(reels, run_date)
-    report["published"] = publish_snapshot(snapshot, out_base, run_date, single_file=single_file)
-    if report["published"]:
-        path = snapshot_path(out_base, run_date)
-        report["path"] = path
-        written = read_snapshot(spark, path)
+    snapshot = daily_attribution(reels, run_date, rules_of(spark, rules))
+    outcome = publish_snapshot(snapshot, out_base, run_date, single_file=single_file)
+    report["published"] = bool(outcome)
+    if not outcome:
+        report["error"] = outcome.error
+    else:
+        report["path"] = outcome.path
+        written = read_snapshot(spark, outcome.path)
         report["distinct_users"] = int(written.agg(distinct_users("username")).first()[0])
     return report
 
@@ -70,11 +80,15 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--roster-a")
     ap.add_argument("--roster-b")
     ap.add_argument("--network", default=DEFAULT_NETWORK)
-    ap.add_argument("--single-file", action="store_true", help="write the snapshot as one CSV file")
+    ap.add_argument("--rules", help="CSV position,host,origin in place of the rules in code")
+    ap.add_argument("--single-file", action="store_true", help="write the snapshot as one CSV file, through one task: for small output")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("storylens-daily").getOrCreate()
-    print(json.dumps(run_daily(spark, a.raw, a.out, a.run_date, a.curated, a.roster_a, a.roster_b,
-                               a.network, a.single_file)))
+    report = run_daily(spark, a.raw, a.out, a.run_date, a.curated, a.roster_a, a.roster_b,
+                       a.network, a.single_file, a.rules)
+    print(json.dumps(report))
+    if not report["published"]:
+        raise SystemExit(1)
 
 
 if __name__ == "__main__":

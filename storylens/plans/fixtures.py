@@ -174,6 +174,17 @@ def raw_documents(events: DataFrame, broken: bool = True) -> DataFrame:
                         doc.alias("doc"))
 
 
+def strict_documents(raw: DataFrame) -> DataFrame:
+    """Raw documents with further shapes by seq % 13: 1 a number in the list's place, 2 text
+    behind the value, 3 valid with repeated keys."""
+    k = F.col("seq") % 13
+    lone = ENVELOPE_HEAD.format(feed=STORY_MARKER) + '[{"user":{"username":"x"},"items":[]}]' + ENVELOPE_TAIL
+    doc = (F.when(k == 1, F.lit(ENVELOPE_HEAD.format(feed=STORY_MARKER) + "5" + ENVELOPE_TAIL))
+           .when(k == 2, F.concat("doc", F.lit(" oops")))
+           .when(k == 3, F.lit(lone[:-1] + ',"k":1,"k":2}')).otherwise(F.col("doc")))
+    return raw.withColumn("doc", doc)
+
+
 def lineitem_raw_documents(lineitem: DataFrame, block: int = 65536) -> DataFrame:
     """Bench documents: user = supplier, story = order, one sticker per line."""
     flat = lineitem.select(

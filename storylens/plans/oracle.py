@@ -34,8 +34,10 @@ def display_sql(id_expr: str) -> str:
 
 
 def host_sql(url: str) -> str:
-    """The original DuckDB host expression (1-based split)."""
-    return f"replace(split(split({url}, 'u=')[2], '%2F')[3], 'www.', '')"
+    """Host of a redirect link, cut out by patterns: what lies between the first two ``u=``, there past two ``%2F``."""
+    target = f"regexp_replace(regexp_extract({url}, 'u=(.*)$', 1, 's'), 'u=.*$', '', 's')"
+    return (f"CASE WHEN regexp_matches({url}, 'u=') AND regexp_matches({target}, '%2F.*%2F', 's') "
+            f"THEN replace(regexp_extract({target}, '^(?:.*?%2F){{2}}(.*?)(?:%2F.*)?$', 1, 's'), 'www.', '') END")
 
 
 def case_sql(expr: str, rules) -> str:
@@ -87,6 +89,33 @@ SELECT 'c' || CAST(c_custkey AS VARCHAR) AS username,
        ELSE 'captured' END AS status
 FROM customer LEFT JOIN m ON m.o_custkey = c_custkey"""
 
+_FEED = fx.ENVELOPE_HEAD.format(feed=fx.STORY_MARKER)
+_PAGE_LINK = link_sql("m.k")
+# The captured document of a profile, spelled out; of a body error or missing payload there is none.
+_DOC = (f"{_q(_FEED)} || '[{{\"user\":{{\"username\":\"c' || CAST(c_custkey AS VARCHAR) || "
+        f"'\"}},\"items\":[{{\"story_link_stickers\":[{{\"story_link\":' || "
+        f"CASE WHEN {_PAGE_LINK} IS NULL THEN '{{}}' ELSE '{{\"url\":' || CAST(to_json({_PAGE_LINK}) AS VARCHAR) || '}}' END || "
+        f"'}}]}}]}}]' || {_q(fx.ENVELOPE_TAIL)}")
+_CAPTURED = f"""
+SELECT c_custkey, m.k AS seq, {_DOC} AS doc
+FROM customer JOIN (SELECT o_custkey, min(o_orderkey) AS k FROM orders
+                    WHERE o_orderkey % 3 <> 0 GROUP BY o_custkey) m ON m.o_custkey = c_custkey
+WHERE c_custkey % 97 <> 0 AND m.k % 7 NOT IN (0, 1, 2)"""
+_ALL_EVENTS = f"""
+WITH ev AS (SELECT {EV_USER} AS username, {link_sql('event_id')} AS url FROM events),
+h AS (SELECT username, {host_sql('url')} AS host FROM ev),
+l AS (SELECT username, {case_sql('host', ORIGIN_RULES_17)} AS origin FROM h)
+SELECT DISTINCT username, origin, {RUN_DATE} AS date FROM l WHERE origin IS NOT NULL"""
+_EXPORT_FILES = f"""
+WITH it AS (SELECT user_id AS u, event_id // {fx.BLOCK} AS b, min(event_id) AS item_id FROM events GROUP BY 1, 2),
+ev AS (
+  SELECT {EX_USER} AS username, {display_sql('event_id')} AS story_link_url
+  FROM events JOIN it ON u = user_id AND b = event_id // {fx.BLOCK}
+  JOIN (VALUES (0), (1)) c(i) ON i = 0 OR item_id % 4 = 2
+  WHERE user_id % 9 <> 4 AND item_id % 4 <> 3)
+SELECT username, story_link_url, {case_sql("split(story_link_url, '/')[1]", ORIGIN_RULES_12)} AS origin
+FROM ev"""
+
 ORACLE: dict[str, str] = {
     "daily_attribution": DAILY,
     "attribution_rows": ROWS,
@@ -134,18 +163,21 @@ SELECT page_id, unnest(generate_series(0, len(l) - 1)) AS pos, unnest(l) AS bloc
 SELECT page_id, 'p' || CAST(page_id AS VARCHAR) AS username, {link_sql('page_id')} AS story_link_url
 FROM pages WHERE page_id % 10 IN (3, 4, 6, 7)""",
     "path_failures": f"""
-WITH d AS (SELECT DISTINCT user_id, event_id // {fx.BLOCK} AS block FROM events)
-SELECT CASE WHEN (user_id + block) % 7 IN (1, 2, 3) THEN 'path_not_found'
-            WHEN (user_id + block) % 7 = 5 THEN 'not_json' ELSE 'ok' END AS reason,
-       count(*) AS n_docs
-FROM d GROUP BY 1""",
+WITH d AS (SELECT user_id, event_id // {fx.BLOCK} AS block, min(event_id) AS seq FROM events GROUP BY 1, 2)
+SELECT 'u' || CAST(user_id AS VARCHAR) AS username, seq,
+       CASE WHEN seq % 13 = 1 THEN 'not_a_list' WHEN seq % 13 = 2 THEN 'not_json' WHEN seq % 13 = 3 THEN 'ok'
+            WHEN (user_id + block) % 7 IN (1, 2, 3) THEN 'path_not_found'
+            WHEN (user_id + block) % 7 = 5 THEN 'not_json' ELSE 'ok' END AS reason
+FROM d""",
     "log_first_match": """
 SELECT 'u' || CAST(user_id AS VARCHAR) AS username, min(event_id) AS seq,
        arg_min('r' || CAST(event_id AS VARCHAR), event_id) AS request_id
 FROM events WHERE event_type IN ('view', 'click', 'purchase') AND event_id % 5 IN (0, 1)
 GROUP BY user_id""",
     "body_decode": "SELECT doc_id, text FROM documents",
-    "capture_outcomes": _CAPTURE,
+    "capture_outcomes": f"""
+SELECT username, status, d.seq, md5(d.doc) AS doc_md5
+FROM ({_CAPTURE}) s LEFT JOIN ({_CAPTURED}) d ON s.username = 'c' || CAST(d.c_custkey AS VARCHAR)""",
     "capture_summary": f"""
 SELECT count(*) FILTER (WHERE status = 'captured') AS n_captured, count(*) AS n_profiles
 FROM ({_CAPTURE})""",
@@ -165,18 +197,31 @@ SELECT (SELECT count(DISTINCT username) FROM ({DAILY})) AS distinct_users,
 SELECT item_id, requested, CASE WHEN has_stories THEN 'stories' ELSE 'no_stories' END AS route
 FROM ({EXPORT_ITEMS})""",
     "per_key_append": f"""
-SELECT coalesce(requested, 'no_user') AS key, 2 * count(*) AS n_items FROM ({EXPORT_ITEMS}) GROUP BY 1""",
+SELECT coalesce(requested, 'no_user') AS key, item_id, CAST(2 AS BIGINT) AS n_items FROM ({EXPORT_ITEMS})""",
     "latest_documents": f"""
-SELECT DATE '{fx.RUN_DATE}' AS run_date, 'c' || CAST(c_custkey AS VARCHAR) AS username, m.k AS seq,
-       'ScheduledServerJS' AS first_module
-FROM customer JOIN (SELECT o_custkey, min(o_orderkey) AS k FROM orders
-                    WHERE o_orderkey % 3 <> 0 GROUP BY o_custkey) m ON m.o_custkey = c_custkey
-WHERE c_custkey % 97 <> 0 AND m.k % 7 NOT IN (0, 1, 2)""",
+SELECT {RUN_DATE} AS run_date, 'c' || CAST(c_custkey AS VARCHAR) AS username, seq, md5(doc) AS doc_md5
+FROM ({_CAPTURED})""",
+    "latest_documents_rerun": f"""
+SELECT {RUN_DATE} AS run_date, 'c' || CAST(c_custkey AS VARCHAR) AS username,
+       CASE WHEN c_custkey % 2 = 0 THEN seq ELSE seq + 1 END AS seq,
+       md5(CASE WHEN c_custkey % 2 = 0 THEN doc ELSE doc || ' ' END) AS doc_md5
+FROM ({_CAPTURED})""",
+    "origin_lookup_table": f"""
+WITH e AS (SELECT event_id, {host_sql(link_sql('event_id'))} AS host FROM events)
+SELECT event_id, host, {case_sql('host', ORIGIN_RULES_17)} AS origin FROM e""",
+    "reels_files_multiline": _ALL_EVENTS,
+    "export_files_roundtrip": _EXPORT_FILES,
+    "roster_files": ROSTER,
+    "link_snapshot_roundtrip": LINKS_Q3,
+    "publish_roundtrip": f"""
+SELECT count(DISTINCT username) AS distinct_users, count(*) AS n_rows, max(strftime(date, '%Y%m%d')) AS stamp
+FROM ({DAILY})""",
     "permissive_json": f"""
 WITH d AS (SELECT user_id, event_id // {fx.BLOCK} AS block, count(DISTINCT event_id % {fx.STORIES}) AS n
            FROM events GROUP BY user_id, event_id // {fx.BLOCK})
 SELECT CASE WHEN (user_id + block) % 7 = 5 THEN 'quarantined' ELSE 'ok' END AS status,
-       count(*) AS n_rows,
-       CAST(sum(CASE WHEN (user_id + block) % 7 = 5 THEN 0 ELSE n END) AS BIGINT) AS n_items
-FROM d GROUP BY 1""",
+       CASE WHEN (user_id + block) % 7 <> 5 THEN {EV_USER} END AS username,
+       CASE WHEN (user_id + block) % 7 <> 5 THEN n END AS n_items
+FROM d""",
 }
+ORACLE["capture_log_files"] = ORACLE["log_first_match"]

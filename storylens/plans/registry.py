@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storylens.functions.binary import body_text
-from storylens.functions.strings import display_host, redirect_host
+from storylens.functions.strings import date_stamp, display_host, redirect_host
 from storylens.operators import capture as cap
 from storylens.operators.counts import distinct_users, documents_per_key, success_rate
 from storylens.operators.flatten import explode_items, explode_stickers
-from storylens.operators.lookup import ORIGIN_RULES_12, label_hosts
+from storylens.operators.lookup import ORIGIN_RULES_12, ORIGIN_RULES_17, label_hosts
 from storylens.operators.pages import page_blocks, page_reels
 from storylens.operators.picks import last_per_key
 from storylens.operators.roster import prepare_roster, split_profiles
@@ -28,10 +28,13 @@ from storylens.plans.attribution import (
 from storylens.plans.sql import daily_attribution_sql
 from storylens.session import scratch_path
 from storylens.sinks.writers import (
-    append_per_key, route_by_story, snapshot_path, write_latest_documents, write_reels_table,
-    write_snapshot,
+    append_per_key, publish_snapshot, read_per_key, route_by_story, snapshot_path, write_latest_documents,
+    write_reels_table, write_snapshot,
+)
+from storylens.sources.readers import (
+    read_capture_log, read_export_items, read_link_snapshot, read_raw_documents, read_reels_files, read_roster,
+    read_snapshot, tagged_reels_files,
 )
-from storylens.sources.readers import read_reels_files, read_snapshot
 from storylens.streaming.incremental import start_attribution_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -147,9 +150,8 @@ def embedded_story_json(spark, sf_dir):
 
 
 def path_failures(spark, sf_dir):
-    u = unwrap(fx.raw_documents(_table(spark, sf_dir, "events")))
-    return u.groupBy(F.col("unwrap_status").alias("reason")) \
-        .agg(F.count(F.lit(1)).cast("bigint").alias("n_docs"))
+    u = unwrap(fx.strict_documents(fx.raw_documents(_table(spark, sf_dir, "events"))))
+    return u.select("username", "seq", F.col("unwrap_status").alias("reason"))
 
 
 # --- capture log (Q5) ---------------------------------------------------------------
@@ -173,8 +175,12 @@ def _capture(spark, sf_dir):
     return cap.capture_outcomes(profiles, log, bodies, errors)
 
 
+def _digest(col):
+    return F.md5(F.col(col).cast("binary")).alias(f"{col}_md5")
+
+
 def capture_outcomes(spark, sf_dir):
-    return _capture(spark, sf_dir).select("username", "status")
+    return _capture(spark, sf_dir).select("username", "status", "seq", _digest("doc"))
 
 
 def capture_summary(spark, sf_dir):
@@ -191,18 +197,16 @@ def latest_payload(spark, sf_dir):
 # --- counts, sinks and sources ---------------------------------------------------------
 
 def user_counts(spark, sf_dir):
-    reels = _event_reels(spark, sf_dir)
-    a = q1(reels, fx.RUN_DATE).agg(distinct_users("username").alias("v")) \
-        .withColumn("k", F.lit("distinct_users"))
-    b = q2(reels, fx.RUN_DATE).agg(distinct_users("username").alias("v")) \
-        .withColumn("k", F.lit("users_with_sticker"))
+    # one pass over the sticker rows gives both user counts
+    users = q2(_event_reels(spark, sf_dir), fx.RUN_DATE).agg(
+        F.count_distinct(F.when(F.col("origin").isNotNull(), F.col("username"))).alias("distinct_users"),
+        distinct_users("username").alias("users_with_sticker"))
     profiles, _ = prepare_roster(fx.roster_a(_table(spark, sf_dir, "customer")),
                                  fx.roster_b(_table(spark, sf_dir, "supplier")))
-    c = profiles.agg(F.count(F.lit(1)).cast("bigint").alias("v")).withColumn("k", F.lit("n_profiles"))
-    # three one-row counts side by side, without a cross join
-    both = a.unionByName(b).unionByName(c)
-    return both.agg(*[F.max(F.when(F.col("k") == k, F.col("v"))).alias(k)
-                      for k in ("distinct_users", "users_with_sticker", "n_profiles")])
+    c = profiles.agg(F.count(F.lit(1)).cast("bigint").alias("n_profiles"))
+    # two one-row results side by side, without a cross join
+    both = users.unionByName(c, allowMissingColumns=True)
+    return both.agg(*[F.max(k).alias(k) for k in ("distinct_users", "users_with_sticker", "n_profiles")])
 
 
 def snapshot_roundtrip(spark, sf_dir):
@@ -218,11 +222,75 @@ def permissive_json(spark, sf_dir):
     text = reels.select(F.when(kind == 5, F.substring(line, 1, 40)).otherwise(line).alias("value"))
     path = scratch_path(spark, "reels-jsonl")
     text.write.mode("overwrite").text(path)
-    good, bad = read_reels_files(spark, path, glob=None)
-    ok = good.select(F.lit("ok").alias("status"), F.size("items").cast("bigint").alias("n"))
-    quarantined = bad.select(F.lit("quarantined").alias("status"), F.lit(0).cast("bigint").alias("n"))
-    return ok.unionByName(quarantined).groupBy("status").agg(
-        F.count(F.lit(1)).cast("bigint").alias("n_rows"), F.sum("n").cast("bigint").alias("n_items"))
+    tagged = tagged_reels_files(spark, path, glob=None).select(
+        F.when(F.col("reason").isNull(), F.lit("ok")).otherwise(F.lit("quarantined")).alias("status"),
+        F.explode_outer("rows").alias("r"))
+    return tagged.select("status", F.col("r.user.username").alias("username"),
+                         F.size("r.items").cast("bigint").alias("n_items"))
+
+
+def reels_files_multiline(spark, sf_dir):
+    """Files that hold several pretty-printed arrays one after another, read whole."""
+    reels = fx.event_reels(_table(spark, sf_dir, "events"))
+    text = F.replace(F.to_json(F.array("reel")), F.lit(',"items"'), F.lit(',\n  "items"'))
+    path = scratch_path(spark, "reels-multiline")
+    reels.select(text.alias("value")).repartition(8).write.text(path)
+    good, _ = read_reels_files(spark, path, multi_line=True, glob="part-*")
+    return q1(good, fx.RUN_DATE)
+
+
+def export_files_roundtrip(spark, sf_dir):
+    """S3 then Q3: lines with one item, an array, two items, or an item and junk (item_id % 4)."""
+    items = fx.export_items(_table(spark, sf_dir, "events"))
+    kind, item = F.col("item_id") % 4, F.to_json(F.struct("requested", "stories"))
+    line = (F.when(kind == 0, item).when(kind == 1, F.concat(F.lit("["), item, F.lit("]")))
+            .when(kind == 2, F.concat(item, F.lit(" "), item)).otherwise(F.concat(item, F.lit(" oops"))))
+    path = scratch_path(spark, "export-files")
+    items.select(line.alias("value")).write.text(path)
+    read, _ = read_export_items(spark, path, glob="part-*")
+    return q3(read)
+
+
+def roster_files(spark, sf_dir):
+    """S4 then Q6: both rosters as CSV sheets."""
+    path = scratch_path(spark, "rosters")
+    for name, frame in (("a", fx.roster_a(_table(spark, sf_dir, "customer"))),
+                        ("b", fx.roster_b(_table(spark, sf_dir, "supplier")))):
+        frame.write.option("header", True).csv(f"{path}/{name}")
+    profiles, _ = prepare_roster(read_roster(spark, f"{path}/a"), read_roster(spark, f"{path}/b"))
+    return profiles.select("LINK", F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_mktsegment", "Rede")
+
+
+def capture_log_files(spark, sf_dir):
+    """S6 then U3: the browser log as JSON lines."""
+    path = scratch_path(spark, "capture-log")
+    fx.capture_log_from_events(_table(spark, sf_dir, "events")).write.json(path)
+    return cap.first_matches(read_capture_log(spark, path)).select("username", "seq", "request_id")
+
+
+def link_snapshot_roundtrip(spark, sf_dir):
+    """Q3 published as a snapshot and read back."""
+    base = scratch_path(spark, "link-snapshot")
+    write_snapshot(link_attribution(spark, sf_dir), base, fx.RUN_DATE)
+    return read_link_snapshot(spark, snapshot_path(base, fx.RUN_DATE))
+
+
+def publish_roundtrip(spark, sf_dir):
+    """K2 then A1b: counts of the published file."""
+    outcome = publish_snapshot(daily_attribution(spark, sf_dir), scratch_path(spark, "published"), fx.RUN_DATE)
+    back = read_snapshot(spark, outcome.path)
+    return back.agg(distinct_users("username").alias("distinct_users"), F.count(F.lit(1)).alias("n_rows"),
+                    F.max(date_stamp("date")).alias("stamp"))
+
+
+def origin_lookup_table(spark, sf_dir):
+    """J1 with a rule table that repeats hosts: the first rule of a host counts."""
+    rules = [(i, h, o) for i, (h, o) in enumerate(ORIGIN_RULES_17)]
+    rules += [(len(rules) + i, h, "later") for i, (h, _) in enumerate(ORIGIN_RULES_17[::2])]
+    table = spark.createDataFrame(rules, "position long, host string, origin string")
+    ev = _table(spark, sf_dir, "events").select(
+        "event_id", redirect_host(fx.link_url(F.col("event_id"))).alias("host"))
+    return label_hosts(ev, "host", table).select("event_id", "host", "origin")
 
 
 def stream_attribution(spark, sf_dir):
@@ -258,17 +326,31 @@ def per_key_append(spark, sf_dir):
     items = fx.export_items(_table(spark, sf_dir, "events"))
     append_per_key(items, path)
     append_per_key(items, path)
-    back = spark.read.schema("item_id bigint, requested string, stories string, key string").json(path)
-    return back.groupBy("key").agg(F.count(F.lit(1)).cast("bigint").alias("n_items"))
+    back = read_per_key(spark, path, "item_id bigint, requested string, stories string")
+    return back.groupBy("key", "item_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_items"))
 
 
 def latest_documents(spark, sf_dir):
     """K3: last successful capture per profile written by run date, read back."""
     path = scratch_path(spark, "latest-docs")
     write_latest_documents(_capture(spark, sf_dir), path, fx.RUN_DATE)
-    back = spark.read.schema("username string, seq bigint, doc string, run_date date").parquet(path)
-    return back.select("run_date", "username", "seq",
-                       F.get_json_object("doc", "$.require[0][0]").alias("first_module"))
+    return _stored_documents(spark, path)
+
+
+def _stored_documents(spark, path):
+    return read_raw_documents(spark, path, fx.RUN_DATE).select("run_date", "username", "seq", _digest("doc"))
+
+
+def latest_documents_rerun(spark, sf_dir):
+    """K3 twice on one day: in the second run every other profile fails, the others have a later document."""
+    path = scratch_path(spark, "latest-docs")
+    captures = _capture(spark, sf_dir)
+    write_latest_documents(captures, path, fx.RUN_DATE)
+    failed = F.substring("username", 2, 20).cast("bigint") % 2 == 0
+    second = captures.select("username", F.when(failed, F.lit(cap.BODY_ERROR)).otherwise(F.col("status")).alias("status"),
+                             (F.col("seq") + 1).alias("seq"), F.concat("doc", F.lit(" ")).alias("doc"))
+    write_latest_documents(second, path, fx.RUN_DATE)
+    return _stored_documents(spark, path)
 
 
 def sql_daily_attribution(spark, sf_dir):
@@ -308,4 +390,12 @@ QUERIES: dict[str, Query] = {
     "per_key_append": per_key_append,
     "latest_documents": latest_documents,
     "sql_daily_attribution": sql_daily_attribution,
+    "origin_lookup_table": origin_lookup_table,
+    "reels_files_multiline": reels_files_multiline,
+    "export_files_roundtrip": export_files_roundtrip,
+    "roster_files": roster_files,
+    "capture_log_files": capture_log_files,
+    "link_snapshot_roundtrip": link_snapshot_roundtrip,
+    "publish_roundtrip": publish_roundtrip,
+    "latest_documents_rerun": latest_documents_rerun,
 }
