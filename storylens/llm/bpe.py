@@ -24,11 +24,11 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
 
-from storylens.llm.common import map_columns
+from storylens.llm.common import map_columns, worker_state
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Pieces kept with their ids in a worker, and token pairs; beyond it the memory starts anew.
-KEPT = 250_000
+KEPT = 200_000
 #: Longer pieces are encoded each time.
 LONGEST_KEPT = 48
 
@@ -200,7 +200,6 @@ class _Parts(dict):
 
 
 _tables: dict[str, tuple] = {}
-_encoders: dict[tuple, Encoder] = {}
 
 
 def _shared(spark, path: str):
@@ -212,10 +211,8 @@ def _shared(spark, path: str):
     return _tables[key]
 
 
-def _encoder(shared, key: tuple, pattern: str) -> Encoder:
-    if key not in _encoders:
-        _encoders[key] = Encoder(*shared.value, pattern)
-    return _encoders[key]
+def _encoder(shared, vocabulary: str, pattern: str) -> Encoder:
+    return worker_state(("bpe", vocabulary, pattern), lambda: Encoder(*shared.value, pattern))
 
 
 def encode(df: DataFrame, vocabulary: str = VOCABULARY, pattern: str = public_tokenizers.PATTERN,
@@ -224,7 +221,7 @@ def encode(df: DataFrame, vocabulary: str = VOCABULARY, pattern: str = public_to
     shared = _shared(df.sparkSession, vocabulary)
 
     def make():
-        e = _encoder(shared, (vocabulary, pattern), pattern)
+        e = _encoder(shared, vocabulary, pattern)
         return lambda texts: [[e.encode(t or "") for t in texts]]
 
     return map_columns(df, [text_col], f"`{ids_col}` binary", make)
@@ -235,7 +232,7 @@ def decode(df: DataFrame, vocabulary: str = VOCABULARY, ids_col: str = "ids", by
     shared = _shared(df.sparkSession, vocabulary)
 
     def make():
-        e = _encoder(shared, (vocabulary, public_tokenizers.PATTERN), public_tokenizers.PATTERN)
+        e = _encoder(shared, vocabulary, public_tokenizers.PATTERN)
         return lambda ids: [[e.decode(x or b"") for x in ids]]
 
     return map_columns(df, [ids_col], f"`{bytes_col}` binary", make)

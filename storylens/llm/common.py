@@ -95,3 +95,14 @@ def partitions(spark: SparkSession) -> int:
 def hash_bound(share: float) -> int:
     """The largest 64-bit hash of that share of all of them: a sample that costs one filter."""
     return min(int(-(1 << 63) + min(1.0, max(0.0, share)) * ((1 << 64) - 1)), (1 << 63) - 1)
+
+
+_state: dict = {}
+
+
+def worker_state(key: tuple, make: Callable):
+    """What a Python worker keeps between tasks: one operator's tables and memories at a time."""
+    if key not in _state:
+        _state.clear()
+        _state[key] = make()
+    return _state[key]

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storylens.llm.common import hash_bound, map_columns, ship_package
+from storylens.llm.common import hash_bound, map_columns, ship_package, worker_state
 
 DIM = 1024
 GRAM = 3
@@ -34,7 +34,7 @@ SEED = 20
 SAMPLE = 1500
 UNDETERMINED = "und"
 #: Rows of n-gram vectors that a worker keeps, and n-grams counted at once.
-KEPT, BLOCK = 60_000, 400_000
+KEPT, BLOCK = 40_000, 400_000
 
 
 def training_rows(doc_id: Column) -> Column:
@@ -121,9 +121,8 @@ class Profiles:
         return self.rows[[self.row[k] for k in keys.tolist()]].astype(np.float32)
 
 
-@functools.cache
 def _profiles() -> Profiles:
-    return Profiles()
+    return worker_state(("langid",), Profiles)
 
 
 def _length(rows: np.ndarray) -> np.ndarray:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from storylens.llm.common import ship_package, written
+from storylens.llm.common import map_columns, ship_package, written
 
 BLOCK = 64
 CHUNK = 1024
@@ -161,7 +161,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
                 .join(chunks, ["place", "chunk"])
                 .select("place", (F.col("before") + F.col("own")).alias("block"), "doc_id", "n",
                         F.greatest(F.col("own") * block - F.col("start"), F.lit(0)).alias("first"),
-                        F.least((F.col("own") + 1) * block - F.col("start"), F.col("size")).alias("last")))
+                        F.least((F.col("own") + 1) * block - F.col("start"), F.col("size")).alias("last"), "size"))
     return Mix(sources, rows, _slots(spark, sources, shards, seed), segments)
 
 
@@ -211,20 +211,30 @@ def documents_of(m: Mix, docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     A row that is taken whole keeps its text; of others the words stay in order, joined by spaces.
     """
-    picked = (m.mixed().groupBy("doc_id", "n", "round")
-              .agg(F.sort_array(F.collect_list(F.struct(F.col("first").cast("int").alias("first"), F.col("last").cast("int").alias("last")))).alias("cuts"))
-              .join(m.rows.select("doc_id", "n", "size"), ["doc_id", "n"])
-              .withColumnsRenamed({"doc_id": "_mix_id", "n": "_mix_n", "round": "_mix_round", "cuts": "_mix_cuts", "size": "_mix_size"}))
+    picked = (m.mixed().groupBy("doc_id", "n", "round", "size")
+              .agg(F.sort_array(F.collect_list(F.struct(
+                  F.col("first").cast("int").alias("first"), F.col("last").cast("int").alias("last")))).alias("cuts"))
+              .withColumnsRenamed({c: f"_mix_{c}" for c in ("doc_id", "n", "round", "cuts", "size")}))
     # the rows of one id in the order that numbered them
     words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
     same = Window.partitionBy(id_col).orderBy(source_col, "_mix_words")
     rows = docs.withColumn("_mix_words", words).withColumn("_mix_number", F.row_number().over(same))
-    rows = rows.join(picked, (F.col(id_col) == F.col("_mix_id")) & (F.col("_mix_number") == F.col("_mix_n")))
-    found = F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0))
-    parts = F.transform("_mix_cuts", lambda c: F.slice("_mix_split", c["first"] + 1, c["last"] - c["first"]))
-    whole = F.aggregate("_mix_cuts", F.lit(0).cast("long"), lambda a, c: a + c["last"] - c["first"]) == F.col("_mix_size")
-    text = F.when(whole, F.col(text_col)).otherwise(F.array_join(F.flatten(parts), " "))
-    rows = rows.withColumn("_mix_split", F.when(~whole, found)).withColumn(text_col, text)
+    rows = rows.join(picked, F.col(id_col).eqNullSafe(F.col("_mix_doc_id")) & (F.col("_mix_number") == F.col("_mix_n")))
+
+    def make():
+        def run(texts, cuts, sizes):
+            out = []
+            for t, c, n in zip(texts, cuts, sizes):
+                if sum(x["last"] - x["first"] for x in c) < n:
+                    own = t.encode("utf-8").split()  # at the same white space as WORD
+                    t = b" ".join(b" ".join(own[x["first"]:x["last"]]) for x in c).decode("utf-8")
+                out.append(t)
+            return [out]
+        return run
+
+    columns = list(docs.columns)
+    rows = map_columns(rows.select(*columns, "_mix_cuts", "_mix_size"),
+                       [text_col, "_mix_cuts", "_mix_size"], f"`{text_col}` string", make)
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
     return rows.select(*docs.columns)

@@ -23,13 +23,14 @@ get equal scores. Only id and text of the documents are read.
 from __future__ import annotations
 
 import re
+import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storylens.llm.common import documents, hash_bound, map_columns, ship_package, written
+from storylens.llm.common import documents, hash_bound, map_columns, ship_package, worker_state, written
 from storylens.llm.kneser_ney import Ratios, logistic, sigmoid
 
 #: Training documents of either class, about.
@@ -40,7 +41,7 @@ WINDOWS = (1, 8, 32)
 STRONGEST = (3, 6, 12)
 EVIDENCE = 1 + len(WINDOWS) + len(STRONGEST)
 #: Words whose ratios a worker keeps; longer words than LONGEST are scored each time.
-KEPT, LONGEST = 600_000, 40
+KEPT, LONGEST = 400_000, 40
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -92,15 +93,9 @@ class Scorer:
         return [sigmoid(x) for x in e @ self.weights[:-1] + self.weights[-1]]
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def _scorer(shared) -> Scorer:
     name, value = shared.value
-    if name not in _scorers:
-        _scorers.clear()
-        _scorers[name] = Scorer(*value)
-    return _scorers[name]
+    return worker_state(("toxicity", name), lambda: Scorer(*value))
 
 
 def _word_counts(sample: DataFrame) -> DataFrame:
@@ -156,7 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", toxic: int
     else:  # too few rows for two halves
         held, calibrating = final, sample
     del counts
-    shared = sample.sparkSession.sparkContext.broadcast((f"held-{id(held)}", (held,)))
+    shared = sample.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, (held,)))
     names = [f"e{i}" for i in range(EVIDENCE)]
 
     def make():
@@ -174,8 +169,6 @@ def score(docs: DataFrame, fitted, id_col: str = "doc_id", text_col: str = "text
     """Append the score, 0 to 1, of the whole text."""
     if isinstance(fitted, int):
         return docs.withColumn(score_col, F.lit(float(fitted)))
-    import uuid
-
     shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, fitted))
 
     def make():

@@ -3,7 +3,6 @@ empty tables and clashing columns."""
 
 from __future__ import annotations
 
-import base64
 import hashlib
 import zlib
 from collections import Counter, defaultdict
@@ -11,11 +10,10 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-import tiktoken
-import xxhash
 
 from storylens.llm import bitsliced, bpe, components, langid, mixing, sharding, simhash, toxicity, winnowing
 from storylens.llm.kneser_ney import Ratios, logistic
+from tests_llm_brute import brute_components, brute_fingerprint, edited, reference
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 LONG = " ".join(f"wort{i % 977} und{i % 13}" for i in range(60_000))
@@ -49,13 +47,6 @@ def empty(spark):
     return spark.createDataFrame([], DOCS)
 
 
-def reference():
-    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-
 # byte-level BPE
 
 def test_bpe_equals_tiktoken(docs):
@@ -142,14 +133,6 @@ def test_shared_passage_leaves_a_common_mark():
         assert set(winnowing.marks(a)[0]) & set(winnowing.marks(b)[0])
 
 
-def edited(texts):
-    out = []
-    for i, t in enumerate(texts):
-        half = len(t) // 2
-        out.append(t[:len(t) - half] + texts[(i + 1) % len(texts)][:half])
-    return out
-
-
 def test_against_next(docs):
     rows = winnowing.against_next(docs).collect()
     order = sorted(((r[0] if r[0] is not None else -2**63, r[1] or "") for r in ROWS))
@@ -352,7 +335,7 @@ def test_mix(spark):
 
 
 def test_mix_documents(spark, docs):
-    frame = spark.createDataFrame([r for r in mix_rows() if r[0] is not None], DOCS)
+    frame = spark.createDataFrame(mix_rows(), DOCS)
     m = mixing.mix(frame, block=8, shards=4)
     taken = Counter()
     for r in mixing.taken(m).collect():
@@ -459,32 +442,6 @@ def test_search_of_lengths_and_empty(spark):
 
 # SimHash near-duplicates
 
-def brute_fingerprint(text):
-    words = (text or "").encode().lower().split()
-    if not words:
-        return 0
-    grams = [b" ".join(words[i:i + 4]) for i in range(max(1, len(words) - 3))]
-    h = [xxhash.xxh64_intdigest(g, 42) for g in grams]
-    return sum(1 << b for b in range(64) if 2 * sum((x >> b) & 1 for x in h) > len(h))
-
-
-def brute_components(nodes, linked):
-    """Smallest index reachable."""
-    root = list(range(len(nodes)))
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for i in range(len(nodes)):
-        for j in range(i):
-            if linked(nodes[i], nodes[j]):
-                a, b = find(i), find(j)
-                root[max(a, b)] = min(a, b)
-    return [find(i) for i in range(len(nodes))]
-
-
 def test_fingerprints():
     for r in ROWS[:5] + ROWS[7:]:
         assert simhash.fingerprint(r[1] or "") == brute_fingerprint(r[1])
