@@ -59,9 +59,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/storylens/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path below the shared checkpoint folder, removed when the application ends."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/storylens/{spark.sparkContext.applicationId}"
+    if base not in _scratch:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(base)
+        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(folder)
+        fs.deleteOnExit(folder)
+        _scratch.add(base)
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_scratch: set[str] = set()
 
 
 def local_path(path: str) -> str:
