@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storylens.llm import bitsliced, bpe, extraction, langid, mixing, sharding, simhash, toxicity, winnowing
+from storylens.llm import bitsliced, bpe, extraction, langid, mixing, packing, sharding, simhash, toxicity, winnowing
 from storylens.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,11 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return extraction.extract(pages, extraction.fit(pages)).select(
         "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = bpe.encode(documents(table(spark, sf_dir, "documents"))).select("doc_id", "ids")
+    return packing.packed(ids).select(
+        "row", "n_tokens", "doc_ids", "parts", "cu_seqlens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("positions", 256).alias("positions_sha256"))
