@@ -9,9 +9,11 @@ as they would in a short one. A logistic regression turns the evidence into a
 score. It is fitted on documents that the models of its features have not seen.
 A word counts once for each training document, and equal texts train once.
 
-The models are fitted on a bounded sample of labelled rows: about ``TOXIC`` and
-``ORDINARY`` documents, those of the smallest hashes of their ids. All
-rows of the input are scored, over the whole text.
+The models count the texts of all training rows: words, then their n-grams, are
+summed in Spark, and only the table of different n-grams comes to the driver. The
+logistic regression is fitted on a bounded sample: about ``TOXIC`` and
+``ORDINARY`` texts, those of the smallest hashes. All rows of the input are
+scored, over the whole text.
 
 A null text counts as empty. A text without letters has no evidence and gets
 the score of none. A document labelled more than once counts as toxic if any
@@ -30,11 +32,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storylens.llm.common import documents, hash_bound, map_columns, ship_package, worker_state, written
-from storylens.llm.kneser_ney import Ratios, logistic, sigmoid
+from storylens.llm.common import SLICE, documents, hash_bound, map_columns, ship_package, worker_state, written
+from storylens.llm.kneser_ney import Ratios, logistic, ngrams, sigmoid
 
-#: Training documents of either class, about.
-TOXIC, ORDINARY = 1500, 4000
+#: Texts of either class that the logistic regression is fitted on, about (half of them if there are two folds).
+TOXIC, ORDINARY = 2500, 5000
+#: Counted words that a worker holds, and words whose n-grams it sums at once.
+HELD, TOGETHER = 300_000, 50_000
 #: Words of a passage whose mean ratio counts.
 WINDOWS = (1, 8, 32)
 #: Different words of the largest ratios whose mean counts.
@@ -98,60 +102,96 @@ def _scorer(shared) -> Scorer:
     return worker_state(("toxicity", name), lambda: Scorer(*value))
 
 
-def _word_counts(sample: DataFrame) -> DataFrame:
-    """``(word, n00, n01, n10, n11)``: in how many documents of a fold and label a word stands."""
-    ship_package(sample.sparkSession)
+def _word_counts(texts: DataFrame) -> DataFrame:
+    """``(word, n00, n01, n10, n11)``: in how many texts of a fold and label a word stands."""
+    ship_package(texts.sparkSession)
 
     def run(batches):
         from collections import Counter, defaultdict
 
         counts: dict[tuple[int, int], Counter] = defaultdict(Counter)
-        for b in batches:
+
+        def made():
+            for (fold, label), c in counts.items():
+                yield pa.RecordBatch.from_pydict(
+                    {"fold": pa.array([fold] * len(c), pa.int32()), "label": pa.array([label] * len(c), pa.int32()),
+                     "word": pa.array(list(c), pa.string()), "n": pa.array(list(c.values()), pa.int64())})
+            counts.clear()
+
+        for b in (whole.slice(k, SLICE) for whole in batches for k in range(0, whole.num_rows, SLICE)):
             for t, fold, label in zip(*(b.column(c).to_pylist() for c in ("text", "fold", "label"))):
                 counts[fold, label].update(set(WORD.findall(t.lower())))
-        for (fold, label), c in counts.items():
-            yield pa.RecordBatch.from_pydict(
-                {"fold": pa.array([fold] * len(c), pa.int32()), "label": pa.array([label] * len(c), pa.int32()),
-                 "word": pa.array(list(c), pa.string()), "n": pa.array(list(c.values()), pa.int64())})
+            if sum(map(len, counts.values())) > HELD:
+                yield from made()
+        yield from made()
 
-    parts = sample.select("text", "fold", "label").mapInArrow(run, "fold int, label int, word string, n bigint")
+    parts = texts.select("text", "fold", "label").mapInArrow(run, "fold int, label int, word string, n bigint")
     return parts.groupBy("word").agg(*(
         F.sum(F.when((F.col("fold") == f) & (F.col("label") == c), F.col("n")).otherwise(0)).alias(f"n{f}{c}")
         for f in (0, 1) for c in (0, 1)))
 
 
+def _gram_counts(words: DataFrame) -> DataFrame:
+    """``(high, low, n00, n01, n10, n11)``: the sums of the words' counts for each n-gram (``kneser_ney.ngrams``)."""
+    names = [f"n{f}{c}" for f in (0, 1) for c in (0, 1)]
+
+    def run(batches):
+        def made():
+            table = pa.Table.from_batches(held)
+            high, low, sums = ngrams(table["word"].to_pylist(), np.stack([table[c].to_numpy() for c in names], 1))
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (high, low, *sums.T)], ["high", "low", *names])
+
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            held.append(b)
+            if sum(x.num_rows for x in held) >= TOGETHER:
+                yield made()
+                held.clear()
+        if sum(x.num_rows for x in held):
+            yield made()
+
+    parts = words.mapInArrow(run, "high bigint, low bigint, " + ", ".join(f"{c} bigint" for c in names))
+    return parts.groupBy("high", "low").agg(*(F.sum(c).alias(c) for c in names))
+
+
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", toxic: int = TOXIC, ordinary: int = ORDINARY):
     """``(ratios, weights)`` from the training rows, or the one label that they have (0 without any)."""
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
              .where("doc_id is not null and label in (0, 1)").where(training_rows(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("label").alias("label")))
-    hashed = F.xxhash64("doc_id", F.lit("toxicity"))
-    counts = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
-    most = F.create_map(*(F.lit(x) for c, n in ((1, toxic), (0, ordinary)) for x in (c, hash_bound(n / counts.get(c, 1)))))
-    # about toxic + ordinary rows of two numbers
-    chosen = F.broadcast(known.where(hashed <= most[F.col("label")])
-                         .withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(2)).cast("int")))
-    sample = written(documents(docs).join(chosen, "doc_id").groupBy("text").agg(
-        F.min("fold").alias("fold"), F.max("label").alias("label")), "toxicity-sample")
-    have = {(r.fold, r.label) for r in sample.select("fold", "label").distinct().collect()}
+    texts = documents(docs).where(training_rows(F.col("doc_id"))).withColumn("key", F.md5("text"))
+    # a row of two small numbers for each different training text
+    marks = written(texts.select("doc_id", "key").join(known, "doc_id").groupBy("key").agg(F.max("label").alias("label"))
+                    .withColumn("fold", F.pmod(F.xxhash64("key", F.lit("fold")), F.lit(2)).cast("int")), "toxicity-labels")
+    have = {(r.fold, r.label): r["count"] for r in marks.groupBy("fold", "label").count().collect()}
     classes = {label for _, label in have}
     if len(classes) < 2:
         return max(classes, default=0)
-    # the words of the bounded sample: sorted, so that equal samples give equal models
-    counts = _word_counts(sample).toArrow().sort_by("word")
+    # texts and their labels meet in one aggregate, so that copies of a text are one row before they move
+    none = F.lit(None).cast("int")
+    trained = (texts.select("key", "text", none.alias("fold"), none.alias("label"))
+               .unionByName(marks.select("key", F.lit(None).cast("string").alias("text"), "fold", "label"))
+               .groupBy("key").agg(F.max("text").alias("text"), F.max("fold").alias("fold"), F.max("label").alias("label"))
+               .where("label is not null"))
+    counts = _gram_counts(_word_counts(trained)).toArrow()
+    high, low = counts["high"].to_numpy(), counts["low"].to_numpy()
 
     def model(folds):
-        by_class = [sum(counts[f"n{f}{c}"].to_numpy() for f in folds) for c in (1, 0)]
-        used = by_class[0] + by_class[1] > 0
-        return Ratios(counts["word"].filter(pa.array(used)).to_pylist(), np.stack(by_class, 1)[used])
+        by_class = np.stack([sum(counts[f"n{f}{c}"].to_numpy() for f in folds) for c in (1, 0)], 1)
+        used = by_class.sum(1) > 0
+        return Ratios.of_counts(high[used], low[used], by_class[used])
 
     final = model((0, 1))
+    held = model((0,)) if len(have) == 4 else final  # too few rows for two halves
+    del counts, high, low
+    # the bounded sample: about toxic + ordinary rows
+    most = F.create_map(*(F.lit(x) for c, n in ((1, toxic), (0, ordinary))
+                          for x in (c, hash_bound(n / max(1, sum(have.get((f, c), 0) for f in (0, 1)))))))
+    chosen = marks.where(F.xxhash64("key", F.lit("toxicity")) <= most[F.col("label")])
     if len(have) == 4:
-        held, calibrating = model((0,)), sample.where("fold = 1")
-    else:  # too few rows for two halves
-        held, calibrating = final, sample
-    del counts
-    shared = sample.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, (held,)))
+        chosen = chosen.where("fold = 1")
+    calibrating = texts.join(F.broadcast(chosen), "key").groupBy("text").agg(F.max("label").alias("label"))
+    shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, (held,)))
     names = [f"e{i}" for i in range(EVIDENCE)]
 
     def make():

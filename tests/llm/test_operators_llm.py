@@ -12,7 +12,7 @@ import public_tokenizers
 import pytest
 
 from storylens.llm import bitsliced, bpe, components, langid, mixing, sharding, simhash, toxicity, winnowing
-from storylens.llm.kneser_ney import Ratios, logistic
+from storylens.llm.kneser_ney import Ratios, logistic, ngrams
 from tests_llm_brute import brute_components, brute_fingerprint, edited, reference
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -216,6 +216,38 @@ def test_kneser_ney_is_a_distribution():
     assert len(r.score([])) == 0
 
 
+def test_toxicity_counts_all_training_rows(spark):
+    docs, labels = toxic_rows(300)
+    docs += [(1000 + i, docs[i][1], "en", "a", 0) for i in range(3)]  # equal texts train once
+    fitted, _ = toxicity.fit(spark.createDataFrame(docs, DOCS), spark.createDataFrame(
+        labels + [(1000 + i, 1, labels[i][2]) for i in range(3)], "doc_id bigint, quality int, toxic int"), toxic=30, ordinary=60)
+    words = defaultdict(lambda: [0, 0])
+    bad = dict((i, t) for i, _, t in labels + [(1000 + i, 1, labels[i][2]) for i in range(3)])
+    texts = {t: bad[i] for i, t, *_ in docs if zlib.crc32(str(i).encode()) % 3 != 1}
+    for t, toxic in texts.items():
+        for w in set(t.split()):
+            words[w][1 - toxic] += 1
+    want = Ratios(list(words), np.array(list(words.values())))
+    assert fitted.codes == want.codes and set(fitted.keys) == set(want.keys)
+    for k in want.keys:
+        assert fitted.keys[k].tolist() == want.keys[k].tolist() and np.allclose(fitted.ratio[k], want.ratio[k])
+
+
+def test_ngram_counts():
+    words, n = ["abcabc", "bca", "日本", "a"], np.array([[1, 0], [2, 5], [0, 3], [4, 4]])
+    want = defaultdict(lambda: np.zeros(2, int))
+    for w, c in zip(words, n):
+        w = f"\1{w}\2"
+        for k in range(1, 7):
+            for i in range(len(w) - k + 1):
+                if k > 1 or i:
+                    want[w[i:i + k]] += c
+    high, low, counts = ngrams(words, n)
+    got = {"".join(chr(p) for x in (h, l) for p in (x >> 42, x >> 21 & 0x1fffff, x & 0x1fffff) if p): c.tolist()
+           for h, l, c in zip(high.tolist(), low.tolist(), counts)}
+    assert len(high) == len(got) and got == {w: c.tolist() for w, c in want.items()}
+
+
 def test_logistic_separates():
     x = np.array([[-2.0], [-1.0], [1.0], [2.0]] * 20)
     w = logistic(x, np.array([0, 0, 1, 1] * 20))
