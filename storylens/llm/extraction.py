@@ -9,8 +9,8 @@ and only a mixed one leaves it to its children. Among the states that do not
 contradict one another the most likely are chosen, exactly, from the leaves up.
 
 There are no labelled pages, so the trees are trained on pages whose labels are known by
-construction: the text of a bounded sample (``PAGES`` pages, about, of at most ``LONGEST``
-characters) is set into varied layouts of articles with menus, headers, footers, sidebars, notices,
+construction: the text of a bounded sample (``PAGES`` different pages, longer ones than
+``LONGEST`` characters only if there are no others) is set into varied layouts of articles with menus, headers, footers, sidebars, notices,
 adverts, forms and comments; the sampled pages that have an ``article`` or ``main`` element are
 added with what stands inside as main text. All pages are extracted whole.
 
@@ -29,13 +29,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storylens.llm import dom
-from storylens.llm.common import hash_bound, map_columns
+from storylens.llm.common import map_columns
 from storylens.llm.trees import Boosted
 
-#: Pages of the training sample, about, and the longest among them in characters.
+#: Different pages of the training sample; pages beyond so many characters come last, while all have at most PAGES * LONGEST.
 PAGES, LONGEST = 240, 100_000
-#: Layouts that the text of a sampled page is set into.
+#: Layouts that the text of a sampled page is set into; more of them if the pages are few, PAGES in all at least.
 LAYOUTS = 2
+#: Paragraphs of the layouts if no sampled page has any text. (fixed value)
+EXAMPLE = ["The first boats left the harbour before dawn, and by noon the whole town, it seemed, had come down to the water.",
+           "Nobody could say how long the bridge had stood there. It was older than the road, older than the two villages.",
+           "In the years that followed, the garden was planted again, the walls were mended, and the gate was painted green."]
 SEED = 6
 KEEP, DROP, MIXED = 0, 1, 2
 MARK = "\ue000"
@@ -323,27 +327,31 @@ class Extractor:
         return out
 
 
-def train(sources: list[str], seed: int = SEED) -> Extractor | None:
-    """An extractor from the text of some pages."""
-    pages, inside = [], []
-    for number, source in enumerate(sources):
-        page = dom.read(source)
-        own = own_labels(page)
-        if own is not None:
-            pages.append(page)
-            inside.append(own)
+def train(sources: list[str], seed: int = SEED) -> Extractor:
+    """An extractor from the text of some pages; from ``EXAMPLE`` if they have none."""
+    read = [(page, own_labels(page)) for page in map(dom.read, sources)]
+    texts: dict[int, list[str]] = {}
+    for number, (page, own) in enumerate(read):
         leaves = [i for i, t in enumerate(page.tag) if t == "#text" and (own is None or own[i])]
         paragraphs = [page.text[i] for i in leaves if own is not None or (page.linked[i] * 2 < len(page.text[i]))]
-        if not paragraphs:
+        if paragraphs:
+            texts[number] = paragraphs
+    if not texts:  # any text will do
+        texts = {n: some for n, (page, _) in enumerate(read) if (some := [t for t in page.text if t])} or {len(read): EXAMPLE}
+    layouts = max(LAYOUTS, -(-PAGES // len(texts)))
+    pages, inside = [], []
+    for number in range(len(read) + 1):
+        if number < len(read) and read[number][1] is not None:
+            pages.append(read[number][0])
+            inside.append(read[number][1])
+        if number not in texts:
             continue
         rng = np.random.Generator(np.random.PCG64([seed, number]))
-        for _ in range(LAYOUTS):
-            made = dom.read(Layouts(rng, paragraphs[:int(rng.integers(1, 25))]).page())
+        for _ in range(layouts):
+            made = dom.read(Layouts(rng, texts[number][:int(rng.integers(1, 25))]).page())
             inside.append(np.array([MARK in t for t in made.text]))
             made.text = [t.replace(MARK, "") for t in made.text]
             pages.append(made)
-    if not pages:
-        return None
     words = learn_words(pages, inside)
     x, end, parent = features(pages, words)
     leaf = np.fromiter((t == "#text" for p in pages for t in p.tag), bool, len(parent))
@@ -351,14 +359,20 @@ def train(sources: list[str], seed: int = SEED) -> Extractor | None:
 
 
 def fit(pages: DataFrame, html_col: str = "html", sample: int = PAGES) -> Extractor | None:
-    """Train on the pages of the smallest hashes, about ``sample`` of them."""
+    """Train on ``sample`` different pages, those of the smallest hashes; None if no page has a character.
+
+    If fewer are of at most ``LONGEST`` characters, the shortest longer ones follow.
+    """
     hashed = F.xxhash64(html_col, F.lit("extraction"))
-    n = pages.count()
-    if not n:
+    some = pages.where(F.length(html_col) >= 1)
+    rows = (some.select(hashed.alias("hash"), F.greatest(F.length(html_col), F.lit(LONGEST)).alias("size")).distinct()
+            .orderBy("size", "hash").limit(sample).collect())
+    if not rows:
         return None
-    rows = (pages.where(F.length(html_col).between(1, LONGEST)).where(hashed <= hash_bound(sample / n))
-            .select(F.col(html_col).alias("html")).distinct().collect())  # the bounded sample
-    return train(sorted(r.html for r in rows))
+    upto = np.cumsum([r["size"] for r in rows]) <= sample * LONGEST
+    chosen = [r.hash for i, r in enumerate(rows) if upto[i] or i == 0]
+    found = some.where(hashed.isin(chosen)).select(F.col(html_col).alias("html")).distinct().collect()  # the bounded sample
+    return train(sorted(r.html for r in found))
 
 
 def extract(pages: DataFrame, extractor: Extractor | None, html_col: str = "html", out_col: str = "text") -> DataFrame:

@@ -112,3 +112,29 @@ def test_extract_edge_cases(spark, sources, extractor):
 def test_training_is_the_same_again(sources, extractor):
     again = extraction.train(sources)
     assert again.texts(sources[:5]) == extractor.texts(sources[:5]) and again.words == extractor.words
+
+
+def test_long_pages_alone_are_trained_on(spark, monkeypatch):
+    long = ["<nav><a href=x>menu</a></nav><article>" + f"<p>Page {i} has many words, all of them its own.</p>" * 60 + "</article>" for i in range(3)]
+    monkeypatch.setattr(extraction, "LONGEST", 500)
+    frame = spark.createDataFrame(list(enumerate(long)), "page_id bigint, html string")
+    got = extraction.extract(frame, extraction.fit(frame)).orderBy("page_id").collect()
+    assert [r.text for r in got] == ["\n".join([f"Page {i} has many words, all of them its own."] * 60) for i in range(3)]
+
+
+def test_copies_do_not_thin_the_sample(spark, sources, monkeypatch):
+    taken = []
+    monkeypatch.setattr(extraction, "train", taken.extend)
+    frame = spark.createDataFrame([(s,) for s in sources[:8] for _ in range(500)], "html string")
+    extraction.fit(frame)
+    assert taken == sorted(set(sources[:8]))
+    taken.clear()
+    extraction.fit(frame, sample=3)
+    assert len(taken) == 3
+
+
+def test_pages_without_paragraphs_still_train():
+    linked = "<div><a href=x>only a link, and one more</a></div>"
+    for sample in ([linked], ["<img src=x>"], []):
+        own = extraction.train(sample)
+        assert own.texts(["<nav><a href=x>m</a></nav><article><p>" + "Some words, and then more of them. " * 9 + "</article>"])[0]
