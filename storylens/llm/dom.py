@@ -10,8 +10,12 @@ from dataclasses import dataclass, field
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
 figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section
 summary table tbody td tfoot th thead tr ul""".split())
-#: Elements whose content is no text of the page. (fixed values)
-HIDDEN = frozenset("head iframe math noscript object script style svg template title".split())
+#: Elements whose content is no text of the page: those whose content is raw, up to their own end tag or the page's end,
+#: and those that hold elements and end with what is around them. (fixed values)
+RAW = frozenset("iframe script style title".split())
+HIDDEN = frozenset("noscript object svg template".split())
+#: Elements of svg that can hold HTML; elsewhere in it a block ends it. (fixed values)
+FOREIGN = frozenset("desc foreignobject".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CONTROLS = frozenset("button input option select textarea".split())
 #: What an opening tag ends if it is open, up to the given elements. (fixed values)
@@ -59,7 +63,7 @@ def read(source: str) -> Page:
     top = page.add(-1, "#page")
     open_: list[tuple[str, int]] = [("#page", top)]  # inline elements carry the node of the block around them
     pieces: list[str] = []
-    links = linked = inside = 0
+    links = linked = inside = hidden = 0
 
     def run_ends() -> None:
         nonlocal linked, inside
@@ -72,16 +76,18 @@ def read(source: str) -> Page:
         linked = inside = 0
 
     def close(depth: int) -> None:
-        nonlocal links
-        for tag, _ in open_[depth:]:
-            links -= tag == "a"
-        if any(tag in BLOCKS for tag, _ in open_[depth:]):
+        nonlocal links, hidden
+        closed = [tag for tag, _ in open_[depth:]]
+        links -= closed.count("a")
+        inner = next((i for i, tag in enumerate(closed) if tag in HIDDEN), len(closed))
+        hidden -= sum(tag in HIDDEN for tag in closed[inner:])
+        if not hidden and any(tag in BLOCKS for tag in closed[:inner]):  # blocks in hidden elements break no line
             run_ends()
         del open_[depth:]
 
     def text(value: str) -> None:
         nonlocal linked
-        if value:
+        if value and not hidden:
             pieces.append(value)
             if links:
                 linked += len(value)
@@ -99,24 +105,35 @@ def read(source: str) -> Page:
         tag = m[2].lower()
         if m[1]:
             depth = next((i for i in range(len(open_) - 1, 0, -1) if open_[i][0] == tag), 0)
-            if depth and tag not in BLOCKS and any(t in BLOCKS for t, _ in open_[depth:]):
+            if depth and tag not in BLOCKS and tag not in HIDDEN and any(t in BLOCKS for t, _ in open_[depth:]):
                 links -= tag == "a"  # an inline end tag ends no block that began inside
                 del open_[depth]
             elif depth:
                 close(depth)
-            elif tag == "p":
+            elif tag == "p" and not hidden:
                 run_ends()
             continue
-        if tag in HIDDEN:
-            if m[3].endswith("/"):
-                continue
-            stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(source, at)
-            if tag == "head":  # an unclosed head ends where the body begins
-                body = re.compile(r"<body[\s>]", re.I).search(source, at)
-                at = min(x for x in (stop and stop.end(), body and body.start(), end) if x is not None)
-            else:
+        if hidden and tag in BLOCKS:
+            svg = max((i for i, (t, _) in enumerate(open_) if t in HIDDEN), default=0)
+            if open_[svg][0] == "svg" and not any(t in FOREIGN for t, _ in open_[svg:]):
+                close(svg)
+        if tag in RAW:
+            if not m[3].endswith("/"):
+                stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(source, at)
                 at = stop.end() if stop else end
             continue
+        if tag in HIDDEN:
+            if not m[3].endswith("/"):
+                open_.append((tag, open_[-1][1]))
+                hidden += 1
+            continue
+        if hidden:  # without nodes; its tags only tell where it ends
+            if tag not in VOID and not m[3].endswith("/"):
+                open_.append((tag, open_[-1][1]))
+                links += tag == "a"
+            continue
+        if tag == "head":  # what may stand in it has no text; the first that may not ends it
+            continue
         if tag == "br":
             text("\n")
             continue
