@@ -229,12 +229,16 @@ def permissive_json(spark, sf_dir):
                          F.size("r.items").cast("bigint").alias("n_items"))
 
 
+#: Reels (of at most fx.BLOCK source rows) in a file that is read as one record.
+REELS_IN_FILE = 64
+
+
 def reels_files_multiline(spark, sf_dir):
     """Files that hold several pretty-printed arrays one after another, read whole."""
     reels = fx.event_reels(_table(spark, sf_dir, "events"))
     text = F.replace(F.to_json(F.array("reel")), F.lit(',"items"'), F.lit(',\n  "items"'))
     path = scratch_path(spark, "reels-multiline")
-    reels.select(text.alias("value")).repartition(8).write.text(path)
+    reels.select(text.alias("value")).write.option("maxRecordsPerFile", REELS_IN_FILE).text(path)
     good, _ = read_reels_files(spark, path, multi_line=True, glob="part-*")
     return q1(good, fx.RUN_DATE)
 

@@ -212,3 +212,16 @@ def test_folder_without_matching_files_reads_empty(spark):
     good, bad = read_reels_files(spark, d, multi_line=True)
     assert good.count() == 0 and bad.count() == 0
     assert daily_attribution(good.select("user", "items"), "2026-12-01").count() == 0
+
+
+def test_multiline_files_are_bounded(spark, sf_dir, tmp_path, monkeypatch):
+    from storylens.plans import registry
+
+    rows = {}
+    for most in (1, 10**9):
+        monkeypatch.setattr(registry, "REELS_IN_FILE", most)
+        monkeypatch.setattr(registry, "scratch_path", lambda _, name: str(tmp_path / str(most)))
+        rows[most] = sorted(map(str, registry.reels_files_multiline(spark, sf_dir).collect()))
+        held = [f.read_text().count(',\n  "items"') for f in (tmp_path / str(most)).glob("part-*")]
+        assert max(held) <= most
+    assert rows[1] == rows[10**9] and rows[1]
