@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storylens.llm import bitsliced, bpe, extraction, langid, mixing, packing, sharding, simhash, toxicity, winnowing
+from storylens.llm import bitsliced, bpe, extraction, langid, mixing, packing, resampling, sharding, simhash, toxicity, winnowing
 from storylens.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,6 +103,12 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+@query
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
 @query
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = bpe.encode(documents(table(spark, sf_dir, "documents"))).select("doc_id", "ids")
