@@ -1,0 +1,127 @@
+"""The Jaccard join against all pairs by plain Python sets."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from storylens.llm import jaccard
+from storylens.llm.common import table
+from tests_llm_brute import brute_components
+
+DOCS = "doc_id bigint, text string, lang string"
+
+
+def words_of(text):
+    return (text or "").encode().lower().split()
+
+
+def brute_set(text):
+    w = words_of(text)
+    return {b" ".join(w[i:i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
+
+
+def linked(a, b):
+    return bool(a) and 100 * len(a & b) >= 80 * len(a | b)
+
+
+def brute(rows):
+    """``(doc_id, n_shingles, component_id)``; rows by id, null last."""
+    rows = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
+    sets = [brute_set(r[1]) for r in rows]
+    roots = brute_components(sets, linked)
+    return sorted(((r[0], len(s), rows[k][0]) for r, s, k in zip(rows, sets, roots)), key=str)
+
+
+def edited(rng, words, n):
+    out = list(words)
+    for k in rng.choice(len(out), n, replace=False):
+        out[k] = f"x{rng.integers(1 << 30)}"
+    return out
+
+
+def made_rows(rng, n=400):
+    """Groups of edited copies of all sizes, a star around one text, copies of copies, and texts that share passages."""
+    def fresh(k):
+        return [f"w{x}" for x in rng.integers(0, 5000, k)]
+
+    passage, texts = fresh(60), []
+    while len(texts) < n:
+        base = fresh(int(rng.integers(1, 120)))
+        kind = rng.integers(4)
+        if kind == 0:
+            texts.append(base + passage + fresh(80))
+        elif kind == 1:  # a star: copies that link with the first text only
+            base = fresh(200)
+            texts += [base] + [edited(rng, base, 3 + int(rng.integers(3))) for _ in range(12)]
+        elif kind == 2:  # a chain
+            for _ in range(6):
+                texts.append(base)
+                base = edited(rng, base, min(len(base), 1 + int(rng.integers(3))))
+        else:
+            texts += [base, base, base + fresh(int(rng.integers(1, 30)))]
+    order = rng.permutation(len(texts))
+    return [(int(i) if i % 29 else None, " ".join(texts[k]), "en") for i, k in enumerate(order)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_all_pairs(spark, seed, monkeypatch):
+    # several batches, blocks and splits
+    monkeypatch.setattr(jaccard, "BLOCK", 2)
+    monkeypatch.setattr(jaccard, "FREQUENT", 4)
+    rows = made_rows(np.random.default_rng(seed))
+    found = jaccard.near_duplicates(spark.createDataFrame(rows, DOCS).repartition(9)).collect()
+    named = [r for r in found if r.doc_id is not None]
+    want = brute(rows)
+    assert sorted(map(tuple, named)) == sorted(w for w in want if w[0] is not None)
+    assert len(found) == len(rows)
+
+
+def test_query_on_documents(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = jaccard.near_duplicates(docs).collect()
+    assert sorted(map(tuple, found), key=str) == brute([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_odd_rows(spark):
+    long = " ".join(f"wort{i % 977} und{i % 13}" for i in range(60_000))
+    rows = [(1, None, "a"), (2, "", "a"), (3, " \n\t ", None), (4, "one", "a"), (5, "One", "a"), (5, "one", "a"), (6, long, "a"),
+            (7, long + " end", "a"), (None, "one", "a"), (None, None, "a"), (8, "a b c d e f", None), (9, "a b c d e", "a"),
+            (None, "alone without an id and with no partner at all", "a"), (10, "Ä ä b c d", "a"), (11, "ä ä b c d", "a")]
+    docs = spark.createDataFrame(rows, DOCS)
+    extra = docs.withColumns({c: F.lit("0") for c in ("sid", "key", "n", "batch", "shingles", "region", "pivot", "root", "node", "first")})
+    found = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_duplicates(extra).collect()}
+    assert {r for r in found if r[0] in (1, 2, 3)} == {(1, 0, 1), (2, 0, 2), (3, 0, 3)}
+    assert {r for r in found if r[0] in (4, 5)} == {(4, 1, 4), (5, 1, 4)} and (None, 1, 4) in found and (None, 0, None) in found
+    assert {r[2] for r in found if r[0] in (6, 7)} == {6}
+    assert {(r[0], r[2]) for r in found if r[0] in (8, 9, 10, 11)} == {(8, 8), (9, 9), (10, 10), (11, 11)}
+    assert jaccard.near_duplicates(spark.createDataFrame([], DOCS)).collect() == []
+    assert [r.component_id for r in jaccard.near_duplicates(spark.createDataFrame([(3, None, "a")], DOCS)).collect()] == [3]
+
+
+def test_signatures_hold_what_they_should():
+    # of any linked pair the signatures share at least as many as the smaller set may have to
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        n = int(rng.integers(1, 200))
+        a = np.unique(rng.integers(0, 1 << 40, n))
+        b = np.unique(np.concatenate((a[rng.random(len(a)) < 0.9], rng.integers(0, 1 << 40, int(rng.integers(0, n // 8 + 1))))))
+        same = len(np.intersect1d(a, b))
+        if 100 * same >= 80 * (len(a) + len(b) - same):
+            both = np.intersect1d(a[:jaccard.signature_size(len(a))], b[:jaccard.signature_size(len(b))])
+            assert len(both) >= max(jaccard.spare(jaccard.needed(len(x))) for x in (a, b))
+
+
+def test_hot_region_in_blocks(spark, monkeypatch):
+    # one base that is not there, and edited copies of it that link in chains only
+    rng = np.random.default_rng(3)
+    base = [f"w{x}" for x in rng.integers(0, 5000, 300)]
+    texts = []
+    for _ in range(60):
+        one = edited(rng, base, 9)
+        texts += [one, edited(rng, one, 2), edited(rng, one, 3)]
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    rows = [(i, " ".join(t), "en") for i, t in enumerate(texts)]
+    found = jaccard.near_duplicates(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted(map(tuple, found), key=str) == brute(rows)
