@@ -13,9 +13,10 @@ it shares a rare shingle. In detail:
    hashes (its signature, about three tenths) a known number must stand in another
    set's signature, too. Sets with fewer are done: they have no link. What a batch of
    texts has in common is counted there, so that a shingle goes to the shuffle at most once for each batch.
-2. The shingles of the sets that are left get one order: those that many signatures hold
-   come last. Sets that link share one of the first fifth of their shingles in that order.
-   Each such shingle picks a pivot among its sets, one with few shingles of its own.
+2. Of the sets that are left each counts its shingles that others of them have, too; fewer than four
+   fifths, and it is done. Sets that link share one of the first fifth of their shingles, in
+   the order of how many sets have them, and shingles of one set alone are of no use: what remains of that
+   fifth are a set's rare shingles. Each of them picks a pivot among its sets, one with few shingles of its own.
    The regions of the pivots hold all links.
 3. In a region distances to the pivot decide. Sets within the threshold link
    with it, and need not be compared with one another: they are one component. What is
@@ -50,8 +51,6 @@ SIMILAR = 80
 SEED = 12
 #: Rows and shingles of a batch whose common shingles are counted before the shuffle.
 ROWS, SHINGLES = 4096, 1 << 21
-#: Shingles of at least so many signatures come last in the order; no more than HOT are told apart, the most frequent.
-FREQUENT, HOT = 16, 1 << 20
 #: Sets of a region, and shingles in them, that are compared with all others of it at once.
 BLOCK, HELD = 1024, 1 << 22
 #: How often large regions are split by further pivots.
@@ -109,7 +108,7 @@ def scanned(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     """A row for each document, and rows (of null ``known``) for what the documents of a batch have in common.
 
     ``sid`` names the set; ``known`` counts shingles of the signature that other sets of the
-    batch share, and ``shingles`` are the rest of it. A row of common shingles has each with how many sets hold it.
+    batch share, and ``shingles`` are the rest of it.
     """
     ship_package(df.sparkSession)
 
@@ -131,14 +130,13 @@ def scanned(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
             known = dict(zip(first, np.bincount(owner[common], minlength=len(first)).tolist()))
             left = dict(zip(first, np.split(every[~common], np.cumsum(np.bincount(owner[~common], minlength=len(first)))[:-1])))
             rest = [left.pop(sid, every[:0]) for _, _, sid, _, _ in rows]  # a set's shingles go with its first row
-            frequent = np.flatnonzero(times > 1)
-            pairs = np.column_stack((different[frequent], times[frequent])).ravel()
+            frequent = different[times > 1]
             return pa.RecordBatch.from_arrays([
                 pa.array([r[0] for r in rows] + [None], pa.int64()), pa.array([r[1] for r in rows] + [None], pa.int64()),
                 pa.array([r[2] for r in rows] + [None], pa.int64()), pa.array([r[3] for r in rows] + [None], pa.int64()),
                 pa.array([number] * (len(rows) + 1), pa.int64()),
                 pa.array([known.get(r[2], 0) for r in rows] + [None], pa.int64()),
-                _lists(np.concatenate([*rest, pairs]), [*map(len, rest), len(pairs)])], schema.names)
+                _lists(np.concatenate([*rest, frequent]), [*map(len, rest), len(frequent)])], schema.names)
 
         for b in batches:
             for k in range(b.num_rows):
@@ -158,31 +156,21 @@ def scanned(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
 
 
 def _shared(scan: DataFrame) -> DataFrame:
-    """``(kind, a, b, n)``: kind 0: n shingles of the signature of set a, batch b, that other sets share; kind 1: shingle a, n times."""
+    """``(sid, batch, shared)``: how many shingles of a set's signature, beyond those known in its batch, other sets share."""
     spark = scan.sparkSession
-    # batch -1: the shingle is common in some batch, as often as sid says
+    # batch -1: the shingle is common in some batch
     single = scan.where("known is not null").select(F.explode("shingles").alias("shingle"), "sid", "batch")
-    common = (scan.where("known is null and size(shingles) > 0")
-              .select("shingles", F.explode(F.expr("sequence(0, cast(size(shingles) div 2 as int) - 1)")).alias("i"))
-              .select(F.get("shingles", 2 * F.col("i")).alias("shingle"), F.get("shingles", 2 * F.col("i") + 1).alias("sid"),
-                      F.lit(-1).cast("long").alias("batch")))
+    common = scan.where("known is null").select(F.explode("shingles").alias("shingle"), F.lit(0).cast("long").alias("sid"),
+                                                F.lit(-1).cast("long").alias("batch"))
     dealt = single.unionByName(common).repartition(partitions(spark), "shingle").sortWithinPartitions("shingle", "batch")
 
-    def rows(kind, a, b, n):
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind), pa.int64()), pa.array(a, pa.int64()),
-                                           pa.array(b, pa.int64()), pa.array(n, pa.int64())], ["kind", "a", "b", "n"])
-
     def told(shingle, sid, batch):
-        """Rows of whole groups, each of at most a few rows for each batch of texts."""
+        """The sets and batches of shared shingles; of a shingle there are at most a few rows for each batch of texts."""
         starts = np.concatenate(([0], np.flatnonzero(shingle[1:] != shingle[:-1]) + 1))
-        sizes = np.diff(np.append(starts, len(shingle)))
         marked = batch < 0
-        live = marked[starts] | (np.minimum.reduceat(sid, starts) != np.maximum.reduceat(sid, starts))
-        times = np.add.reduceat(np.where(marked, sid, 1), starts)
-        often = times >= FREQUENT
-        yield rows(1, shingle[starts[often]], np.zeros(int(often.sum()), np.int64), times[often])
-        of = np.repeat(live, sizes) & ~marked
-        yield rows(0, sid[of], batch[of], np.ones(int(of.sum()), np.int64))
+        shared = marked[starts] | (np.minimum.reduceat(sid, starts) != np.maximum.reduceat(sid, starts))
+        of = np.repeat(shared, np.diff(np.append(starts, len(shingle)))) & ~marked
+        return pa.RecordBatch.from_arrays([pa.array(sid[of], pa.int64()), pa.array(batch[of], pa.int64())], ["sid", "batch"])
 
     def run(batches):
         rest = None
@@ -193,82 +181,64 @@ def _shared(scan: DataFrame) -> DataFrame:
                 continue
             last = int(np.searchsorted(now[0], now[0][-1]))
             if last:
-                yield from told(*(x[:last] for x in now))
+                yield told(*(x[:last] for x in now))
             rest = [x[last:] for x in now]
         if rest is not None and len(rest[0]):
-            yield from told(*rest)
+            yield told(*rest)
 
-    made = dealt.mapInArrow(run, "kind long, a long, b long, n long")
-    return made.groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
+    return dealt.mapInArrow(run, "sid long, batch long").groupBy("sid", "batch").agg(F.count("*").alias("shared"))
 
 
 def _candidates(scan: DataFrame, shared: DataFrame, similar: int) -> DataFrame:
-    """``(sid, key, rank)``: sets that may have a link, a row that has the set, and how little of it is shared."""
+    """``(sid, key)``: sets that may have a link, and a row that has the set."""
     counted = scan.where("sid is not null").select("sid", "batch", "n", "key", F.col("known").alias("shared")).unionByName(
-        shared.where("kind = 0").select(F.col("a").alias("sid"), F.col("b").alias("batch"), F.col("n").alias("shared")),
-        allowMissingColumns=True)
+        shared, allowMissingColumns=True)
     # rows that repeat a set in a batch have the same count
     known = counted.groupBy("sid", "batch").agg(F.max("n").alias("n"), F.min("key").alias("key"), (
         F.coalesce(F.max(F.when(F.col("n").isNotNull(), F.col("shared"))), F.lit(0))
         + F.coalesce(F.max(F.when(F.col("n").isNull(), F.col("shared"))), F.lit(0))).alias("shared"))
     sets = known.groupBy("sid").agg(F.max("n").alias("n"), F.min("key").alias("key"), F.max("shared").alias("shared"))
     least = F.expr(f"(({similar} * n + 99) div 100) div 10 + 1")
-    whole = F.expr(f"least(n, n - ({similar} * n + 99) div 100 + n div 10 + 1)")
-    return sets.where(F.col("shared") >= least).select(
-        "sid", "key", (1000 - F.expr("1000 * shared") / whole).cast("long").alias("rank"))
+    return sets.where(F.col("shared") >= least).select("sid", "key")
 
 
 def _sets(df: DataFrame, candidates: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """``(sid, rank, shingles)`` of candidates, sorted; a set may come a few times."""
-    rows = _keyed(df, id_col, text_col).select("key", "text").join(candidates, "key").select("text", "sid", "rank")
+    """``(sid, shingles)`` of candidates, sorted; a set may come a few times."""
+    # candidates have no bound that would allow for a broadcast
+    rows = _keyed(df, id_col, text_col).select("key", "text").join(candidates.hint("merge"), "key").select("text", "sid")
 
     def run(batches):
         seen: set[int] = set()
         for b in batches:
-            sids, ranks, sets = [], [], []
+            sids, sets = [], []
             for k, sid in enumerate(b.column(1).to_pylist()):
                 if sid in seen:
                     continue
                 seen.add(sid)
                 sids.append(sid)
-                ranks.append(b.column(2)[k].as_py())
                 sets.append(shingles(b.column(0)[k].as_py() or b"", size))
             if sids:
-                yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(ranks, pa.int64()),
-                                                  _lists(np.concatenate(sets), list(map(len, sets)))], ["sid", "rank", "shingles"])
-
-    return rows.mapInArrow(run, "sid long, rank long, shingles array<long>")
+                yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), _lists(np.concatenate(sets), list(map(len, sets)))],
+                                                 ["sid", "shingles"])
 
+    return rows.mapInArrow(run, "sid long, shingles array<long>")
 
-def _frequent(shared: DataFrame, total: int):
-    """The frequent shingles and the order among them, at most HOT: each has over one HOTth of all ``total``."""
-    least = max(FREQUENT, total // HOT + 1)
-    hot = shared.where((F.col("kind") == 1) & (F.col("n") >= least)).select("a", "n").toPandas()
-    hot = hot.sort_values("a")
-    return hot["a"].to_numpy(np.int64), np.frexp(hot["n"].to_numpy(float))[1].astype(np.int64)
 
+def _rare(members: DataFrame, similar: int) -> DataFrame:
+    """``(region, shingle, sid, active, rank)``: the rare shingles of each set, as far as it can have a link in its region.
 
-def _prefixes(members: DataFrame, hot, similar: int) -> DataFrame:
-    """``(region, shingle, sid, active, rank)``: the first shingles of each set, rare ones first."""
-    def run(batches):
-        tokens, weights = hot.value
-        for b in batches:
-            sets = b.column(4)
-            firsts = []
-            for k in range(b.num_rows):
-                own = sets[k].values.to_numpy(zero_copy_only=False)
-                if len(tokens):
-                    at = np.minimum(np.searchsorted(tokens, own), len(tokens) - 1)
-                    own = own[np.lexsort((own, np.where(tokens[at] == own, weights[at], 0)))]
-                firsts.append(own[:len(own) - needed(len(own), similar) + 1])
-            sizes = np.array(list(map(len, firsts)), np.int64)
-            if len(sizes):
-                region, sid, active, rank = (np.repeat(b.column(i).to_numpy(zero_copy_only=False), sizes) for i in range(4))
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (
-                    region, np.concatenate(firsts), sid, active, rank)], ["region", "shingle", "sid", "active", "rank"])
-
-    return members.select("region", "sid", "active", "rank", "shingles").mapInArrow(
-        run, "region long, shingle long, sid long, active long, rank long")
+    Of the first shingles in the order of how many sets have them, those that a set has alone can't be in common.
+    ``rank`` is their share.
+    """
+    postings = members.select("region", "sid", "active", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    shared = postings.groupBy("region", "shingle").agg(F.count("*").alias("sets")).where("sets > 1")
+    sets = postings.join(shared, ["region", "shingle"]).groupBy("region", "sid").agg(
+        F.max("active").alias("active"), F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("sets", "shingle"))).alias("shared"))
+    spared = F.expr(f"size(shared) - ({similar} * n + 99) div 100 + 1")
+    return (sets.where(spared > 0)
+            .select("region", "sid", "active", F.expr("1000 * (n - size(shared)) div n").alias("rank"),
+                    F.explode(F.slice("shared", F.lit(1), spared.cast("int"))).alias("rare"))
+            .select("region", F.col("rare.shingle").alias("shingle"), "sid", "active", "rank"))
 
 
 def _regions(prefixes: DataFrame) -> DataFrame:
@@ -425,15 +395,15 @@ class _Block:
         return edges
 
 
-def links(sets: DataFrame, hot, similar: int = SIMILAR) -> DataFrame:
-    """``(a, b)`` over ``(sid, rank, shingles)``, which may repeat: links with the same components as all links."""
+def links(sets: DataFrame, similar: int = SIMILAR) -> DataFrame:
+    """``(a, b)`` over ``(sid, shingles)``, which may repeat: links with the same components as all links."""
     edges, blocks, near = [], [], None
-    members = sets.select(F.lit(0).cast("long").alias("region"), "sid", F.lit(1).cast("long").alias("active"), "rank", "shingles")
+    members = sets.select(F.lit(0).cast("long").alias("region"), "sid", F.lit(1).cast("long").alias("active"), "shingles")
     for turn in range(SPLITS + 1):
-        pairs = written(_regions(_prefixes(members, hot, similar)), "jaccard-pairs")
+        pairs = written(_regions(written(_rare(members, similar), "jaccard-rare")), "jaccard-pairs")
         if near is None:  # most sets are in no region; the others' copies go here
             met = pairs.select("sid").unionByName(pairs.select(F.col("pivot").alias("sid"))).distinct()
-            near = sets.groupBy("sid").agg(F.min("rank").alias("rank"), F.first("shingles").alias("shingles"))
+            near = sets.groupBy("sid").agg(F.first("shingles").alias("shingles"))
             near = written(near.join(met, "sid", "left_semi"), "jaccard-near")
         distances = written(_distances(pairs, near, similar), "jaccard-distances")
         edges.append(distances.where("linked").select(F.col("sid").alias("a"), F.col("pivot").alias("b")))
@@ -443,7 +413,7 @@ def links(sets: DataFrame, hot, similar: int = SIMILAR) -> DataFrame:
             blocks.append(left)
             break
         blocks.append(left.where("blocks = 1"))
-        members = large.join(near, "sid").select("region", "sid", "active", "rank", "shingles")
+        members = large.join(near, "sid").select("region", "sid", "active", "shingles")
     for left in blocks:
         edges.append(_in_blocks(left, near, similar))
     out = edges[0]
@@ -455,13 +425,10 @@ def links(sets: DataFrame, hot, similar: int = SIMILAR) -> DataFrame:
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
                     similar: int = SIMILAR) -> DataFrame:
     """``(doc_id, n_shingles, component_id)``, one row for each row of ``df``."""
-    spark = df.sparkSession
     scan = written(scanned(df, id_col, text_col, size, similar), "jaccard-scan")
     shared = written(_shared(scan), "jaccard-shared")
-    total = scan.agg(F.sum("n")).first()[0] or 0
-    hot = spark.sparkContext.broadcast(_frequent(shared, total))
     sets = written(_sets(df, _candidates(scan, shared, similar), id_col, text_col, size), "jaccard-sets")
-    nodes = components(links(sets, hot, similar), "jaccard-components")
+    nodes = components(links(sets, similar), "jaccard-components")
     own = scan.where("known is not null").select("doc_id", "n", "sid")
     classes = own.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("first"))
     classes = classes.join(nodes, classes.sid == nodes.node, "left").withColumn("root", F.coalesce("root", "sid"))

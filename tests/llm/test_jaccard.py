@@ -69,7 +69,6 @@ def made_rows(rng, n=400):
 def test_equals_all_pairs(spark, seed, monkeypatch):
     # several batches, blocks and splits
     monkeypatch.setattr(jaccard, "BLOCK", 2)
-    monkeypatch.setattr(jaccard, "FREQUENT", 4)
     rows = made_rows(np.random.default_rng(seed))
     found = jaccard.near_duplicates(spark.createDataFrame(rows, DOCS).repartition(9)).collect()
     named = [r for r in found if r.doc_id is not None]
