@@ -25,6 +25,7 @@ from storylens.plans import fixtures as fx  # noqa: E402
 from storylens.plans.attribution import attribution_rows, daily_attribution, link_attribution  # noqa: E402
 from storylens.session import build_session, scratch_path  # noqa: E402
 from storylens.sinks.writers import write_reels_table  # noqa: E402
+from storylens.sources.readers import read_reels_table  # noqa: E402
 
 
 def main() -> None:
@@ -52,7 +53,7 @@ def main() -> None:
     p = lambda name: spark.read.parquet(f"{base}/{name}")
 
     def curated():
-        return p("reels").filter(F.col("unwrap_status") == "ok") \
+        return read_reels_table(spark, f"{base}/reels").filter(F.col("unwrap_status") == "ok") \
             .select(F.explode("reels").alias("r")).select("r.user", "r.items")
 
     def run_unwrap():

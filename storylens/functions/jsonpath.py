@@ -22,8 +22,8 @@ def script_blocks(html: ColumnOrName, pattern: str = SJS_BLOCK_PATTERN) -> Colum
     return F.regexp_extract_all(_col(html), F.lit(pattern), 1)
 
 
-# Closes a text that is parsed as the first element of an array.
-_END = '{"storylens_end":true}'
+#: Closes a text that is parsed as the first element of an array.
+END = '{"storylens_end":true}'
 
 
 def closed(text: ColumnOrName) -> Column:
@@ -33,7 +33,7 @@ def closed(text: ColumnOrName) -> Column:
     unnoticed. Behind ``text`` stands a second element here: it is where
     it belongs only if ``text`` is one whole value and nothing else.
     """
-    return F.concat(F.lit("["), _col(text), F.lit("," + _END + "]"))
+    return F.concat(F.lit("["), _col(text), F.lit("," + END + "]"))
 
 
 def bind(value: Column, then) -> Column:
@@ -52,7 +52,7 @@ def strict_text(text: ColumnOrName) -> Column:
     Accepts what the VARIANT parser refuses: repeated keys, NaN, any size.
     """
     return bind(F.from_json(closed(text), "array<string>"),
-                lambda x: F.when((F.size(x) == 2) & (F.get(x, F.lit(1)) == _END), F.get(x, F.lit(0))))
+                lambda x: F.when((F.size(x) == 2) & (F.get(x, F.lit(1)) == END), F.get(x, F.lit(0))))
 
 
 def _require(block: Column) -> Column:

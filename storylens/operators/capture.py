@@ -75,9 +75,13 @@ def first_matches(log: DataFrame, exact: bool = False, keys: tuple[str, ...] = V
 
 def capture_outcomes(profiles: DataFrame, log: DataFrame, bodies: DataFrame,
                      page_errors: DataFrame | None = None, exact: bool = False,
-                     marker: str = STORY_MARKER, keys: tuple[str, ...] = VISIT) -> DataFrame:
+                     marker: str = STORY_MARKER, keys: tuple[str, ...] = VISIT, clustered: bool = False) -> DataFrame:
     """``keys…, status, seq, doc`` per profile row (duplicates kept).
 
+    ``clustered`` says that ``bodies`` is a table bucketed by the visit keys (``store_bodies``): bodies meet
+    the visits where they lie, and neither they nor the documents move. Without it bodies are
+    joined by visit and request, which may split a visit of very many bodies.
+
     ``profiles``, ``bodies`` and ``page_errors`` carry the visit ``keys``
     (``username`` by default). ``page_errors`` (optional) lists visits whose
     page load itself failed. ``doc`` is the ``{"require": …}`` document of
@@ -88,7 +92,13 @@ def capture_outcomes(profiles: DataFrame, log: DataFrame, bodies: DataFrame,
     # Only bodies that some visit picked are parsed and go further: a sort-merge join, whose
     # sides may spill and whose body side the runtime join filter thins out before it moves.
     b = bodies.select(*k, "request_id", "body", "base64_encoded")
-    fetched = b.join(matches.hint("merge"), [*k, "request_id"]).select(
+    if clustered:
+        picked = matches.withColumnRenamed("request_id", "__picked").hint("merge")
+        # a condition beside the join's keys: as one of them it would have the bodies move to it
+        met = b.join(picked, k).where((F.col("request_id") == F.col("__picked")).eqNullSafe(F.lit(True)))
+    else:
+        met = b.join(matches.hint("merge"), [*k, "request_id"])
+    fetched = met.select(
         *k, "seq", F.explode_outer(F.array(_outcome_of(marker))).alias("__o"))
     # bodies stored more than once for a request count once: the best outcome, then the smallest document
     best = fetched.groupBy(*k).agg(F.min(F.struct(

@@ -22,7 +22,7 @@ from storylens.operators.roster import DEFAULT_NETWORK, prepare_roster
 from storylens.operators.unwrap import UNWRAP_OK, reels_from_raw
 from storylens.plans.attribution import daily_attribution
 from storylens.sinks.writers import publish_snapshot, write_reels_table
-from storylens.sources.readers import read_raw_documents, read_roster, read_snapshot
+from storylens.sources.readers import read_raw_documents, read_reels_table, read_roster, read_snapshot
 
 
 def rules_of(spark: SparkSession, path: str | None, default: RuleSource = ORIGIN_RULES_17) -> RuleSource:
@@ -54,7 +54,7 @@ def run_daily(spark: SparkSession, raw_path: str, out_base: str, run_date: str,
     if curated_path:
         day = f"{curated_path.rstrip('/')}/run_date={run_date.replace('-', '')}"
         write_reels_table(raw, day)
-        curated = spark.read.parquet(day)
+        curated = read_reels_table(spark, day)
         reels = curated.filter(F.col("unwrap_status") == UNWRAP_OK) \
             .select(F.explode("reels").alias("r")).select("r.user", "r.items")
     else:
@@ -65,7 +65,7 @@ def run_daily(spark: SparkSession, raw_path: str, out_base: str, run_date: str,
     if not outcome:
         report["error"] = outcome.error
     else:
-        report["path"] = outcome.path
+        report["path"], report["folder"] = outcome.path, outcome.folder
         written = read_snapshot(spark, outcome.path)
         report["distinct_users"] = int(written.agg(distinct_users("username")).first()[0])
     return report

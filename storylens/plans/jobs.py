@@ -29,7 +29,7 @@ from storylens.sources.readers import (
 
 
 def _published(outcome, count) -> dict:
-    return {"published": True, "path": outcome.path, "distinct_users": count(outcome.path)} if outcome else \
+    return {"published": True, "path": outcome.path, "folder": outcome.folder, "distinct_users": count(outcome.path)} if outcome else \
         {"published": False, "error": outcome.error}
 
 
@@ -39,9 +39,7 @@ def run_export(spark: SparkSession, files: str, out_base: str, run_date: str, ro
 
     The files are read and parsed once; what could not be read is counted and stays in the scratch table.
     """
-    tagged = scratch_path(spark, "export-run")
-    tagged_export_files(spark, files, multi_line, glob).write.parquet(tagged)
-    read = spark.read.parquet(tagged)
+    read = tagged_export_files(spark, files, multi_line, glob, scratch_path(spark, "export-run"))
     items = read.filter(F.col("reason").isNull()).select(F.explode("rows").alias("i")).select("i.requested", "i.stories")
     report: dict = {"run_date": run_date, "items": items.count(),
                     "quarantined": read.filter(F.col("reason").isNotNull()).count()}

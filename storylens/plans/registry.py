@@ -7,6 +7,7 @@ Every query reads the driver's tables and derives its nested inputs from them
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,12 +29,12 @@ from storylens.plans.attribution import (
 from storylens.plans.sql import daily_attribution_sql
 from storylens.session import scratch_path
 from storylens.sinks.writers import (
-    append_per_key, publish_snapshot, read_per_key, route_by_story, snapshot_path, write_latest_documents,
-    write_reels_table, write_snapshot,
+    SKETCH, append_per_key, publish_snapshot, read_per_key, route_by_story, snapshot_path, store_bodies,
+    write_latest_documents, write_reels_table, write_snapshot,
 )
 from storylens.sources.readers import (
-    read_capture_log, read_export_items, read_link_snapshot, read_raw_documents, read_reels_files, read_roster,
-    read_snapshot, tagged_reels_files,
+    read_capture_log, read_export_items, read_link_snapshot, read_raw_documents, read_reels_files, read_reels_table,
+    read_roster, read_routed, read_snapshot, read_users, tagged_reels_files,
 )
 from storylens.streaming.incremental import start_attribution_stream
 
@@ -183,6 +184,16 @@ def capture_outcomes(spark, sf_dir):
     return _capture(spark, sf_dir).select("username", "status", "seq", _digest("doc"))
 
 
+def capture_outcomes_stored(spark, sf_dir):
+    """J2 with bodies stored by visit: neither bodies nor documents move."""
+    profiles, log, bodies, errors = fx.capture_inputs(_table(spark, sf_dir, "customer"), _table(spark, sf_dir, "orders"))
+    path = scratch_path(spark, "bodies")
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    store_bodies(bodies, table, path)
+    done = cap.capture_outcomes(profiles, log, spark.table(table), errors, clustered=True)
+    return done.select("username", "status", "seq", _digest("doc"))
+
+
 def capture_summary(spark, sf_dir):
     return success_rate(_capture(spark, sf_dir))
 
@@ -287,6 +298,27 @@ def publish_roundtrip(spark, sf_dir):
                     F.max(date_stamp("date")).alias("stamp"))
 
 
+#: Days whose snapshots are counted together, and how far a sketch's count may be off (four standard errors).
+DAYS = ("2026-12-01", "2026-12-02", "2026-12-03")
+SKETCH_ERROR = 4 * 1.04 / 2 ** (SKETCH / 2)
+
+
+def users_over_days(spark, sf_dir):
+    """A1, A1b over days: users of each snapshot and of all, by rows and by the sketches stored with them."""
+    base, events = scratch_path(spark, "days"), _table(spark, sf_dir, "events")
+    for k, day in enumerate(DAYS):
+        reels = reels_from_raw(fx.raw_documents(events.filter(F.col("event_id") % len(DAYS) == k)))
+        write_snapshot(q1(reels, day), base, day, users="username")
+    stored = [read_snapshot(spark, snapshot_path(base, d)).withColumn("run_date", F.lit(d.replace("-", ""))) for d in DAYS]
+    exact = reduce(DataFrame.unionByName, stored).rollup("run_date").agg(distinct_users("username").alias("distinct_users"))
+    counted = read_users(spark, base, list(DAYS)).rollup("run_date").agg(
+        F.sum("n_rows").alias("n_rows"), F.hll_sketch_estimate(F.hll_union_agg("users")).alias("estimate"))
+    both = exact.withColumn("run_date", F.coalesce("run_date", F.lit("all"))).join(
+        counted.withColumn("run_date", F.coalesce("run_date", F.lit("all"))), "run_date")
+    off = F.abs(F.col("estimate") - F.col("distinct_users"))
+    return both.select("run_date", "n_rows", "distinct_users", (off <= SKETCH_ERROR * F.col("distinct_users")).alias("within"))
+
+
 def origin_lookup_table(spark, sf_dir):
     """J1 with a rule table that repeats hosts: the first rule of a host counts."""
     rules = [(i, h, o) for i, (h, o) in enumerate(ORIGIN_RULES_17)]
@@ -311,7 +343,7 @@ def reels_table_roundtrip(spark, sf_dir):
     """K6 then Q1: unwrap once into a Parquet table, read the ok partition back."""
     path = scratch_path(spark, "reels-table")
     write_reels_table(fx.raw_documents(_table(spark, sf_dir, "events")), path)
-    curated = spark.read.parquet(path).filter(F.col("unwrap_status") == "ok") \
+    curated = read_reels_table(spark, path).filter(F.col("unwrap_status") == "ok") \
         .select(F.explode("reels").alias("r")).select("r.user", "r.items")
     return q1(curated, fx.RUN_DATE)
 
@@ -320,7 +352,7 @@ def route_roundtrip(spark, sf_dir):
     """K5: one routed write, read back with its route folder."""
     path = scratch_path(spark, "routed")
     route_by_story(fx.export_items(_table(spark, sf_dir, "events")), path)
-    back = spark.read.schema("item_id bigint, requested string, stories string, route string").json(path)
+    back = read_routed(spark, path, "item_id bigint, requested string, stories string")
     return back.select("item_id", "requested", "route")
 
 
@@ -359,7 +391,8 @@ def latest_documents_rerun(spark, sf_dir):
 
 def sql_daily_attribution(spark, sf_dir):
     """Q1 written as one parameterised SQL string over the raw documents."""
-    return daily_attribution_sql(spark, fx.raw_documents(_table(spark, sf_dir, "events")), fx.RUN_DATE)
+    raw = fx.strict_documents(fx.raw_documents(_table(spark, sf_dir, "events")))
+    return daily_attribution_sql(spark, raw, fx.RUN_DATE)
 
 
 QUERIES: dict[str, Query] = {
@@ -383,6 +416,7 @@ QUERIES: dict[str, Query] = {
     "log_first_match": log_first_match,
     "body_decode": body_decode,
     "capture_outcomes": capture_outcomes,
+    "capture_outcomes_stored": capture_outcomes_stored,
     "capture_summary": capture_summary,
     "latest_payload": latest_payload,
     "user_counts": user_counts,
@@ -401,5 +435,6 @@ QUERIES: dict[str, Query] = {
     "capture_log_files": capture_log_files,
     "link_snapshot_roundtrip": link_snapshot_roundtrip,
     "publish_roundtrip": publish_roundtrip,
+    "users_over_days": users_over_days,
     "latest_documents_rerun": latest_documents_rerun,
 }

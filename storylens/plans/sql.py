@@ -9,9 +9,11 @@ values on random inputs.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 
-from storylens.functions.jsonpath import REELS_PATH
+from storylens.functions.jsonpath import END, REELS_PATH
 from storylens.operators.lookup import ORIGIN_RULES_12, ORIGIN_RULES_17
 from storylens.schemas import REELS
 
@@ -31,6 +33,26 @@ def _piece(expr: str, sep: str, n: int) -> str:
     return f"get(split({expr}, {_lit(chr(92) + 'Q' + sep + chr(92) + 'E')}, -1), {n - 1})"
 
 
+def _bound(value: str, name: str, then: str) -> str:
+    """``then``, where ``name`` is the value, computed once."""
+    return f"get(transform(array({value}), {name} -> {then}), 0)"
+
+
+def _reels_body(doc: str) -> str:
+    """P5 and P6 as ``operators.unwrap.unwrapped_col`` has them: a document is one whole JSON value, parsed once."""
+    kind, one = _lit(REELS.simpleString()), _lit(REELS.elementType.simpleString())
+    end = json.loads(END)
+    closed, path = f"concat('[', {doc}, ',{END}]')", _lit("$[0]" + REELS_PATH[1:])
+    found = (f"coalesce(try_variant_get(v, {path}, {kind}), "
+             f"CASE WHEN try_variant_get(v, {path}, 'string') IS NULL THEN try_variant_get(v, '$[0]', {kind}) END, "
+             f"CASE WHEN try_variant_get(v, {path}, {one}) IS NOT NULL THEN array(try_variant_get(v, {path}, {one})) END)")
+    text = _bound(f"from_json({closed}, 'array<string>')", "x", f"CASE WHEN size(x) = 2 AND get(x, 1) = {_lit(END)} THEN get(x, 0) END")
+    listed = f"coalesce(get_json_object(t, {_lit(REELS_PATH)}), CASE WHEN startswith(ltrim(t), '[') THEN t END)"
+    refused = _bound(text, "t", f"from_json({listed}, {kind})")
+    whole = f"coalesce(try_variant_get(v, '$[1].{next(iter(end))}', 'boolean'), false)"
+    return _bound(f"try_parse_json({closed})", "v", f"CASE WHEN {whole} THEN {found} ELSE {refused} END")
+
+
 FUNCTIONS = {
     "redirect_host": ("url STRING", "STRING",
                       f"replace({_piece(_piece('url', 'u=', 2), '%2F', 3)}, 'www.', '')"),
@@ -38,11 +60,7 @@ FUNCTIONS = {
     "profile_key": ("link STRING", "STRING", "get(split(link, '/', -1), 3)"),
     "origin": ("host STRING", "STRING", f"element_at({_map(ORIGIN_RULES_17)}, host)"),
     "origin12": ("host STRING", "STRING", f"element_at({_map(ORIGIN_RULES_12)}, host)"),
-    "reels": ("doc STRING", REELS.simpleString(),
-              f"coalesce(try_variant_get(try_parse_json(doc), {_lit(REELS_PATH)}, "
-              f"{_lit(REELS.simpleString())}), from_json(coalesce(get_json_object(doc, "
-              f"{_lit(REELS_PATH)}), CASE WHEN startswith(ltrim(doc), '[') THEN doc END), "
-              f"{_lit(REELS.simpleString())}))"),
+    "reels": ("doc STRING", REELS.simpleString(), _reels_body("doc")),
 }
 
 

@@ -62,7 +62,7 @@ def test_daily_job_cli(spark, sf_dir, capsys):
     main(["--raw", f"{base}/raw", "--out", f"{base}/out", "--run-date", fx.RUN_DATE, "--single-file"])
     report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert report["published"] and report["distinct_users"] > 0
-    assert len([p for p in os.listdir(local_path(report["path"])) if p.endswith(".csv")]) == 1
+    assert len([p for p in os.listdir(local_path(report["folder"])) if p.endswith(".csv")]) == 1
 
 
 def test_duplicate_profiles_change_counts_not_documents(spark, sf_dir):

@@ -10,15 +10,19 @@ from pyspark.sql import functions as F
 from storylens.plans.attribution import daily_attribution
 from storylens.schemas import SNAPSHOT
 from storylens.session import local_path, scratch_path
+from storylens.sinks.folders import folders
 from storylens.sinks.writers import (
     append_per_key, publish_snapshot, read_per_key, route_by_story, snapshot_path, write_latest_documents, write_reels_table,
     write_snapshot,
 )
-from storylens.sources.readers import read_export_items, read_raw_documents, read_reels_files, read_snapshot
+from storylens.sources.readers import (
+    read_export_items, read_raw_documents, read_reels_files, read_reels_table, read_routed, read_snapshot, tagged_reels_files,
+)
 
 
 def _csv_lines(path):
     parts = sorted(glob.glob(os.path.join(local_path(path), "part-*.csv")))
+    assert parts or os.path.isdir(local_path(path))
     lines = []
     for p in parts:
         with open(p, encoding="utf-8") as f:
@@ -35,7 +39,7 @@ def test_snapshot_csv_bytes_and_empty_rerun(spark):
     base = scratch_path(spark, "k1")
     path = write_snapshot(df, base, "2026-12-01", single_file=True)
     assert path.endswith("run_date=20261201")
-    lines = _csv_lines(path)
+    lines = _csv_lines(folders(spark, path)[0])
     assert lines[0] == "username,origin,date"
     assert sorted(lines[1:]) == sorted([",x,2026-12-01", ",x,2026-12-01", '"a,b",x,2026-12-01',
                                         '"a,""b""",Época,2026-12-01'])
@@ -43,7 +47,7 @@ def test_snapshot_csv_bytes_and_empty_rerun(spark):
     assert back.count() == 4 and back.schema == SNAPSHOT
     # an empty rerun of the same date replaces the rows by a header-only file
     write_snapshot(df.limit(0), base, "2026-12-01", single_file=True)
-    assert [ln for ln in _csv_lines(path) if ln] in ([], ["username,origin,date"])
+    assert [ln for ln in _csv_lines(folders(spark, path)[0]) if ln] in ([], ["username,origin,date"])
     assert read_snapshot(spark, path).count() == 0
 
 
@@ -61,7 +65,7 @@ def test_publish_tells_storage_errors_and_raises_query_errors(spark):
     assert not refused and "nosuchscheme" in refused.error
     with pytest.raises(Exception, match="query fails"):
         publish_snapshot(_failing(spark), uri, "2026-12-01")
-    assert spark.read.option("header", True).csv(outcome.path).count() == 1
+    assert spark.read.option("header", True).csv(outcome.folder).count() == 1
 
 
 def test_failed_write_leaves_the_earlier_snapshot(spark):
@@ -73,6 +77,7 @@ def test_failed_write_leaves_the_earlier_snapshot(spark):
         write_snapshot(_failing(spark), base, "2026-12-01")
     assert read_snapshot(spark, path).count() == 1
     assert os.listdir(local_path(base)) == ["run_date=20261201"]
+    assert len(os.listdir(local_path(path))) == 2  # the version and the manifests
 
 
 def test_latest_documents_add_up_over_a_day(spark):
@@ -146,11 +151,38 @@ def test_export_items_read_keeps_mixed_stories_as_text(spark):
         ('{"requested": "f"} oops', "not_json"), ("{not json", "not_json")]
 
 
-def test_empty_key_comes_back_empty(spark):
-    p = scratch_path(spark, "k4-empty")
-    append_per_key(spark.createDataFrame([("", "[]"), (None, "[]"), ("a", "[]")], "requested string, stories string"), p)
-    got = {(r.requested, r.key) for r in read_per_key(spark, p, "requested string, stories string").collect()}
-    assert got == {("", ""), (None, "no_user"), ("a", "a")}
+def test_keys_of_any_text_in_a_bounded_number_of_folders(spark):
+    p = scratch_path(spark, "k4-keys")
+    keys = ["", None, "a", "__empty__", "a/b", "a=b", "..", "é\n", "__HIVE_DEFAULT_PARTITION__", "%2F"] + [f"user{i}" for i in range(300)]
+    items = spark.createDataFrame([(k, "[]") for k in keys], "requested string, stories string")
+    append_per_key(items, p, buckets=8)
+    append_per_key(items.limit(10), p, buckets=3)
+    schema = "requested string, stories string"
+    got = [(r.requested, r.key) for r in read_per_key(spark, p, schema).collect()]
+    want = [(k, "no_user" if k is None else k) for k in keys]
+    assert sorted(got, key=str) == sorted(want + want[:10], key=str)
+    assert len([f for f in os.listdir(local_path(p)) if f.startswith("bucket=")]) <= 8 + 3
+    for k in ("", "__empty__", "a/b", "no_user", "user7", "nobody"):
+        one = read_per_key(spark, p, schema, k)
+        assert [r.key for r in one.collect()] == [k] * sum((w == k) for _, w in want + want[:10])
+        plan = one._jdf.queryExecution().executedPlan().toString()
+        assert "bucket" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0] and "pmod" not in plan.split("FileScan")[0]
+
+
+def test_good_records_never_meet_python(spark):
+    d = local_path(scratch_path(spark, "s1-plan"))
+    os.makedirs(d)
+    with open(f"{d}/a.json", "w") as f:
+        f.write('[{"user": {"username": "a"}, "items": []}]\n{"user": {"username": "b"}, "items": []} oops\n')
+    tagged = tagged_reels_files(spark, d, store=f"{d}-store")
+    good = tagged.where("reason is null")
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "kind#" in plan
+    first, rest = plan.split("ArrowEvalPython")[0], plan.split("ArrowEvalPython")[1]
+    assert "kind=whole" not in rest and first.count("Scan") == 1  # the whole records' branch stands before it
+    whole = spark.read.parquet(f"{d}-store").where("kind = 'whole'")
+    assert whole.count() == 1 and [r.record for r in tagged.where("reason is not null").collect()] == [
+        '{"user": {"username": "b"}, "items": []} oops']
 
 
 def test_append_per_key_and_route(spark):
@@ -164,7 +196,7 @@ def test_append_per_key_and_route(spark):
         ("a", 4), ("no_user", 2)]
     r = scratch_path(spark, "k5")
     route_by_story(items, r)
-    routed = spark.read.json(r)
+    routed = read_routed(spark, r, "requested string, stories string")
     assert sorted((x.route, x.n) for x in routed.groupBy("route").agg(F.count("*").alias("n")).collect()) == [
         ("no_stories", 1), ("stories", 2)]
 
@@ -175,7 +207,7 @@ def test_reels_table_is_new_and_rerunnable(spark):
     p = scratch_path(spark, "k6")
     write_reels_table(raw, p)
     write_reels_table(raw, p)  # idempotent: a rerun rewrites the same table
-    t = spark.read.parquet(p)
+    t = read_reels_table(spark, p)
     assert t.filter("unwrap_status = 'ok'").count() + t.filter("unwrap_status != 'ok'").count() == raw.count()
     assert t.filter("unwrap_status != 'ok'").filter("raw_doc is null").count() == 0
 

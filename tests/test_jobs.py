@@ -11,7 +11,7 @@ from storylens.plans import fixtures as fx
 from storylens.plans.attribution import attribution_rows, link_attribution
 from storylens.plans.jobs import main, run_capture, run_export, run_rows
 from storylens.session import scratch_path
-from storylens.sources.readers import read_link_snapshot, read_raw_documents
+from storylens.sources.readers import read_link_snapshot, read_raw_documents, read_routed
 
 
 def test_export_run(spark, sf_dir):
@@ -25,7 +25,7 @@ def test_export_run(spark, sf_dir):
     back = read_link_snapshot(spark, report["path"])
     assert back.exceptAll(want).count() == 0 and want.exceptAll(back).count() == 0
     assert report["distinct_users"] == want.agg(F.count_distinct("username")).first()[0]
-    assert spark.read.json(f"{base}/routed").count() == items.count()
+    assert read_routed(spark, f"{base}/routed", "requested string, stories string").count() == items.count()
 
 
 def test_capture_and_rows_run(spark, sf_dir, capsys):
@@ -42,12 +42,12 @@ def test_capture_and_rows_run(spark, sf_dir, capsys):
     assert raw.count() == report["n_captured"]
     rows = run_rows(spark, f"{base}/raw", f"{base}/rows", "2026-12-01")
     want = attribution_rows(reels_from_raw(raw), "2026-12-01")
-    assert spark.read.option("header", True).csv(rows["path"]).count() == want.count()
+    assert spark.read.option("header", True).csv(rows["folder"]).count() == want.count()
     # the same from the command line, with rules; a refused target ends with an error code
     rules = f"{base}/rules"
     spark.createDataFrame([(1, "google.com", "G")], "position long, host string, origin string").write.option("header", True).csv(rules)
     main(["rows", "--raw", f"{base}/raw", "--out", f"{base}/ruled", "--run-date", "2026-12-01", "--rules", rules])
-    path = json.loads(capsys.readouterr().out.splitlines()[-1])["path"]
+    path = json.loads(capsys.readouterr().out.splitlines()[-1])["folder"]
     assert {r.origin for r in spark.read.option("header", True).csv(path).select("origin").distinct().collect()} <= {"G", None}
     with pytest.raises(SystemExit):
         main(["rows", "--raw", f"{base}/raw", "--out", "nosuchscheme://b/x", "--run-date", "2026-12-01"])

@@ -221,6 +221,7 @@ def test_first_match_decides_even_if_its_body_fails(spark):
 def test_latest_documents_last_write_wins(spark):
     from storylens.session import scratch_path
     from storylens.sinks.writers import write_latest_documents
+    from storylens.sources.readers import read_raw_documents
     caps = spark.createDataFrame([
         ("a", "captured", 1, "d1"), ("a", "captured", 5, "d5"), ("a", "body_error", 9, None),
         ("b", "payload_not_found", 2, None), ("c", "captured", 3, "d3"),
@@ -228,7 +229,7 @@ def test_latest_documents_last_write_wins(spark):
     p = scratch_path(spark, "k3")
     write_latest_documents(caps, p, "2026-12-01")
     write_latest_documents(caps.filter("username = 'c'"), p, "2026-12-02")
-    t = spark.read.parquet(p)
+    t = read_raw_documents(spark, p)
     got = sorted((str(r.run_date), r.username, r.seq, r.doc) for r in t.collect())
     assert got == [("2026-12-01", "a", 5, "d5"), ("2026-12-01", "c", 3, "d3"), ("2026-12-02", "c", 3, "d3")]
 

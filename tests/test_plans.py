@@ -98,3 +98,26 @@ def test_run_date_read_prunes_partitions(spark, sf_dir):
     raw.write.partitionBy("run_date").parquet(path)
     plan = _plan(read_raw_documents(spark, path, fx.RUN_DATE))
     assert "PartitionFilters: [isnotnull(run_date" in plan and "2026-12-01" in plan
+
+
+def test_stored_bodies_and_documents_stay_where_they_are(spark, sf_dir):
+    from storylens.sinks.writers import store_bodies
+
+    profiles, log, bodies, errors = fx.capture_inputs(fx.load(spark, sf_dir, "customer"), fx.load(spark, sf_dir, "orders"))
+    path = scratch_path(spark, "plan-bodies")
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    store_bodies(bodies, table, path, buckets=4)
+    done = cap.capture_outcomes(profiles, log, spark.table(table), errors, clustered=True)
+    plan = _plan(done)
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if "FileScan" in line and table in line)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    above, least = [], depth(lines[at])
+    for line in reversed(lines[:at]):
+        if depth(line) < least:
+            above, least = above + [line], depth(line)
+    moved = [line for line in above if "Exchange" in line]
+    assert not any("body" in line or "doc" in line for line in moved) and len(moved) <= 1, moved
+    plain = cap.capture_outcomes(profiles, log, bodies, errors)
+    assert done.exceptAll(plain).count() == 0 and plain.exceptAll(done).count() == 0
+    spark.sql(f"DROP TABLE {table}")

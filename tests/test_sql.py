@@ -34,6 +34,14 @@ def test_sql_reels_and_daily_attribution(spark, sf_dir):
     register_sql_functions(spark)
     same = raw.select(F.expr("storylens_reels(doc)").eqNullSafe(reels_col(F.col("doc"))).alias("x"))
     assert same.filter(~F.col("x")).count() == 0
+    # documents that Q1 refuses are refused here, too: another shape at the path, text behind the value
+    strict = fx.strict_documents(raw).select("doc").union(spark.createDataFrame([(d,) for d in (
+        None, "", "[]", "[] []", "{}", "nan", '[{"user": {"username": "n"}, "x": NaN}]', '[{"user": {"username": "k"}, "k": 1, "k": 2}] x',
+        '[{"user": {"username": "k"}, "k": 1, "k": 2}]', '[1], {"storylens_end":true}', '[1]] [[')], "doc string"))
+    same = strict.select(F.expr("storylens_reels(doc)").eqNullSafe(reels_col(F.col("doc"))).alias("x"))
+    assert same.filter(~F.col("x")).count() == 0
+    assert strict.filter("storylens_reels(doc) is null").count() > raw.filter("storylens_reels(doc) is null").count()
+    raw = fx.strict_documents(raw)
     q_sql = daily_attribution_sql(spark, raw, fx.RUN_DATE)
     q_df = daily_attribution(reels_from_raw(raw), fx.RUN_DATE)
     assert q_sql.columns == q_df.columns

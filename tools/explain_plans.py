@@ -23,6 +23,7 @@ from storylens.plans.attribution import attribution_rows, daily_attribution, lin
 from storylens.plans.sql import daily_attribution_sql  # noqa: E402
 from storylens.session import build_session, scratch_path  # noqa: E402
 from storylens.sinks.writers import write_reels_table  # noqa: E402
+from storylens.sources.readers import read_reels_table  # noqa: E402
 
 
 def main():
@@ -39,7 +40,7 @@ def main():
         df.write.parquet(f"{base}/{name}")
     write_reels_table(spark.read.parquet(f"{base}/raw"), f"{base}/reels")
     p = lambda n: spark.read.parquet(f"{base}/{n}")
-    curated = p("reels").filter(F.col("unwrap_status") == "ok") \
+    curated = read_reels_table(spark, f"{base}/reels").filter(F.col("unwrap_status") == "ok") \
         .select(F.explode("reels").alias("r")).select("r.user", "r.items")
     queries = {
         "daily_attribution (curated reels)": daily_attribution(curated, fx.RUN_DATE),

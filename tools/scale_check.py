@@ -28,6 +28,7 @@ from storylens.plans.attribution import daily_attribution  # noqa: E402
 from storylens.plans.oracle import case_sql, host_sql  # noqa: E402
 from storylens.session import build_session, local_path, scratch_path  # noqa: E402
 from storylens.sinks.writers import write_reels_table  # noqa: E402
+from storylens.sources.readers import read_reels_table  # noqa: E402
 
 
 def _median(fn, runs=3):
@@ -61,7 +62,7 @@ def main():
     n = big.count()
 
     def curated():
-        return spark.read.parquet(f"{base}/reels").filter(F.col("unwrap_status") == "ok") \
+        return read_reels_table(spark, f"{base}/reels").filter(F.col("unwrap_status") == "ok") \
             .select(F.explode("reels").alias("r")).select("r.user", "r.items")
 
     def noop(df):
