@@ -10,12 +10,13 @@ taken from the most significant slice downward: rows that are above what is
 needed are in, those below are out. What stays undecided after the last slice
 has equal scores and goes by the smaller id.
 
-Queries, in blocks, meet all blocks of the index; each meeting returns k rows
-for each query, and the best k of those are ranked.
+Queries travel to the blocks of the index, one copy for each, and stream past them; a
+block returns k rows for each query, and the best k of those are ranked.
 
 Vectors that are null or hold null or non-finite components take no part, nor
-do rows of a null id. A shorter vector counts as padded with zeros. Quantised
-components saturate at ``LIMIT``. Repeated rows of a query are one query; as
+do rows of a null id. A shorter vector counts as padded with zeros. There are as many
+slices as the largest component needs; scores must fit 64 bits, and vectors whose scores might
+not raise a ValueError. Repeated rows of a query are one query; as
 candidates they count each. All rows with a query's own id are left out of its
 result.
 """
@@ -28,22 +29,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from storylens.llm.common import ship_package, written
+from storylens.llm.common import meet, ship_package, written
 
 SCALE = 1024
-LIMIT = 1 << 24
-#: Vectors in a block of the index, and queries in a block.
+#: Vectors in a block of the index.
 ROWS = 8192
-QUERIES = 512
-#: Blocks of the index that a task meets with a block of queries, about.
-MEETINGS = 4
 
 
 def quantised(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = SCALE) -> DataFrame:
     """``(vec_id, parts)``: vectors that take part, as integers."""
     x = F.col(vector_col)
     finite = F.forall(x, lambda v: F.coalesce(F.abs(v.cast("double")) < float("inf"), F.lit(False)))
-    whole = F.transform(x, lambda v: F.greatest(F.least(F.floor(v.cast("double") * scale), F.lit(LIMIT)), F.lit(-LIMIT)))
+    whole = F.transform(x, lambda v: F.floor(v.cast("double") * scale))
     return (df.where(x.isNotNull() & F.col(id_col).isNotNull() & finite)
             .select(F.col(id_col).cast("long").alias("vec_id"), whole.cast("array<bigint>").alias("parts")))
 
@@ -62,6 +59,8 @@ class Block:
     @classmethod
     def build(cls, ids: np.ndarray, vectors: np.ndarray) -> Block:
         low = int(vectors.min()) if vectors.size else 0
+        if vectors.size and max(-low, int(vectors.max())) >= 1 << 61:
+            raise ValueError("scores of these vectors may not fit 64 bits")
         above = vectors - low
         bits = max(int(above.max()).bit_length(), 1) if vectors.size else 1
         words = -(-len(ids) // 64)
@@ -79,6 +78,9 @@ class Block:
         slices[q < 0] = ~slices[q < 0]
         size = np.abs(q)
         most = (1 << bits) - 1
+        # what the sums of slices can reach, and the score besides
+        if n * (most + abs(self.low)) * int(size.max(initial=0)) >= 1 << 62 or size.min(initial=0) < 0:
+            raise ValueError("scores of these vectors may not fit 64 bits")
         base = int((q[q > 0] * self.low).sum()) - int((size[q < 0] * (most + self.low)).sum())
         columns: list[list[np.ndarray]] = []
         for i in range(int(size.max()).bit_length() if n else 0):
@@ -170,35 +172,17 @@ def index(vectors: DataFrame, rows: int = ROWS) -> DataFrame:
 
 def search(queries: DataFrame, indexed: DataFrame, k: int = 10) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the k best rows for each of ``(vec_id, parts)``."""
-    ship_package(queries.sparkSession)
     queries = queries.select(F.col("vec_id").alias("query_id"), F.col("parts").alias("query")).distinct()
-    # one row each: the numbers of blocks
-    n_queries = max(1, -(-queries.count() // QUERIES))
-    n_groups = max(1, -(-indexed.count() // MEETINGS))
-    blocks = queries.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(n_queries)).cast("int")) \
-        .groupBy("part").agg(F.collect_list("query_id").alias("query_ids"), F.collect_list("query").alias("queries"))
-    # a task meets a few blocks of either side, however many there are
-    n = n_queries * n_groups
-    left = (indexed.withColumn("group", F.pmod(F.xxhash64("block"), F.lit(n_groups)).cast("int"))
-            .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n_queries - 1)))).repartition(n, "part", "group"))
-    right = (blocks.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1))))
-             .repartition(n, "part", "group"))
 
-    def run(batches):
-        for b in batches:
-            for r in range(b.num_rows):
-                row = {name: b.column(i)[r].as_py() for i, name in enumerate(b.schema.names)}
-                ids = np.frombuffer(row["ids"], np.int64)
-                slices = np.frombuffer(row["slices"], np.uint64).reshape(row["width"], row["bits"], -(-row["n"] // 64))
-                block = Block(ids, slices, row["low"])
-                found = [(q, *block.top(q, np.array(v, np.int64), k)) for q, v in zip(row["query_ids"], row["queries"])]
-                yield pa.RecordBatch.from_pydict({
-                    "query_id": np.repeat(np.array([q for q, _, _ in found], np.int64), [len(i) for _, i, _ in found]),
-                    "vec_id": np.concatenate([i for _, i, _ in found]),
-                    "score": np.concatenate([s for _, _, s in found])})
-
-    met = left.join(right.hint("merge"), ["part", "group"]).select("n", "width", "bits", "low", "ids", "slices", "query_ids", "queries")
+    def load(row):
+        slices = np.frombuffer(row["slices"], np.uint64).reshape(row["width"], row["bits"], -(-row["n"] // 64))
+        return Block(np.frombuffer(row["ids"], np.int64), slices, row["low"])
+
+    def answer(block, row):
+        ids, scores = block.top(row["query_id"], np.array(row["query"], np.int64), k)
+        return [(row["query_id"], i, s) for i, s in zip(ids.tolist(), scores.tolist())]
+
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (met.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
+    return (meet(indexed, queries, load, answer, "query_id long, vec_id long, score long")
             .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -88,6 +88,7 @@ class Encoder:
         self.fits: dict[int, bool] = {}
         self.packed = [i.to_bytes(4, "little") for i in range(len(tokens))]
         self.pieces = regex.compile(pattern).findall
+        self.plain = pattern == public_tokenizers.PATTERN
         self.kept: dict[str, bytes] = {}
         self.parts = _Parts(self)
 
@@ -167,9 +168,9 @@ class Encoder:
         """The ids of a whole text as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        if "  " in text or " \n" in text or "\n " in text or " " in (text[0], text[-1]) or _OTHER_SPACE.search(text):
+        if not self.plain or "  " in text or " \n" in text or "\n " in text or " " in (text[0], text[-1]) or _OTHER_SPACE.search(text):
             return b"".join(map(self.pack, self.pieces(text)))
-        # Each space has visible characters on both sides, and a match that holds it begins
+        # Each space has visible characters on both sides, and a match of this pattern that holds it begins
         # with it: so what stands between two spaces can be split on its own.
         first, _, rest = text.partition(" ")
         head = b"".join(map(self.pack, self.pieces(first)))

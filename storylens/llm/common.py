@@ -25,6 +25,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Column names like the given ones that ``df`` does not have, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def ship_package(spark: SparkSession) -> None:
     """Put this package on the executors' path, once for each application.
 
@@ -106,3 +117,37 @@ def worker_state(key: tuple, make: Callable):
         _state.clear()
         _state[key] = make()
     return _state[key]
+
+
+def meet(blocks: DataFrame, queries: DataFrame, load: Callable[[dict], object], answer: Callable[[object, dict], list[tuple]],
+         schema: str) -> DataFrame:
+    """``answer(block, query)`` of every row of ``blocks`` and every row of ``queries``, as rows of whole numbers.
+
+    ``blocks`` has a number ``block`` for each of its few large rows, which ``load`` makes ready; ``schema`` is a DDL
+    list. A block comes first in its group and the queries stream past it: one copy of the queries goes to each
+    block, and the blocks move once, however many queries there are.
+    """
+    spark = queries.sparkSession
+    ship_package(spark)
+    numbers = [r.block for r in blocks.select("block").collect()]  # a row for each block
+    copies = queries.withColumn("block", F.explode(F.array(*(F.lit(b).cast("long") for b in numbers)))) if numbers \
+        else queries.withColumn("block", F.lit(0).cast("long"))
+    both = blocks.withColumn("kind", F.lit(0)).unionByName(copies.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+    met = both.repartition(max(len(numbers), 1), "block").sortWithinPartitions("block", "kind")
+    fields, held, wanted = both.columns, blocks.columns, queries.columns
+    names = [part.split()[0] for part in schema.split(", ")]
+
+    def run(batches):
+        number, block = None, None
+        for b in batches:
+            column = {f: b.column(i) for i, f in enumerate(fields)}
+            out: list[tuple] = []
+            for r, (at, kind) in enumerate(zip(column["block"].to_pylist(), column["kind"].to_pylist())):
+                if kind == 0:
+                    number, block = at, load({c: column[c][r].as_py() for c in held})
+                elif at == number:
+                    out += answer(block, {c: column[c][r].as_py() for c in wanted})
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names)
+
+    return met.mapInArrow(run, schema)

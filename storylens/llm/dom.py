@@ -23,7 +23,10 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}
         "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
         "option": ({"option"}, {"select"})}
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S)
+# A comment may end at once (<!-->, <!--->), with -->, --!> or the page. Quotes count where a value begins; one that
+# never closes is a sign like any other. A tag ends with > or the page.
+_TAG = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)"
+                  r"((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*?)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORDS = re.compile(r"[A-Za-z]+?(?=[A-Z][a-z]|[^A-Za-z]|$)|[A-Za-z]+")
 

@@ -12,7 +12,7 @@ Blocks are packed within chunks of a source, those of about ``CHUNK`` documents
 the hash of the document id, so that no task holds a whole source; the last
 block of a chunk is shorter. Sources are ordered by code point, null last. The
 table of sources, one row each, is configuration (each has a weight) and
-passes through the driver; nothing else does.
+passes through the driver; nothing else does, and more than ``SOURCES`` of them raise a ValueError.
 
 Null and empty texts have no words and are never taken, but stand in the
 result. A null source is a source. Repeated rows are packed one by one. Draws
@@ -29,12 +29,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from storylens.llm.common import map_columns, ship_package, written
+from storylens.llm.common import map_columns, partitions, ship_package, unused, written
 
 BLOCK = 64
 CHUNK = 1024
+#: Slots made at once, and parts in which the rows of one id are numbered.
+PIECE = 1 << 16
+PARTS = 1 << 10
 SHARDS = 64
 SEED = 5
+#: Sources at most: their table passes through the driver, and each gets a run of slots in each shard.
+SOURCES = 10_000
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2.0
@@ -126,16 +131,26 @@ class Mix:
         return self.slots.hint("merge").join(self.segments, ["place", "block"])
 
 
+def _number(doc_id: str, source: str, text_hash: str):
+    """Tells rows of one id apart. They are numbered by parts, those of a hash of the text, so that an id of
+    very many rows (the null one, say) spreads over as many tasks; rows alike in id, source and text are interchangeable."""
+    part = F.pmod(F.col(text_hash), F.lit(PARTS))
+    same = Window.partitionBy(F.col(doc_id).cast("long"), part).orderBy(source, text_hash)
+    return F.row_number().over(same).cast("long") * PARTS + part
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST,
         block: int = BLOCK, shards: int = SHARDS, seed: int = SEED,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> Mix:
     spark = docs.sparkSession
     ship_package(spark)
     sized = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                        F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
-    same = Window.partitionBy("doc_id").orderBy("source", "size")
-    sized = written(sized.withColumn("n", F.row_number().over(same)), "mixing-sizes")
-    found = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("rows")).collect()
+                        F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+                        F.xxhash64(text_col).alias("hash"))
+    sized = written(sized.withColumn("n", _number("doc_id", "source", "hash")).drop("hash"), "mixing-sizes")
+    found = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("rows")).limit(SOURCES + 1).collect()
+    if len(found) > SOURCES:
+        raise ValueError(f"more than {SOURCES} sources: the table of sources and weights passes through the driver")
     found.sort(key=lambda r: (r.source is None, r.source or ""))
     sources = [Source(r.source, i, r["size"], r["rows"], float(weights[i % len(weights)])) for i, r in enumerate(found)]
     targets(sources, share, most)
@@ -177,9 +192,9 @@ def _slots(spark, sources: list[Source], shards: int, seed: int) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            for shard, place, first, count, at, blocks, total in zip(*(c.to_pylist() for c in b.columns)):
-                for k in range(0, count, 1 << 16):
-                    j = np.arange(k, min(count, k + (1 << 16)))
+            for shard, place, first, count, at, blocks, total, piece in zip(*(c.to_pylist() for c in b.columns)):
+                for k in range(piece * PIECE, min(count, (piece + 1) * PIECE), PIECE):
+                    j = np.arange(k, min(count, k + PIECE))
                     number = first + j
                     yield pa.RecordBatch.from_pydict({
                         "shard": pa.array(np.full(len(j), shard, np.int32)),
@@ -188,8 +203,10 @@ def _slots(spark, sources: list[Source], shards: int, seed: int) -> DataFrame:
                         "block": permuted(number % blocks, blocks, seed * 104729 + place * 31 + 1),
                         "round": pa.array((number // blocks).astype(np.int32))})
 
-    # a run of each source and shard, dealt out by shard
-    return frame.repartition("shard", "place").mapInArrow(run, "shard int, slot long, place int, block long, round int")
+    # the runs of sources and shards in pieces, dealt out to as many tasks as they are worth; a number keeps them apart
+    pieces = frame.where("count > 0").withColumn("piece", F.explode(F.expr(f"sequence(0, cast((count - 1) div {PIECE} as int))")))
+    n = max(1, min(len(plan) + sum(p[3] for p in plan) // PIECE, partitions(spark)))
+    return pieces.repartition(n, "shard", "place", "piece").mapInArrow(run, "shard int, slot long, place int, block long, round int")
 
 
 def taken(m: Mix) -> DataFrame:
@@ -211,20 +228,20 @@ def documents_of(m: Mix, docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     A row that is taken whole keeps its text; of others the words stay in order, joined by spaces.
     """
-    picked = (m.mixed().groupBy("doc_id", "n", "round", "size")
+    doc_id, number, turn, size, hash_, cuts = unused(docs, "_mix_doc_id", "_mix_n", "_mix_round", "_mix_size", "_mix_hash", "_mix_cuts")
+    picked = (m.mixed().groupBy(F.col("doc_id").alias(doc_id), F.col("n").alias(number), F.col("round").alias(turn), F.col("size").alias(size))
               .agg(F.sort_array(F.collect_list(F.struct(
-                  F.col("first").cast("int").alias("first"), F.col("last").cast("int").alias("last")))).alias("cuts"))
-              .withColumnsRenamed({c: f"_mix_{c}" for c in ("doc_id", "n", "round", "cuts", "size")}))
-    # the rows of one id in the order that numbered them
-    words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    same = Window.partitionBy(id_col).orderBy(source_col, "_mix_words")
-    rows = docs.withColumn("_mix_words", words).withColumn("_mix_number", F.row_number().over(same))
-    rows = rows.join(picked, F.col(id_col).eqNullSafe(F.col("_mix_doc_id")) & (F.col("_mix_number") == F.col("_mix_n")))
+                  F.col("first").cast("int").alias("first"), F.col("last").cast("int").alias("last")))).alias(cuts)))
+    # the rows of one id get the numbers that they had
+    named = docs.withColumn(hash_, F.xxhash64(text_col))
+    own, = unused(named, "_mix_number")
+    rows = named.withColumn(own, _number(id_col, source_col, hash_))
+    rows = rows.join(picked, F.col(id_col).cast("long").eqNullSafe(F.col(doc_id)) & (F.col(own) == F.col(number)))
 
     def make():
-        def run(texts, cuts, sizes):
+        def run(texts, every, sizes):
             out = []
-            for t, c, n in zip(texts, cuts, sizes):
+            for t, c, n in zip(texts, every, sizes):
                 if sum(x["last"] - x["first"] for x in c) < n:
                     own = t.encode("utf-8").split()  # at the same white space as WORD
                     t = b" ".join(b" ".join(own[x["first"]:x["last"]]) for x in c).decode("utf-8")
@@ -233,8 +250,7 @@ def documents_of(m: Mix, docs: DataFrame, id_col: str = "doc_id", text_col: str
         return run
 
     columns = list(docs.columns)
-    rows = map_columns(rows.select(*columns, "_mix_cuts", "_mix_size"),
-                       [text_col, "_mix_cuts", "_mix_size"], f"`{text_col}` string", make)
+    rows = map_columns(rows.select(*columns, cuts, size), [text_col, cuts, size], f"`{text_col}` string", make)
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
     return rows.select(*docs.columns)

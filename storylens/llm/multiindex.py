@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from storylens.llm.common import hash_bound, partitions, ship_package, written
+from storylens.llm.common import hash_bound, meet, partitions, ship_package, written
 
 SCALE = 256
 CODES = 32
@@ -239,40 +239,6 @@ def index(vectors: DataFrame, books: Codebooks, n: int, rows: int = ROWS) -> Dat
     return written(vectors.select("vec_id", "label", "parts").repartition(blocks).mapInArrow(run, _INDEX), "multiindex")
 
 
-def _met(indexed: DataFrame, books: Codebooks, queries: DataFrame, answer, schema: str) -> DataFrame:
-    """``answer(block, row)`` of every block and every row of ``queries``, as rows of ``schema``.
-
-    A block comes first in its group, and the queries stream past it. One copy of the
-    queries goes to each block, and the index moves once.
-    """
-    spark = queries.sparkSession
-    ship_package(spark)
-    blocks = [r.block for r in indexed.select("block").collect()]  # a row for each block
-    copies = queries.withColumn("block", F.explode(F.array(*(F.lit(b).cast("long") for b in blocks)))) if blocks \
-        else queries.withColumn("block", F.lit(0).cast("long"))
-    both = indexed.withColumn("kind", F.lit(0)).unionByName(copies.withColumn("kind", F.lit(1)), allowMissingColumns=True)
-    met = both.repartition(max(len(blocks), 1), "block").sortWithinPartitions("block", "kind")
-    fields, wanted, width = both.columns, queries.columns, books.width
-    names = [part.split()[0] for part in schema.split(", ")]
-
-    def run(batches):
-        number, block = None, None
-        for b in batches:
-            column = {f: b.column(i) for i, f in enumerate(fields)}
-            out = []
-            for r, (at, kind) in enumerate(zip(column["block"].to_pylist(), column["kind"].to_pylist())):
-                if kind == 0:
-                    ids, labels, x = (np.frombuffer(column[c][r].as_buffer(), t) for c, t in (
-                        ("ids", "<i8"), ("labels", "<i8"), ("vectors", f"<i{column['size'][r].as_py()}")))
-                    number, block = at, Block(books, ids, labels, x.astype(np.int64).reshape(len(ids), width))
-                elif at == number:
-                    out += answer(block, {c: column[c][r].as_py() for c in wanted})
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names)
-
-    return met.mapInArrow(run, schema)
-
-
 def mine(anchors: DataFrame, indexed: DataFrame, books: Codebooks, positives: int = POSITIVES, negatives: int = NEGATIVES,
          low: int = LOW, high: int = HIGH) -> DataFrame:
     """``(anchor_id, positive_id, rank, negative_id, positive_score, negative_score)``.
@@ -281,6 +247,12 @@ def mine(anchors: DataFrame, indexed: DataFrame, books: Codebooks, positives: in
     other labels whose score is ``low`` to ``high`` hundredths of the positive's.
     """
     width = books.width
+
+    def load(row):
+        ids, labels = (np.frombuffer(row[c], "<i8") for c in ("ids", "labels"))
+        vectors = np.frombuffer(row["vectors"], f"<i{row['size']}").astype(np.int64)
+        return Block(books, ids, labels, vectors.reshape(len(ids), width))
+
     anchors = written(anchors.select("vec_id", "label", "parts").distinct()
                       .withColumn("number", F.monotonically_increasing_id()), "multiindex-anchors")
 
@@ -288,7 +260,7 @@ def mine(anchors: DataFrame, indexed: DataFrame, books: Codebooks, positives: in
         ids, scores = block.positives(r["vec_id"], r["label"], matrix([r["parts"]], width)[0], positives)
         return [(r["number"], i, s) for i, s in zip(ids.tolist(), scores.tolist())]
 
-    found = _met(indexed, books, anchors, same, "number long, positive_id long, positive_score long")
+    found = meet(indexed, anchors, load, same, "number long, positive_id long, positive_score long")
     best = Window.partitionBy("number").orderBy(F.desc("positive_score"), "positive_id")
     found = (found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= positives)
              .groupBy("number").agg(F.sort_array(F.collect_list(F.struct("place", "positive_id", "positive_score"))).alias("found")))
@@ -301,8 +273,8 @@ def mine(anchors: DataFrame, indexed: DataFrame, books: Codebooks, positives: in
         return [(r["number"], r["vec_id"], p["place"], p["positive_id"], p["positive_score"], i, s)
                 for p, (ids, own) in zip(r["found"], made) for i, s in zip(ids.tolist(), own.tolist())]
 
-    hard = _met(indexed, books, opened, other, "number long, anchor_id long, place long, positive_id long, "
-                                               "positive_score long, negative_id long, negative_score long")
+    hard = meet(indexed, opened, load, other, "number long, anchor_id long, place long, positive_id long, "
+                                                   "positive_score long, negative_id long, negative_score long")
     order = Window.partitionBy("number", "place").orderBy(F.desc("negative_score"), "negative_id")
     return (hard.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= negatives)
             .select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"))

@@ -80,30 +80,47 @@ def packed(encoded: DataFrame, row: int = ROW, id_col: str = "doc_id", ids_col:
              .where(F.length("ids") > 0)
              .withColumn("part", F.explode(F.expr(f"sequence(0, cast((length(ids) - 1) div {bytes_} as int))")))
              .select("doc_id", "part", F.expr(f"substring(ids, part * {bytes_} + 1, {bytes_})").alias("ids")))
-    dealt = parts.repartition(n, F.xxhash64("doc_id", "part", "ids", F.lit(SEED))) \
-        .sortWithinPartitions(F.xxhash64("doc_id", "part", F.lit(SEED)), "doc_id", "part")
+    # rows that are alike in all else spread by their running numbers
+    dealt = parts.withColumn("_row", F.monotonically_increasing_id()) \
+        .repartition(n, F.xxhash64("doc_id", "part", "_row", F.lit(SEED))) \
+        .sortWithinPartitions(F.xxhash64("doc_id", "part", F.lit(SEED)), "doc_id", "part", F.xxhash64("ids")) \
+        .select("doc_id", "part", "ids")
+    types = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.binary())
+    names = ("row", "n_tokens", "doc_ids", "parts", "cu_seqlens", "ids", "positions")
 
     def run(batches):
         from pyspark import TaskContext
 
-        number = TaskContext.get().partitionId() << 33
-        for whole in batches:
-            for k in range(0, whole.num_rows, GROUP):
-                doc, part, ids = (c.to_pylist() for c in whole.slice(k, GROUP).columns)
-                ids = [np.frombuffer(x, "<u4") for x in ids]
-                out = []
-                for own in pack([len(x) for x in ids], row):
-                    sizes = [len(ids[i]) for i in own]
-                    flat = np.full(row, PAD, "<u4")
-                    flat[:sum(sizes)] = np.concatenate([ids[i] for i in own])
-                    place = np.zeros(row, "<u4")
-                    place[:sum(sizes)] = np.concatenate([np.arange(s) for s in sizes])
-                    out.append((number, sum(sizes), [doc[i] for i in own], [part[i] for i in own],
-                                np.cumsum([0, *sizes]).tolist(), flat.tobytes(), place.tobytes()))
-                    number += 1
-                types = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()),
-                         pa.binary(), pa.binary())
-                names = ("row", "n_tokens", "doc_ids", "parts", "cu_seqlens", "ids", "positions")
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+        number, doc, part, ids = TaskContext.get().partitionId() << 33, [], [], []
+        every = np.arange(row, dtype="<u4")
+
+        def made(n):
+            nonlocal number
+            out = []
+            for own in pack([len(x) for x in ids[:n]], row):
+                sizes = [len(ids[i]) for i in own]
+                left = row - sum(sizes)
+                out.append((number, row - left, [doc[i] for i in own], [part[i] for i in own], np.cumsum([0, *sizes]).tolist(),
+                            b"".join([*(ids[i].tobytes() for i in own), PAD.to_bytes(4, "little") * left]),
+                            b"".join([*(every[:k].tobytes() for k in sizes), bytes(4 * left)])))
+                number += 1
+            del doc[:n], part[:n], ids[:n]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+
+        # groups go on over the borders of Arrow batches
+        for b in batches:
+            doc += b.column(0).to_pylist()
+            part += b.column(1).to_pylist()
+            ids += [np.frombuffer(x, "<u4") for x in b.column(2).to_pylist()]
+            while len(ids) >= GROUP:
+                yield made(GROUP)
+        if ids:
+            yield made(len(ids))
 
     return dealt.mapInArrow(run, _PACKED)
+
+
+def write(rows: DataFrame, path: str) -> DataFrame:
+    """Write packed rows as Parquet and return them as read back: a matrix row of ids and positions, and the cumulative lengths."""
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storylens.llm.common import documents, map_columns, partitions, ship_package, written
+from storylens.llm.common import documents, map_columns, partitions, ship_package, unused, written
 from storylens.llm.components import components
 
 SHINGLE = 4
@@ -218,11 +218,9 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     own = fingerprints(df, id_col, text_col)
     least = own.groupBy("fp").agg(F.min(row("doc_id", "text")).alias("row"))
     grouped = _roots(written(least, "simhash-distinct"))
-    chosen = grouped.groupBy("root").agg(F.min("row").alias("row")).select(
-        F.col("row.a").alias("_simhash_a"), F.col("row.b").alias("_simhash_b"))
-    named = df.withColumns({"_simhash_text": F.coalesce(F.col(text_col), F.lit("")),
-                            "_simhash_id": F.col(id_col).cast("long")})
-    keys = row("_simhash_id", "_simhash_text")
-    named = named.withColumns({"_simhash_a": keys["a"], "_simhash_b": keys["b"]})
-    kept = named.join(chosen, ["_simhash_a", "_simhash_b"], "left_semi")
-    return kept.dropDuplicates(["_simhash_a", "_simhash_b"]).select(*df.columns)
+    text, number, a, b = unused(df, "_simhash_text", "_simhash_id", "_simhash_a", "_simhash_b")
+    chosen = grouped.groupBy("root").agg(F.min("row").alias("row")).select(F.col("row.a").alias(a), F.col("row.b").alias(b))
+    named = df.withColumns({text: F.coalesce(F.col(text_col), F.lit("")), number: F.col(id_col).cast("long")})
+    keys = row(number, text)
+    named = named.withColumns({a: keys["a"], b: keys["b"]})
+    return named.join(chosen, [a, b], "left_semi").dropDuplicates([a, b]).select(*df.columns)

@@ -105,33 +105,39 @@ def fingerprint(df: DataFrame, text_col: str = "text") -> DataFrame:
 def in_order(docs: DataFrame) -> DataFrame:
     """Rows dealt into ranges of ids, each in order and followed by the first row of the next one.
 
-    ``(range, after, doc_id, text)`` of ``(doc_id, text)``: ascending ids (null first, equal ids by
-    text); ``after`` marks the row of the next range, of which the last one's is the first range.
+    ``(range, after, doc_id, text)`` of ``(doc_id, text)``: ascending ids (null first, equal ids by a hash of the
+    text, then by text); ``after`` marks the row of the next range, of which the last one's is the first range. An
+    id that fills several ranges (the null one, say) is dealt over as many by that hash.
     """
     spark = docs.sparkSession
     n = partitions(spark)
-    docs = docs.withColumn("_key", F.coalesce("doc_id", F.lit(-(1 << 63))))
+    docs = docs.withColumns({"_key": F.coalesce("doc_id", F.lit(-(1 << 63))), "_hash": F.xxhash64("text")})
     ranges = 4 * n  # several for each task: their sizes even out
     shares = [i / ranges for i in range(1, ranges)]
     bounds = docs.agg(F.percentile_approx("_key", shares).alias("b")).first().b or []
-    bounds = np.unique(np.array(bounds, np.int64))
+    bounds = np.sort(np.array(bounds, np.int64))
 
     @F.pandas_udf("int")
-    def range_of(key: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, key.to_numpy(), side="right").astype(np.int32))
-
-    docs = docs.withColumn("range", range_of("_key"))
-    least = docs.groupBy("range").agg(F.min("_key").alias("_key")).collect()  # one row for each range
+    def range_of(key: pd.Series, text_hash: pd.Series) -> pd.Series:
+        first, last = (np.searchsorted(bounds, key.to_numpy(), side=s) for s in ("left", "right"))
+        # 0 to 1 in the order of the hashes
+        part = (text_hash.to_numpy().astype(np.float64) + 2.0**63) / 2.0**64
+        own = first + 1 + np.minimum((part * (last - first)).astype(np.int64), last - first - 1)
+        return pd.Series(np.where(last - first > 1, own, last).astype(np.int32))
+
+    docs = docs.withColumn("range", range_of("_key", "_hash"))
+    least = docs.groupBy("range").agg(F.min(F.struct("_key", "_hash")).alias("least")).collect()  # one row for each range
     if not least:
         return docs.select("range", F.lit(False).alias("after"), "doc_id", "text")
     least.sort(key=lambda r: r.range)
     firsts = F.broadcast(spark.createDataFrame(
-        [(r._key, least[i - 1].range) for i, r in enumerate(least)], "_key long, before int"))
-    first_rows = (docs.drop("range").join(firsts, "_key").groupBy("before")
-                  .agg(F.min(F.struct("doc_id", "text")).alias("row"))
-                  .select(F.col("before").alias("range"), F.lit(True).alias("after"), "row.doc_id", "row.text"))
-    both = docs.select("range", F.lit(False).alias("after"), "doc_id", "text").unionByName(first_rows)
-    return both.repartition(n, "range").sortWithinPartitions("range", "after", "doc_id", "text")
+        [(*r.least, least[i - 1].range) for i, r in enumerate(least)], "_key long, _hash long, before int"))
+    first_rows = (docs.drop("range").join(firsts, ["_key", "_hash"]).groupBy("before")
+                  .agg(F.min(F.struct("doc_id", "_hash", "text")).alias("row"))
+                  .select(F.col("before").alias("range"), F.lit(True).alias("after"), "row.doc_id", "row._hash", "row.text"))
+    both = docs.select("range", F.lit(False).alias("after"), "doc_id", "_hash", "text").unionByName(first_rows)
+    return (both.repartition(n, "range").sortWithinPartitions("range", "after", "doc_id", "_hash", "text")
+            .select("range", "after", "doc_id", "text"))
 
 
 _PAIRS = ("doc_id bigint, n_chars bigint, edited string, marks binary, positions binary, "

@@ -28,3 +28,25 @@ def runs(source):
 ])
 def test_hidden_elements_end_with_what_is_around_them(source, want):
     assert runs(source) == want
+
+
+@pytest.mark.parametrize("source, want", [
+    ("<p>a</p><!--><p>b</p>", ["a", "b"]),
+    ("<p>a</p><!---><p>b</p>", ["a", "b"]),
+    ("<p>a</p><!-- x --!><p>b</p><!-- never <p>c</p>", ["a", "b"]),
+    ("<p>a</p><!-- -> <p>no</p> --><p>b</p>", ["a", "b"]),
+    ('<p title="x>a</p><p title="y">b</p>', ["b"]),
+    ('<p>a</p><p title="x>b</p>', ["a", "b"]),
+    ("<p title='x>y'>a</p>", ["a"]),
+    ("<p title=it's>a</p><p>b</p>", ["a", "b"]),
+    ('<p data-x=5" id=y>a</p>', ["a"]),
+    ("<p>a</p><p class='x", ["a"]),
+    ("<p>1 < 2 and <3</p>", ["1 < 2 and <3"]),
+])
+def test_comments_and_quotes_end_as_in_browsers(source, want):
+    assert runs(source) == want
+
+
+def test_long_open_tags_take_linear_time():
+    assert runs("<p>a</p>" + "<p x=" * 20_000) == ["a"]
+    assert runs("<p>a</p><p " + "x='y" * 20_001 + "><p>b") in (["a", "b"], ["a"])

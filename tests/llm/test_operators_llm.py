@@ -72,6 +72,13 @@ def test_bpe_on_random_texts():
         assert own.decode(own.encode(t)) == t.encode()
 
 
+def test_bpe_of_a_pattern_with_spaces_inside():
+    tokens = bpe.read_ranks(bpe.VOCABULARY)
+    own = bpe.Encoder(tokens, bpe.merge_table(tokens), r"\w+ \w+|.|\n")
+    ids = np.frombuffer(own.encode("of the two words"), "<u4").tolist()
+    assert ids == own.encode_piece(b"of the") + own.encode_piece(b" ") + own.encode_piece(b"two words")
+
+
 def test_bpe_small_vocabulary():
     # compatible pairs against plain merges, over all short strings of two letters
     tokens = [bytes([i]) for i in range(256)] + [b"ab", b"aa", b"aab", b"ba", b"abab", b"bb"]
@@ -152,6 +159,44 @@ def test_against_next_single_and_empty(spark, empty):
     assert r.edited == "abcabc" and r.near_next == 1.0
 
 
+def test_hot_ids_and_slots_of_a_mix_spread(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    rows = [(None if i % 3 == 0 else i, " ".join(map(str, rng.integers(0, 99, 40))), "en", "a" if i % 2 else "b", 1) for i in range(600)]
+    rows += [rows[0]] * 5 + [rows[1]] * 5
+    docs = spark.createDataFrame(rows, DOCS)
+    monkeypatch.setattr(mixing, "PIECE", 64)  # pieces are cut by the planner's side, which workers then fill
+    m = mixing.mix(docs)
+    numbers = [(r.doc_id, r.n) for r in m.rows.collect()]
+    assert len(set(numbers)) == len(rows)
+    assert len({n % mixing.PARTS for i, n in numbers if i is None}) > 50  # parts that different tasks number
+    assert m.slots.rdd.glom().filter(len).count() > 1
+    slots = [(r.shard, r.slot) for r in m.slots.collect()]
+    assert len(set(slots)) == len(slots)
+    words = Counter(t for r in mixing.documents_of(m, docs).collect() for t in (r.text or "").split())
+    taken = sum(r.taken for r in mixing.taken(m).collect())
+    assert sum(words.values()) == taken > 0
+    with pytest.raises(ValueError, match="sources"):
+        monkeypatch.setattr(mixing, "SOURCES", 1)
+        mixing.mix(docs)
+
+
+def test_hot_ids_fill_many_ranges(spark):
+    rng = np.random.default_rng(6)
+    rows = [(None if i % 3 == 0 else 77 if i % 3 == 1 else int(i), f"text {rng.integers(1 << 40)}") for i in range(3000)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found = [r for r in winnowing.in_order(frame).collect() if not r.after]
+    assert Counter((r.doc_id, r.text) for r in found) == Counter(rows)
+    by_range = defaultdict(list)
+    for r in found:
+        by_range[r.range].append(-1 if r.doc_id is None else r.doc_id)
+    assert max(map(len, by_range.values())) < 600 and len(by_range) > 10
+    assert sum(-1 in ids for ids in by_range.values()) > 2 and sum(77 in ids for ids in by_range.values()) > 2
+    order = [i for k in sorted(by_range) for i in sorted(by_range[k])]
+    assert order == sorted(order)
+    pairs = winnowing.against_next(frame).select("doc_id", "n_chars").collect()
+    assert len(pairs) == 3000
+
+
 # toxicity
 
 def toxic_rows(n=600):
@@ -426,10 +471,10 @@ def test_sharding_has_no_python(spark, docs):
 
 # bit-sliced index
 
-def brute_top(vectors, k):
+def brute_top(vectors, k, every=100):
     out = {}
     for i, q in vectors:
-        if i % 100 == 0:
+        if i % every == 0:
             scores = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in vectors if j != i)
             out[i] = [(j, -s) for s, j in scores[:k]]
     return out
@@ -448,14 +493,13 @@ def test_block_top_with_ties_and_signs():
             assert got == want
 
 
-def test_search(spark, monkeypatch):
+def test_search(spark):
     rng = np.random.default_rng(9)
     rows = [(i, [float(x) for x in rng.normal(0, 0.3, 6).astype(np.float32)]) for i in range(450)]
     rows[20:60] = [(i, rows[20][1]) for i, _ in rows[20:60]]
     bad = [(1000, None), (1001, [0.1, None]), (1002, [float("nan")]), (1003, [float("inf")]), (None, [0.1]), (1100, None)]
     frame = spark.createDataFrame(rows + bad + [rows[100]], "vec_id bigint, embedding array<float>")
     vectors = bitsliced.quantised(frame)
-    monkeypatch.setattr(bitsliced, "QUERIES", 2)
     got = bitsliced.search(vectors.where("vec_id % 100 = 0"), bitsliced.index(vectors, rows=64)).collect()
     whole = [(i, [int(np.floor(1024 * np.float64(np.float32(x)))) for x in v]) for i, v in rows + [rows[100]]]
     want = brute_top(whole, 10)
@@ -465,9 +509,20 @@ def test_search(spark, monkeypatch):
 
 def test_search_of_lengths_and_empty(spark):
     schema = "vec_id bigint, embedding array<float>"
-    few = bitsliced.quantised(spark.createDataFrame([(0, [0.5]), (1, [0.5, 0.5]), (2, []), (3, [1e30])], schema))
+    few = bitsliced.quantised(spark.createDataFrame([(0, [0.5]), (1, [0.5, 0.5]), (2, []), (3, [2e9])], schema))
     got = bitsliced.search(few.where("vec_id % 100 = 0"), bitsliced.index(few)).collect()
-    assert [(r.vec_id, r.score) for r in sorted(got)] == [(3, 512 * bitsliced.LIMIT), (1, 512 * 512), (2, 0)]
+    assert [(r.vec_id, r.score) for r in sorted(got)] == [(3, 512 * 2_000_000_000 * 1024), (1, 512 * 512), (2, 0)]
+    # components beyond 16,384 count in full; scores beyond 64 bits raise
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.normal(0, 60_000, 5).astype(np.float32)]) for i in range(60)]
+    large = bitsliced.quantised(spark.createDataFrame(rows, schema))
+    got = bitsliced.search(large.where("vec_id % 20 = 0"), bitsliced.index(large, rows=16)).collect()
+    want = brute_top([(i, [int(np.floor(1024 * np.float64(x))) for x in v]) for i, v in rows], 10, 20)
+    assert {i: [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank) if r.query_id == i] for i in want} == want
+    for most in (1e15, 1e30):
+        vast = bitsliced.quantised(spark.createDataFrame([(0, [most]), (1, [most])], schema))
+        with pytest.raises(Exception, match="64 bits"):
+            bitsliced.search(vast.where("vec_id = 0"), bitsliced.index(vast)).collect()
     none = bitsliced.quantised(spark.createDataFrame([], schema))
     assert bitsliced.search(none, bitsliced.index(none)).count() == 0
 

@@ -45,3 +45,30 @@ def test_round_trip(spark):
     got = {d: b"".join(x for _, x in sorted(parts.items())) for d, parts in back.items()}
     assert got == {d: x for d, x in docs if x} and len({r.row for r in rows}) == len(rows)
     assert packing.packed(frame.limit(0)).count() == 0
+
+
+def test_groups_go_over_arrow_batches(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    frame = spark.createDataFrame([(i, rng.bytes(4 * int(rng.integers(1, 900)))) for i in range(5000)], "doc_id bigint, ids binary")
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, counts = spark.conf.get(name), set()
+    try:
+        for most in ("100", "10000"):
+            spark.conf.set(name, most)
+            back = packing.write(packing.packed(frame), str(tmp_path / most))
+            counts.add((back.count(), back.agg({"n_tokens": "sum"}).first()[0]))
+    finally:
+        spark.conf.set(name, before)
+    assert len(counts) == 1
+
+
+def test_repeated_rows_spread_and_pack_alike(spark):
+    rows = [(None, b"\x05\0\0\0" * 7)] * 400 + [(1, b"\x06\0\0\0" * 5)] * 100 + [(1, b"\x07\0\0\0" * 5)] * 100 + [(2, b"")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, ids binary").repartition(3)
+    frame = frame.selectExpr("*", "'x' AS part", "'y' AS `row`", "'z' AS _row")
+    packed = packing.packed(frame, row=64)
+    assert packed.rdd.glom().filter(len).count() > 1
+    runs = [sorted((tuple(-1 if d is None else d for d in r.doc_ids), bytes(r.ids)) for r in packed.collect()) for _ in range(2)]
+    assert runs[0] == runs[1] and sum(len(d) for d, _ in runs[0]) == 600
+    long = packing.packed(spark.createDataFrame([(3, bytes(range(256)) * 1000)], "doc_id bigint, ids binary"), row=64).collect()
+    assert b"".join(bytes(r.ids) for r in sorted(long, key=lambda r: r.parts)) == bytes(range(256)) * 1000

@@ -92,6 +92,19 @@ def test_pipeline_on_odd_rows(spark, sf_dir):
     assert all(rows == [] for rows in run_stages(spark, f"{d}/none"))
 
 
+def test_stages_leave_clashing_columns_alone(spark, sf_dir):
+    names = ["_lang", "_score", "__lang", "_mix_n", "_mix_cuts", "_mix_size", "_mix_hash", "_mix_number", "_mix_round", "_mix_doc_id",
+             "_simhash_a", "_simhash_b", "_simhash_text", "_simhash_id", "_MIX_Words", "component_id", "fp"]
+    docs = table(spark, sf_dir, "documents").where("doc_id < 60").selectExpr(
+        "*", *(f"concat('{n}', doc_id) AS `{n}`" for n in names))
+    docs = written(docs, "clashing")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"clashing-{name}")
+        assert docs.columns[-len(names):] == names
+    rows = docs.collect()
+    assert rows and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)
+
+
 CONTRACT = {
     "op1_byte_bpe": "doc_id n_tokens ids_sha256 decoded_sha256",
     "op2_winnowing": "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
@@ -102,6 +115,9 @@ CONTRACT = {
     "op8_sharding": "doc_id size text_crc32 law shard slot grown_shard",
     "op9_bitsliced_topk": "query_id rank vec_id score",
     "op10_simhash": "doc_id fingerprint component_id",
+    "op12_jaccard_join": "doc_id n_shingles component_id",
+    "op13_resampling": "doc_id n_features weight score rank",
+    "op4_packing": "row n_tokens doc_ids parts cu_seqlens ids_sha256 positions_sha256",
 }
 
 
@@ -111,12 +127,24 @@ def test_queries_return_what_they_should(spark, sf_dir):
     assert {n: d.columns[:len(CONTRACT[n].split())] for n, d in out.items()} == {n: c.split() for n, c in CONTRACT.items()}
     rows = {n: d.collect() for n, d in out.items()}
     docs = {r.doc_id: r for r in table(spark, sf_dir, "documents").collect()}
-    assert all(len(rows[n]) == len(docs) for n in CONTRACT if n not in ("op6_html_extraction", "op9_bitsliced_topk"))
+    assert all(len(rows[n]) == len(docs) for n in CONTRACT if n not in ("op4_packing", "op6_html_extraction", "op9_bitsliced_topk"))
     ref = reference()
     for r in rows["op1_byte_bpe"]:
         ids = ref.encode_ordinary(docs[r.doc_id].text)
         assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(docs[r.doc_id].text.encode()).hexdigest()
+    parts = {}
+    for r in rows["op4_packing"]:
+        assert r.cu_seqlens[0] == 0 and r.cu_seqlens[-1] == r.n_tokens <= 2048
+        for d, p, a, b in zip(r.doc_ids, r.parts, r.cu_seqlens, r.cu_seqlens[1:]):
+            parts[d, p] = ref.encode_ordinary(docs[d].text)[2048 * p:2048 * (p + 1)]
+            assert len(parts[d, p]) == b - a
+        flat = np.zeros(2048, "<u4")
+        place = np.zeros(2048, "<u4")
+        flat[:r.n_tokens] = sum((parts[k] for k in zip(r.doc_ids, r.parts)), [])
+        place[:r.n_tokens] = np.concatenate([np.arange(b - a) for a, b in zip(r.cu_seqlens, r.cu_seqlens[1:])])
+        assert (r.ids_sha256, r.positions_sha256) == tuple(hashlib.sha256(x.tobytes()).hexdigest() for x in (flat, place))
+    assert sum(map(len, parts.values())) == sum(r.n_tokens for r in rows["op1_byte_bpe"])
     order = sorted(docs)
     want = dict(zip(order, edited([docs[i].text for i in order])))
     assert all(r.edited_sha256 == hashlib.sha256(want[r.doc_id].encode()).hexdigest() for r in rows["op2_winnowing"])
