@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storylens.llm import bpe, langid, mixing, simhash, toxicity
-from storylens.llm.common import table, written
+from storylens.llm.common import table, unused, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -22,14 +22,16 @@ TOXIC = 0.7
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that could be learned; those without a letter go."""
-    found = langid.predict(docs, langid.learn(docs), pred_col="_lang", score_col="_score")
-    return found.where(F.col("_lang") != langid.UNDETERMINED).select(*docs.columns)
+    lang, score = unused(docs, "_lang", "_score")
+    found = langid.predict(docs, langid.learn(docs), pred_col=lang, score_col=score)
+    return found.where(F.col(lang) != langid.UNDETERMINED).select(*docs.columns)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not toxic."""
     fitted = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, fitted, score_col="_score").where(F.col("_score") < TOXIC).select(*docs.columns)
+    score, = unused(docs, "_score")
+    return toxicity.score(docs, fitted, score_col=score).where(F.col(score) < TOXIC).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
