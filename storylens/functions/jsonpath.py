@@ -58,10 +58,14 @@ def strict_text(text: ColumnOrName) -> Column:
 def _require(block: Column) -> Column:
     """One parse of a block: is it one whole value, and its ``require``."""
     parsed = F.from_json(closed(block), "array<struct<require:string,storylens_end:boolean>>")
-    return bind(parsed, lambda x: F.struct(
-        (F.coalesce(F.size(x) == 2, F.lit(False))
-         & F.coalesce(F.get(x, F.lit(1)).getField("storylens_end"), F.lit(False))).alias("ok"),
-        F.get(x, F.lit(0)).getField("require").alias("req")))
+    def found(x: Column) -> Column:
+        whole = (F.coalesce(F.size(x) == 2, F.lit(False))
+                 & F.coalesce(F.get(x, F.lit(1)).getField("storylens_end"), F.lit(False)))
+        # a list or a text is a whole value, too, without a require
+        return F.struct((whole | strict_text(block).isNotNull()).alias("ok"),
+                        F.when(whole, F.get(x, F.lit(0)).getField("require")).alias("req"))
+
+    return bind(parsed, found)
 
 
 def _deciding(h: Column, marker: str, pattern: str, parse) -> Column:
@@ -71,6 +75,36 @@ def _deciding(h: Column, marker: str, pattern: str, parse) -> Column:
                           lambda x: ~x.getField("ok") | x.getField("req").isNotNull()), F.lit(0))
 
 
+def _parsed_block(block: Column) -> Column:
+    """One parse of a block into a VARIANT: is it one whole value, has it a ``require``, and the VARIANT (``closed``).
+
+    What the VARIANT parser refuses (repeated keys, NaN, size limit) has its document as ``text`` instead.
+    """
+    no_variant, no_text = F.lit(None).cast("variant"), F.lit(None).cast("string")
+
+    def of_variant(v: Column) -> Column:
+        require = F.try_variant_get(v, "$[0].require", "variant")
+        there = F.when(require.isNotNull() & ~F.is_variant_null(require), F.lit(True))
+        return F.struct(F.lit(True).alias("ok"), there.alias("req"), v.alias("v"), no_text.alias("text"))
+
+    def of_text(x: Column) -> Column:
+        req = x.getField("req")
+        return F.struct(x.getField("ok").alias("ok"), F.when(req.isNotNull(), F.lit(True)).alias("req"), no_variant.alias("v"),
+                        F.concat(F.lit('{"require":'), req, F.lit("}")).alias("text"))
+
+    return bind(F.try_parse_json(closed(block)), lambda v: F.when(strict_variant(v), of_variant(v)).otherwise(
+        bind(_require(block), of_text)))
+
+
+def embedded_block(html: ColumnOrName, then, marker: str = STORY_MARKER, pattern: str = SJS_BLOCK_PATTERN) -> Column:
+    """``then(variant, text)`` of the block that ``embedded_require_document`` takes, else NULL; one of the two is NULL.
+
+    The block itself is a document with a ``require``: its VARIANT goes on as it is, without a text in between.
+    """
+    return bind(_deciding(_col(html), marker, pattern, _parsed_block),
+                lambda x: F.when(x.getField("ok"), then(x.getField("v"), x.getField("text"))))
+
+
 def embedded_require_document(html: ColumnOrName, marker: str = STORY_MARKER,
                               pattern: str = SJS_BLOCK_PATTERN) -> Column:
     """Q4 core: ``{"require": …}`` from the first qualifying marked block, else NULL.

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storylens.functions.jsonpath import STORY_MARKER, embedded_require_document, script_blocks
-from storylens.operators.unwrap import unwrap
+from storylens.functions.jsonpath import REELS_PATH, STORY_MARKER, embedded_block, embedded_require_document, script_blocks
+from storylens.operators.unwrap import from_text, from_variant
 
 
 def page_blocks(pages: DataFrame, html_col: str = "html", pattern: str | None = None,
@@ -28,8 +28,13 @@ def page_documents(pages: DataFrame, html_col: str = "html", marker: str = STORY
 
 
 def page_reels(pages: DataFrame, html_col: str = "html", marker: str = STORY_MARKER,
-               keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
-    """Q4 end to end: pages whose document unwraps, with the parsed reels list."""
-    docs = page_documents(pages.select(*keep, html_col), html_col, marker).select(*keep, "doc") \
-        .filter(F.col("doc").isNotNull())
-    return unwrap(docs)
+               keep: tuple[str, ...] = ("page_id",), path: str = REELS_PATH) -> DataFrame:
+    """Q4 end to end: ``keep…, reels, unwrap_status`` of the pages that have a document.
+
+    A block is parsed once, and the reels are read from that parse.
+    """
+    def outcome(v: Column, text: Column) -> Column:
+        return F.when(v.isNotNull(), from_variant(v, path)).otherwise(from_text(text, path))
+
+    found = pages.select(*keep, F.explode_outer(F.array(embedded_block(F.col(html_col), outcome, marker))).alias("__unwrapped"))
+    return found.filter(F.col("__unwrapped").isNotNull()).select(*keep, "__unwrapped.reels", "__unwrapped.unwrap_status")

@@ -30,7 +30,7 @@ def _failed(status: str) -> Column:
     return _result(F.lit(status))
 
 
-def _from_variant(v: Column, path: str) -> Column:
+def from_variant(v: Column, path: str) -> Column:
     """The outcome from the VARIANT of a ``closed`` document: no second parse."""
     at = "$[0]" + path[1:]
     listed = F.coalesce(F.try_variant_get(v, at, REELS.simpleString()),
@@ -44,7 +44,7 @@ def _from_variant(v: Column, path: str) -> Column:
         .otherwise(_failed(REASON_NOT_LIST))))
 
 
-def _from_text(text: Column, path: str) -> Column:
+def from_text(text: Column, path: str) -> Column:
     """The outcome of a document that the VARIANT parser refuses; ``text`` is NULL if it is not JSON."""
     listed = unwrap_reels_json(text, path)
     return bind(F.struct(listed.alias("json"), F.from_json(listed, REELS).alias("reels")), lambda x: (
@@ -63,8 +63,8 @@ def unwrapped_col(doc: Column, path: str = REELS_PATH) -> Column:
     gives the same value and the same reasons.
     """
     return bind(F.try_parse_json(closed(doc)), lambda v: (
-        F.when(strict_variant(v), _from_variant(v, path))
-        .otherwise(bind(strict_text(doc), lambda t: _from_text(t, path)))))
+        F.when(strict_variant(v), from_variant(v, path))
+        .otherwise(bind(strict_text(doc), lambda t: from_text(t, path)))))
 
 
 def unwrap(raw: DataFrame, doc_col: str = "doc", path: str = REELS_PATH) -> DataFrame:

@@ -300,3 +300,22 @@ def test_repeated_bodies_count_once(spark, sf_dir):
     once = cap.capture_outcomes(profiles, log, bodies, errors)
     twice = cap.capture_outcomes(profiles, log, bodies.unionByName(bodies), errors)
     assert once.exceptAll(twice).count() == 0 and twice.exceptAll(once).count() == 0
+
+
+def test_blocks_that_are_no_objects_do_not_decide(spark):
+    """A marked list or text without a ``require`` leaves the choice to the next block, on both paths."""
+    from storylens.functions.jsonpath import STORY_MARKER, embedded_require_document
+    from storylens.operators.pages import page_reels
+    from storylens.plans import fixtures as fx
+
+    good = fx.ENVELOPE_HEAD.format(feed=STORY_MARKER) + '[{"user":{"username":"x"},"items":[]}]' + fx.ENVELOPE_TAIL
+    blk = lambda t: f'<script type="application/json" data-sjs>{t}</script>'
+    first = {"list": f'[1,"{STORY_MARKER}"]', "text": f'"{STORY_MARKER}"', "null": f'{{"require":null,"a":"{STORY_MARKER}"}}',
+             "repeated": f'{{"a":1,"a":"{STORY_MARKER}"}}', "none": ""}
+    voids = {"junk": good + " oops", "cut": good[:-3]}
+    last = {"nan": good[:-1] + ',"k":NaN}', "keys": good[:-1] + ',"k":1,"k":2}', "text-require": f'{{"require":"{STORY_MARKER}"}}'}
+    df = spark.createDataFrame([(k, blk(v) + blk(good)) for k, v in {**first, **voids, **last}.items()], "page_id string, html string")
+    got = {r.page_id: r.unwrap_status for r in page_reels(df).collect()}
+    assert got == {**dict.fromkeys([*first, "nan", "keys"], "ok"), "text-require": "path_not_found"}
+    docs = {r.page_id: r.doc for r in df.select("page_id", embedded_require_document("html").alias("doc")).collect()}
+    assert all((docs[k] is None) == (k in voids) for k in docs) and all(docs[k] == good for k in first)
