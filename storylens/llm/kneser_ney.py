@@ -5,36 +5,55 @@ of all letters since the word's start. Both back off to the same shorter
 contexts, whose Kneser-Ney counts are pooled over the classes: a rare
 expression that one class has not seen is measured by what both have, and one
 that neither has seen speaks for neither.
+
+A letter is one symbol, or two or three where its code point is ``SINGLE`` or more, so that every letter
+of any script is told apart in keys of a fixed width.
 """
 
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 
 #: Longest n-gram.
 ORDER = 6
-#: Bits of a letter in an n-gram key; rarer letters than fit count as one unknown letter.
-BITS = 9
+#: Bits of a symbol in an n-gram key.
+BITS = 10
+#: Symbols below SINGLE are letters of that code point; then come those that lead and those that end another letter.
+SINGLE, LEAD, TRAIL = 512, 512, 768
 #: Taken off the counts of either class: what one or two documents of all hold says nothing of a class.
 #: Discounts estimated from the counts meet fewer held-out labels (README).
 DISCOUNT = 2.0
-#: Bits of a letter in the counts of ``ngrams``, three letters to a number.
+#: Bits of a symbol in the counts of ``ngrams``, three symbols to a number.
 POINT = 21
-START, END, UNKNOWN = 1, 2, 0
+START, END = 1, 2
+
+_OTHER = re.compile(f"[^\0-{chr(SINGLE - 1)}]")
+
+
+def _symbols(letter: re.Match) -> str:
+    """A letter beyond the single symbols: its plane, if that is not the first, then the high and the low byte of the rest."""
+    point = ord(letter[0])
+    plane = chr(LEAD + (point >> 16)) if point >> 16 else ""
+    return plane + chr(LEAD + (point >> 8 & 255)) + chr(TRAIL + (point & 255))
 
 
 def _spelled(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The code points of all words, each between a start and an end, one after another; and their lengths."""
-    points = np.frombuffer("".join(f"\x01{w}\x02" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32)
-    return points.astype(np.int64), np.fromiter(map(len, words), np.int64, len(words)) + 2
+    """The symbols of all words, each between a start and an end, one after another; and their lengths."""
+    text = "".join(f"\x01{w}\x02" for w in words)
+    spelled = _OTHER.sub(_symbols, text)
+    points = np.frombuffer(spelled.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    if len(spelled) == len(text):
+        return points, np.fromiter(map(len, words), np.int64, len(words)) + 2
+    return points, np.diff(np.append(np.flatnonzero(points == START), len(points)))
 
 
 def ngrams(words: list[str], counts: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The different n-grams inside words up to ``order`` (at most 6), and the sums of their words' counts.
+    """The different n-grams of symbols inside words up to ``order`` (at most 6), and the sums of their words' counts.
 
-    An n-gram is two numbers, the code points of its first three letters and of the others, nought behind its end.
+    An n-gram is two numbers, its first three symbols and the others, nought behind its end.
     A lone start is none, as nothing predicts it.
     """
     points, length = _spelled(words)
@@ -72,14 +91,9 @@ class Ratios:
         return made
 
     def _fit(self, high: np.ndarray, low: np.ndarray, counts: np.ndarray, order: int) -> None:
-        one = (high & ((1 << 2 * POINT) - 1)) == 0
-        alone = high[one] >> (2 * POINT)
-        often = dict(zip(alone.tolist(), counts[one].sum(1).tolist()))
-        often.pop(END, None)
-        most = sorted(often, key=lambda c: (-often[c], c))[:(1 << BITS) - 3]
-        self.codes = {chr(c): i + 3 for i, c in enumerate(sorted(most))}
+        # what any one symbol can be: those that occur, a start and one more
+        self.symbols = int(((high & ((1 << 2 * POINT) - 1)) == 0).sum()) + 2
         self.order = order
-        self._points: np.ndarray | None = None
         self.keys: dict[int, np.ndarray] = {}
         self.ratio: dict[int, np.ndarray] = {}
         self.context: dict[int, np.ndarray] = {}
@@ -90,7 +104,7 @@ class Ratios:
             here = np.flatnonzero(length == k)
             key = np.zeros(len(here), np.int64)
             for i in range(k):
-                key = (key << BITS) | self._table()[((high, low)[i // 3][here] >> (POINT * (2 - i % 3))) & ((1 << POINT) - 1)]
+                key = (key << BITS) | (((high, low)[i // 3][here] >> (POINT * (2 - i % 3))) & ((1 << POINT) - 1))
             seen, place = np.unique(key, return_inverse=True)
             use = np.stack([np.bincount(place, counts[here, c], len(seen)) for c in (0, 1)], 1)
             pooled = use.sum(1)
@@ -101,7 +115,7 @@ class Ratios:
         below_key, below_p = None, None
         for k in range(1, order + 1):
             seen, pooled, use = tables[k]
-            below = (np.full(len(seen), 1 / (len(self.codes) + 3)) if below_key is None else
+            below = (np.full(len(seen), 1 / self.symbols) if below_key is None else
                      below_p[np.searchsorted(below_key, seen & ((1 << BITS * (k - 1)) - 1))])
             # the longest context of a letter: order - 1 letters, or all from the word's start
             whole = seen >> (BITS * (k - 1)) == START if k < order else np.ones(len(seen), bool)
@@ -112,27 +126,11 @@ class Ratios:
                 self.gamma[k] = np.log(top[0][2] / top[1][2])
             below_key, below_p = seen, _kneser_ney(seen, pooled, below)[0]
 
-    def _flat(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The codes of all words, each between a start and an end, one after another; and their lengths."""
-        points, length = _spelled(words)
-        return self._table()[points], length
-
-    def _table(self) -> np.ndarray:
-        if self._points is None:
-            self._points = np.full(0x110000, UNKNOWN, np.int64)
-            self._points[1], self._points[2] = START, END
-            for c, i in self.codes.items():
-                self._points[ord(c)] = i
-        return self._points
-
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"_points": None}
-
     def score(self, words: list[str]) -> np.ndarray:
         """The ratio of each word."""
         if not words:
             return np.zeros(0, np.float32)
-        flat, length = self._flat(words)
+        flat, length = _spelled(words)
         at_word = np.repeat(np.arange(len(words)), length)
         start = np.repeat(np.cumsum(length) - length, length)
         place = np.flatnonzero(flat != START)  # each letter and end is predicted from what stands before it

@@ -12,7 +12,7 @@ import public_tokenizers
 import pytest
 
 from storylens.llm import bitsliced, bpe, components, langid, mixing, sharding, simhash, toxicity, winnowing
-from storylens.llm.kneser_ney import Ratios, logistic, ngrams
+from storylens.llm.kneser_ney import Ratios, _spelled, logistic, ngrams
 from tests_llm_brute import brute_components, brute_fingerprint, edited, reference
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -273,16 +273,79 @@ def test_toxicity_counts_all_training_rows(spark):
         for w in set(t.split()):
             words[w][1 - toxic] += 1
     want = Ratios(list(words), np.array(list(words.values())))
-    assert fitted.codes == want.codes and set(fitted.keys) == set(want.keys)
+    assert fitted.symbols == want.symbols and set(fitted.keys) == set(want.keys)
     for k in want.keys:
         assert fitted.keys[k].tolist() == want.keys[k].tolist() and np.allclose(fitted.ratio[k], want.ratio[k])
 
 
+def plain_kneser_ney(words, counts, order, wanted):
+    """The log ratio of a word by dictionaries: fixed discounts for either class over pooled, estimated lower orders."""
+    grams = [defaultdict(lambda: np.zeros(2)) for _ in range(order + 1)]
+    for w, c in zip(words, counts):
+        w = f"\1{w}\2"
+        for k in range(1, order + 1):
+            for i in range(len(w) - k + 1):
+                if k > 1 or i:
+                    grams[k][w[i:i + k]] += c
+    symbols = len(grams[1]) + 2
+    pooled = []
+    for k in range(order + 1):
+        if k in (0, order):
+            pooled.append({g: c.sum() for g, c in grams[k].items()})
+        else:  # how many letters stand before it, but for the start of a word
+            before = Counter(g[1:] for g in grams[k + 1])
+            pooled.append({g: c.sum() if g[0] == "\1" else before[g] for g, c in grams[k].items()})
+
+    def mixed(table, gram, discount, below):
+        context = {g: c for g, c in table.items() if g[:-1] == gram[:-1]}
+        total = sum(context.values())
+        if not total:
+            return below
+        back = sum(min(c, discount) for c in context.values()) / total
+        return max(context.get(gram, 0) - discount, 0) / total + back * below
+
+    def lower(gram):  # the pooled probability
+        if not gram:
+            return 1 / symbols
+        once, twice = (sum(c == n for c in pooled[len(gram)].values()) for n in (1, 2))
+        return mixed(pooled[len(gram)], gram, once / (once + 2 * twice) if once and twice else 0.75, lower(gram[1:]))
+
+    out, w = 0.0, f"\1{wanted}\2"
+    for i in range(1, len(w)):
+        gram = w[max(0, i - order + 1):i + 1]
+        p = [mixed({g: c[k] for g, c in grams[len(gram)].items()}, gram, 2.0, lower(gram[1:])) for k in (0, 1)]
+        out += np.log(p[0] / p[1])
+    return out
+
+
+def test_ratios_against_plain_kneser_ney():
+    rng = np.random.default_rng(8)
+    for letters in ("abc", "aé日本"):
+        words = sorted({"".join(rng.choice(list(letters), rng.integers(1, 6))) for _ in range(60)})
+        counts = rng.integers(0, 12, (len(words), 2)) + [1, 0]
+        spelled = [w.replace("日", "\u0265\u03e5").replace("本", "\u0267\u032c") for w in words]
+        for order in (2, 3, 6):
+            got = Ratios(words, counts, order).score([*words[:15], "cab", "x"])
+            want = [plain_kneser_ney(spelled, counts, order, w) for w in (*spelled[:15], "cab", "x")]
+            assert np.allclose(got, want)
+
+
+def test_all_letters_are_told_apart():
+    letters = [chr(c) for c in (*range(0x4e00, 0x4e00 + 2000), 0x20000, 0x20001, 0x10400, 0x3b1, 0x430, 0xe9)]
+    _, length = _spelled(letters)
+    high, low, _ = ngrams(letters, np.ones((len(letters), 2), int))
+    whole = length == 4
+    assert len(length) == len(letters) and whole.sum() >= 2000
+    r = Ratios([c + "x" for c in letters], np.array([[9, 0] if i % 2 else [0, 9] for i in range(len(letters))]))
+    scores = r.score([c + "x" for c in letters])
+    assert all((s > 0) == bool(i % 2) for i, s in enumerate(scores))
+
+
 def test_ngram_counts():
     words, n = ["abcabc", "bca", "日本", "a"], np.array([[1, 0], [2, 5], [0, 3], [4, 4]])
     want = defaultdict(lambda: np.zeros(2, int))
     for w, c in zip(words, n):
-        w = f"\1{w}\2"
+        w = "".join(c if ord(c) < 512 else chr(512 + (ord(c) >> 8)) + chr(768 + (ord(c) & 255)) for c in f"\1{w}\2")
         for k in range(1, 7):
             for i in range(len(w) - k + 1):
                 if k > 1 or i:
