@@ -36,5 +36,5 @@ def page_reels(pages: DataFrame, html_col: str = "html", marker: str = STORY_MAR
     def outcome(v: Column, text: Column) -> Column:
         return F.when(v.isNotNull(), from_variant(v, path)).otherwise(from_text(text, path))
 
-    found = pages.select(*keep, F.explode_outer(F.array(embedded_block(F.col(html_col), outcome, marker))).alias("__unwrapped"))
-    return found.filter(F.col("__unwrapped").isNotNull()).select(*keep, "__unwrapped.reels", "__unwrapped.unwrap_status")
+    found = pages.select(*keep, F.inline_outer(F.array(embedded_block(F.col(html_col), outcome, marker))))
+    return found.filter(F.col("unwrap_status").isNotNull())

@@ -71,11 +71,19 @@ def unwrap(raw: DataFrame, doc_col: str = "doc", path: str = REELS_PATH) -> Data
     """Add ``reels`` (array of reel structs) and ``unwrap_status`` to each raw row.
 
     The outcome is the input of a one-element generator, so filters on it
-    stay above and never parse a document again.
+    stay above and never parse a document again; its fields come out as columns, without another copy.
     """
     kept = [c for c in raw.columns if c not in ("reels", "unwrap_status")]
-    out = raw.select(*kept, F.explode_outer(F.array(unwrapped_col(F.col(doc_col), path))).alias("__unwrapped"))
-    return out.select(*kept, "__unwrapped.reels", "__unwrapped.unwrap_status")
+    return raw.select(*kept, F.inline_outer(F.array(unwrapped_col(F.col(doc_col), path))))
+
+
+def unwrap_to_store(raw: DataFrame, keep: tuple[str, ...], doc_col: str = "doc", path: str = REELS_PATH) -> DataFrame:
+    """K6: ``keep…, reels, unwrap_status, raw_doc``; only documents that did not unwrap go on as text."""
+    doc = F.col(doc_col)
+    outcome = bind(unwrapped_col(doc, path), lambda o: F.struct(
+        o.getField("reels").alias("reels"), o.getField("unwrap_status").alias("unwrap_status"),
+        F.when(o.getField("unwrap_status") != UNWRAP_OK, doc).alias("raw_doc")))
+    return raw.select(*keep, F.inline_outer(F.array(outcome)))
 
 
 def reels_col(doc: Column, path: str = REELS_PATH) -> Column:

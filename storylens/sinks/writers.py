@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from storylens.operators.capture import VISIT, latest_success
 from storylens.operators.picks import last_per_key
-from storylens.operators.unwrap import UNWRAP_OK, unwrap
+from storylens.operators.unwrap import unwrap_to_store
 from storylens.plans.attribution import has_stories
 from storylens.session import scratch_path
 from storylens.sinks.folders import current, publish
@@ -205,7 +205,5 @@ def write_reels_table(raw: DataFrame, path: str, doc_col: str = "doc",
     list, other partitions keep the raw text and are the quarantine. Published as a version: a failing
     rerun leaves the earlier table.
     """
-    u = unwrap(raw, doc_col)
-    out = u.select(*keep, "unwrap_status", "reels",
-                   F.when(F.col("unwrap_status") != UNWRAP_OK, F.col(doc_col)).alias("raw_doc"))
+    out = unwrap_to_store(raw, keep, doc_col)
     publish(raw.sparkSession, path, lambda p: out.write.partitionBy("unwrap_status").parquet(p))
