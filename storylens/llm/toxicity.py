@@ -24,6 +24,7 @@ get equal scores. Only id and text of the documents are read.
 
 from __future__ import annotations
 
+import math
 import re
 import uuid
 
@@ -46,6 +47,8 @@ STRONGEST = (3, 6, 12)
 EVIDENCE = 1 + len(WINDOWS) + len(STRONGEST)
 #: Words whose ratios a worker keeps; longer words than LONGEST are scored each time.
 KEPT, LONGEST = 400_000, 40
+#: The score from which a text counts as toxic; the sample's labels decide what evidence reaches it.
+CUT = 0.7
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -102,6 +105,16 @@ def _scorer(shared) -> Scorer:
     return worker_state(("toxicity", name), lambda: Scorer(*value))
 
 
+def best_cut(found: np.ndarray, labels: np.ndarray) -> float:
+    """Where a cut meets the labels best (highest F1, and of equal ones the lowest cut), half-way to the next lower value."""
+    order = np.argsort(-found, kind="stable")
+    values, met = found[order], np.cumsum(labels[order])
+    last = np.append(np.flatnonzero(np.diff(values)), len(values) - 1)  # of equal values
+    f1 = 2 * met[last] / (last + 1 + met[-1])
+    k = last[len(f1) - 1 - int(np.argmax(f1[::-1]))]
+    return float(values[k] + values[min(k + 1, len(values) - 1)]) / 2
+
+
 def _word_counts(texts: DataFrame) -> DataFrame:
     """``(word, n00, n01, n10, n11)``: in how many texts of a fold and label a word stands."""
     ship_package(texts.sparkSession)
@@ -201,7 +214,10 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", toxic: int
     rows = map_columns(calibrating, ["text"], ", ".join(f"{n} double" for n in names), make)
     rows = rows.select("label", *names).toPandas()  # of the bounded sample
     rows = rows.sort_values(["label", *names])  # the same weights from any order of the rows
-    return final, logistic(rows[names].to_numpy(), rows["label"].to_numpy())
+    x, y = rows[names].to_numpy(), rows["label"].to_numpy()
+    weights = logistic(x, y)
+    weights[-1] += math.log(CUT / (1 - CUT)) - best_cut(x @ weights[:-1] + weights[-1], y)
+    return final, weights
 
 
 def score(docs: DataFrame, fitted, id_col: str = "doc_id", text_col: str = "text",

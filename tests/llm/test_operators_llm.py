@@ -356,6 +356,20 @@ def test_ngram_counts():
     assert len(high) == len(got) and got == {w: c.tolist() for w, c in want.items()}
 
 
+def test_best_cut_meets_the_labels():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        found, labels = rng.integers(0, 12, 20).astype(float), rng.integers(0, 2, 20)
+        labels[0] = 1
+
+        def f1(cut):
+            p = found >= cut
+            return 2 * (p & (labels == 1)).sum() / (p.sum() + labels.sum())
+
+        cut = toxicity.best_cut(found, labels)
+        assert f1(cut) == max(f1(v) for v in found) and (found != cut).all() or cut == found.min()
+
+
 def test_logistic_separates():
     x = np.array([[-2.0], [-1.0], [1.0], [2.0]] * 20)
     w = logistic(x, np.array([0, 0, 1, 1] * 20))
