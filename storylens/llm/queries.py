@@ -140,12 +140,78 @@ def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+ORACLE["op12_jaccard_join"] = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, row_number() OVER () AS row, [w FOR w IN regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF w <> ''] AS w
+  FROM documents),
+shingled AS (
+  SELECT doc_id, row, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s
+  FROM worded),
+sets AS (SELECT list_sort(s) AS s, min(row) AS node, len(s) AS n FROM shingled WHERE len(s) > 0 GROUP BY ALL),
+postings AS (SELECT node, n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT a.node AS a, b.node AS b
+  FROM postings a JOIN postings b ON a.shingle = b.shingle AND a.node < b.node AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n
+  GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (SELECT node, node AS other FROM sets UNION SELECT r.node, l.b FROM reached r JOIN both_ways l ON l.a = r.other),
+ids AS (SELECT node, min(doc_id) AS least FROM shingled JOIN sets ON list_sort(shingled.s) = sets.s GROUP BY node),
+components AS (SELECT r.node, min(least) AS component_id FROM reached r JOIN ids ON ids.node = r.other GROUP BY r.node)
+SELECT doc_id, CAST(len(shingled.s) AS BIGINT) AS n_shingles, CASE WHEN len(shingled.s) = 0 THEN doc_id ELSE component_id END AS component_id
+FROM shingled LEFT JOIN sets ON list_sort(shingled.s) = sets.s LEFT JOIN components USING (node)
+"""
+
+
 @query
 def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
         "doc_id", "n_features", "weight", "score", "rank")
 
 
+ORACLE["op13_resampling"] = r"""
+WITH RECURSIVE steps AS (
+  SELECT i AS b, CAST(i AS BIGINT) AS c, 0 AS k FROM range(256) t(i)
+  UNION ALL
+  SELECT b, CASE WHEN c & 1 = 1 THEN xor(CAST(3988292384 AS BIGINT), c >> 1) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY b) AS t FROM steps WHERE k = 8),
+texts AS (
+  SELECT 0 AS side, doc_id, row_number() OVER () AS row, text FROM documents
+  UNION ALL SELECT 1, NULL, row_number() OVER (), text FROM benchmark),
+worded AS (
+  SELECT side, doc_id, row, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM texts),
+features AS (
+  SELECT side, row, unnest(list_concat(w, [w[i] || ' ' || w[i + 1] FOR i IN range(1, greatest(len(w), 1))])) AS f FROM worded),
+counted AS (SELECT side, row, f, count(*) AS n FROM features GROUP BY ALL),
+buckets AS (
+  SELECT f, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), [CAST('0x' || substr(hex(f), 2 * i + 1, 2) AS BIGINT) FOR i IN range(strlen(f))]),
+                            lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT f FROM counted), crc),
+placed AS (SELECT side, row, bucket, sum(n) AS n FROM counted JOIN buckets USING (f) GROUP BY ALL),
+sums AS (
+  SELECT i AS bucket, coalesce(sum(n) FILTER (WHERE side = 0), 0) AS s, coalesce(sum(n) FILTER (WHERE side = 1), 0) AS t
+  FROM range(10000) r(i) LEFT JOIN placed ON bucket = i GROUP BY i),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((CAST(t AS DOUBLE) + 1) * (CAST(sum(s) OVER () AS DOUBLE) + 10000)
+         / ((CAST(s AS DOUBLE) + 1) * (CAST(sum(t) OVER () AS DOUBLE) + 10000)))) AS BIGINT) AS gain FROM sums),
+weighed AS (
+  SELECT w.doc_id, w.row, len(w.w) AS words, coalesce(sum(n), 0) AS n_features,
+         CASE WHEN sum(n) > 0 THEN floor(CAST(sum(n * gain) AS DOUBLE) / CAST(sum(n) AS DOUBLE)) ELSE 0 END AS weight
+  FROM worded w LEFT JOIN placed p ON p.side = 0 AND p.row = w.row LEFT JOIN gains g USING (bucket)
+  WHERE w.side = 0 GROUP BY w.doc_id, w.row, w.w),
+scored AS (
+  SELECT doc_id, row, words, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight,
+         CAST(weight + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5) / 4294967296))) AS BIGINT) AS score
+  FROM weighed),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY words >= 20 ORDER BY score DESC, doc_id) AS place,
+                  count(*) OVER (PARTITION BY words >= 20) AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN words >= 20 AND place <= 25 * n // 100 THEN place END AS rank FROM ranked
+"""
+
+
 @query
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = bpe.encode(documents(table(spark, sf_dir, "documents"))).select("doc_id", "ids")
