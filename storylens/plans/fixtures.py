@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storylens.functions.jsonpath import STORY_MARKER
+from storylens.operators.lookup import ORIGIN_RULES_12, ORIGIN_RULES_17
 from storylens.operators.roster import DEFAULT_NETWORK
 from storylens.plans.attribution import NO_STORY_SENTENCE
 
@@ -31,23 +32,7 @@ def _redirect(host: str) -> tuple[str, str]:
 # Sticker links: url = prefix || id || suffix, picked by id % len(LINKS).
 # Hosts cover every rule, `www.` variants and the edge cases of the host rule.
 LINKS: list[tuple[str | None, str | None]] = [
-    _redirect("amzlink.to"),
-    _redirect("www.mercadolivre.com"),
-    _redirect("mercadolivre.com.br"),
-    _redirect("produto.mercadolivre.com.br"),
-    _redirect("s.shopee.com.br"),
-    _redirect("minhaloja.natura.com"),
-    _redirect("www.magazinevoce.com.br"),
-    _redirect("elausa.com.br"),
-    _redirect("epocacosmeticos.com.br"),
-    _redirect("natura.com.br"),
-    _redirect("sminhaloja.natura.com"),
-    _redirect("api.whatsapp.com"),
-    _redirect("www.google.com"),
-    _redirect("encurtador.com.br"),
-    _redirect("tinyurl.com"),
-    _redirect("br.shp.ee"),
-    _redirect("instagram.com"),
+    *(_redirect(("www." if i % 5 == 1 else "") + host) for i, (host, _) in enumerate(ORIGIN_RULES_17)),
     _redirect("WWW.google.com"),                       # upper-case www is kept: no label
     _redirect("shop.unknown.example"),                 # unknown host
     (_REDIRECT_HEAD + "amzlink.to&e=", ""),            # no path: host keeps the tail
@@ -59,10 +44,8 @@ LINKS: list[tuple[str | None, str | None]] = [
 
 # Display urls of provider exports: display_url = prefix || id; None = NULL story_link.
 DISPLAY_LINKS: list[str | None] = [
-    "amzlink.to/p/", "mercadolivre.com/p/", "s.shopee.com.br/p/", "minhaloja.natura.com/p/",
-    "magazinevoce.com.br/p/", "elausa.com.br/p/", "epocacosmeticos.com.br/p/",
-    "natura.com.br/p/", "sminhaloja.natura.com/p/", "api.whatsapp.com/p/", "google.com/p/",
-    "encurtador.com.br/p/", "www.amzlink.to/p/", "tinyurl.com/p/", "mercadolivre.com.br/p/",
+    *(f"{host}/p/" for host, _ in ORIGIN_RULES_12),
+    *(f"{host}/p/" for host in ("www." + ORIGIN_RULES_12[0][0], "shop.unknown.example")),  # without a rule
     None,
 ]
 
