@@ -40,7 +40,8 @@ def run_daily(spark: SparkSession, raw_path: str, out_base: str, run_date: str,
 
     With ``curated_path`` the day's documents are unwrapped once into a
     Parquet table (one pass, quarantine included) and the snapshot is read
-    from it; otherwise unwrapping happens inside the snapshot query.
+    from it; otherwise unwrapping happens inside the snapshot query. The snapshot has a sketch of its users
+    beside it, so that days can be counted together (``sources.read_users``).
     """
     report: dict = {"run_date": run_date}
     if roster_a and roster_b:
@@ -60,7 +61,7 @@ def run_daily(spark: SparkSession, raw_path: str, out_base: str, run_date: str,
     else:
         reels = reels_from_raw(raw)
     snapshot = daily_attribution(reels, run_date, rules_of(spark, rules))
-    outcome = publish_snapshot(snapshot, out_base, run_date, single_file=single_file)
+    outcome = publish_snapshot(snapshot, out_base, run_date, single_file=single_file, users="username")
     report["published"] = bool(outcome)
     if not outcome:
         report["error"] = outcome.error
