@@ -64,12 +64,13 @@ def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def map_columns(df: DataFrame, inputs: list[str], outputs: str,
-                make: Callable[[], Callable[..., list]]) -> DataFrame:
+                make: Callable[[], Callable[..., list]], together: int | None = None) -> DataFrame:
     """Append columns made from Arrow batches; ``outputs`` is a DDL list.
 
     ``make()`` runs once in each task and returns a function from the input
     columns (Python lists) to the output columns (lists, or Arrow or numpy
-    arrays). An output replaces an input column of the same name.
+    arrays). An output replaces an input column of the same name. It gets ``SLICE``
+    rows at a time, or so many that they have about ``together`` bytes.
     """
     ship_package(df.sparkSession)
     new = T._parse_datatype_string(outputs)
@@ -77,9 +78,12 @@ def map_columns(df: DataFrame, inputs: list[str], outputs: str,
     schema = T.StructType([df.schema[c] for c in kept] + new.fields)
     arrow = to_arrow_schema(schema)
 
+    def rows(batch: pa.RecordBatch) -> int:
+        return SLICE if together is None else max(1, together * batch.num_rows // max(batch.nbytes, 1))
+
     def run(batches):
         fn = make()
-        for b in (whole.slice(k, SLICE) for whole in batches for k in range(0, whole.num_rows, SLICE)):
+        for b in (whole.slice(k, n) for whole in batches for n in [rows(whole)] for k in range(0, whole.num_rows, n)):
             made = fn(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in inputs))
             old = [b.column(b.schema.get_field_index(c)) for c in kept]
             made = [x if isinstance(x, pa.Array) else pa.array(x, type=arrow.field(f.name).type)

@@ -72,6 +72,27 @@ def test_bpe_on_random_texts():
         assert own.decode(own.encode(t)) == t.encode()
 
 
+def test_bpe_of_texts_together(monkeypatch):
+    # new words of many texts are merged side by side: only long ones are encoded one at a time
+    ref = reference()
+    tokens = bpe.read_ranks(bpe.VOCABULARY)
+    own = bpe.Encoder(tokens, bpe.merge_table(tokens), public_tokenizers.PATTERN)
+    alone, rng = [], np.random.default_rng(2)
+    one = own.encode_piece
+    monkeypatch.setattr(own, "encode_piece", lambda p: alone.append(p) or one(p))
+    syllables = ["an", "th", "Ein", "é", "ß", "日", "ab", "a", "a", ",", "\n", "7"]
+    words = ["".join(rng.choice(syllables, rng.integers(1, 30))).strip("\n") for _ in range(3000)]
+    texts = [" ".join(rng.choice(words, rng.integers(0, 60))) for _ in range(200)]
+    texts += ["", "x", " y", "tab\there", "two  spaces", "a" * 65, "b " + "a" * 1000 + "!"] + words[:50]
+    want = [ref.encode_ordinary(t) for t in texts]
+    for together in (bpe.TOGETHER, 500, 1):
+        monkeypatch.setattr(bpe, "TOGETHER", together)
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.encode_all(texts)] == want
+    assert b"a" * 65 in alone and b" " + b"a" * 1000 in alone
+    assert min(map(len, alone)) > 64
+    assert own.encode_all([]) == []
+
+
 def test_bpe_of_a_pattern_with_spaces_inside():
     tokens = bpe.read_ranks(bpe.VOCABULARY)
     own = bpe.Encoder(tokens, bpe.merge_table(tokens), r"\w+ \w+|.|\n")
@@ -91,6 +112,22 @@ def test_bpe_small_vocabulary():
             assert own.encode_piece(s) == ([ranks[s]] if s in ranks else want)
 
 
+def test_bpe_side_by_side_small_vocabulary():
+    # all short strings of two letters at once; overlapping pairs merge from the left
+    tokens = [bytes([i]) for i in range(256)] + [b"ab", b"aa", b"aab", b"ba", b"abab", b"bb"]
+    ranks = {t: i for i, t in enumerate(tokens)}
+    own = bpe.Encoder(tokens, bpe.merge_table(tokens), r".+")
+    strings = [bytes(b"ab"[(k >> i) & 1] for i in range(n)) for n in range(1, 9) for k in range(2 ** n)]
+    want = [[ranks[p] for p in bpe.plain_merges(s, ranks)[0]] for s in strings]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode_all([s.decode() for s in strings])] == want
+    # a token that no merge reaches stands for a whole piece; a byte that is no token is an error
+    tokens = [bytes([i]) for i in range(255)] + [b"ab", b"xyz", b"aba"]
+    own = bpe.Encoder(tokens, bpe.merge_table(tokens), r"\S+|\s")
+    assert np.frombuffer(own.encode("xyz xyzx aba"), "<u4").tolist() == [256, 32, 120, 121, 122, 120, 32, 257]
+    with pytest.raises(ValueError):
+        bpe.Encoder([b"a", b"b"], [None, None], r"\S+|\s").encode("abc")
+
+
 def test_bpe_ranks_must_be_gapless(tmp_path):
     path = tmp_path / "bad.tiktoken"
     path.write_bytes(b"YQ== 0\nYg== 2\n")
