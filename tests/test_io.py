@@ -257,3 +257,21 @@ def test_multiline_files_are_bounded(spark, sf_dir, tmp_path, monkeypatch):
         held = [f.read_text().count(',\n  "items"') for f in (tmp_path / str(most)).glob("part-*")]
         assert max(held) <= most
     assert rows[1] == rows[10**9] and rows[1]
+
+
+def test_multiline_files_are_few(spark, tmp_path, monkeypatch):
+    # many short reels and some long ones: files are bounded by their characters, so their number is not that of the reels
+    from storylens.plans import registry
+
+    spark.range(4000).selectExpr("id as event_id", "if(id < 500, 3, id % 997) as user_id").write.parquet(str(tmp_path / "events.parquet"))
+    rows, sizes = {}, {}
+    for most in (20_000, registry.FILE_CHARS):
+        monkeypatch.setattr(registry, "FILE_CHARS", most)
+        monkeypatch.setattr(registry, "scratch_path", lambda _, name: str(tmp_path / str(most)))
+        rows[most] = sorted(map(str, registry.reels_files_multiline(spark, str(tmp_path)).collect()))
+        texts = [f.read_text() for f in (tmp_path / str(most)).glob("part-*")]
+        assert all(len(t) <= most or t.count(',\n  "items"') == 1 for t in texts)
+        sizes[most] = sorted(map(len, texts))
+        assert len(texts) <= 4 + 2 * sum(sizes[most]) / most  # four tasks
+    assert len(set(map(tuple, rows.values()))) == 1 and rows[20_000]
+    assert sizes[20_000][-1] > 20_000  # a reel longer than the bound is whole
