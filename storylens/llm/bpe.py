@@ -40,8 +40,8 @@ VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 KEPT = 200_000
 #: Bytes of the longest pieces that are merged side by side, in steps: a piece has as many places as its step.
 STEPS = (4, 8, 16, 32, 64)
-#: Characters of the texts that are encoded together, or one text.
-TOGETHER = 1 << 23
+#: Characters of the texts that are encoded together, or one text. More take less time and more memory.
+TOGETHER = 1 << 21
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -271,11 +271,11 @@ class Encoder:
         ends = 4 * np.cumsum(np.add.reduceat(counts[units], starts))
         return [packed[a:b] for a, b in zip(np.append(0, ends[:-1]).tolist(), ends.tolist())]
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
+    def encode_all(self, texts: list[str], together: int | None = None) -> list[bytes]:
         """The ids of whole texts as little-endian unsigned 32-bit integers."""
         out, own, size = [], [], 0
         for t in texts:
-            if own and size + len(t) > TOGETHER:
+            if own and size + len(t) > (together or TOGETHER):
                 out += self._together(own)
                 own, size = [], 0
             own.append(t)
@@ -362,15 +362,15 @@ def _encoder(shared, vocabulary: str, pattern: str) -> Encoder:
 
 
 def encode(df: DataFrame, vocabulary: str = VOCABULARY, pattern: str = public_tokenizers.PATTERN,
-           text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+           text_col: str = "text", ids_col: str = "ids", together: int = TOGETHER) -> DataFrame:
     """Append ``ids``: the ids of the whole text, packed as little-endian unsigned 32-bit integers."""
     shared = _shared(df.sparkSession, vocabulary)
 
     def make():
         e = _encoder(shared, vocabulary, pattern)
-        return lambda texts: [e.encode_all([t or "" for t in texts])]
+        return lambda texts: [e.encode_all([t or "" for t in texts], together)]
 
-    return map_columns(df, [text_col], f"`{ids_col}` binary", make, TOGETHER)
+    return map_columns(df, [text_col], f"`{ids_col}` binary", make, together)
 
 
 def decode(df: DataFrame, vocabulary: str = VOCABULARY, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:

@@ -214,7 +214,7 @@ SELECT doc_id, n_features, weight, score, CASE WHEN words >= 20 AND place <= 25
 
 @query
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = bpe.encode(documents(table(spark, sf_dir, "documents"))).select("doc_id", "ids")
+    ids = bpe.encode(documents(table(spark, sf_dir, "documents")), together=1 << 23).select("doc_id", "ids")
     return packing.packed(ids).select(
         "row", "n_tokens", "doc_ids", "parts", "cu_seqlens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("positions", 256).alias("positions_sha256"))
